@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from alloy.constants import NUMERIC_ALLOWED, PERCENT_ALLOWED, WS_CLASS
-from alloy.functions.text import _c, has_content, ustrip
+from alloy.functions.text import _c, has_content, ustrip  # noqa: F401
 
 MONEY = "decimal(38,9)"
+NUMERIC_CORRUPT_RE = f"(?s)[^{NUMERIC_ALLOWED}{WS_CLASS}]|^[^0-9]*$|,.*,"
 
 
 def locale_number_text(col: Column | str) -> Column:
@@ -39,18 +40,17 @@ def locale_number_fill(col: Column | str, fill: int = 0, dtype: str = MONEY) ->
 def numeric_corrupt(col: Column | str) -> Column:
     """A numeric cell holds content and either has a forbidden character or
     does not coerce to a number after cleaning (``######`` strips to nothing)."""
-    raw = ustrip(_c(col))
-    forbidden = raw.rlike(f"[^{NUMERIC_ALLOWED}{WS_CLASS}]")
-    # Coercion is tested as a double: the cleaned text holds only digits and
-    # dots, so the cast fails exactly when it is empty, '.', or has two dots.
-    uncoercible = locale_number_text(raw).try_cast("double").isNull()
-    return has_content(raw) & (forbidden | uncoercible)
+    c = _c(col)
+    # Cleaning keeps digits and separators, deletes '.', turns ',' into '.';
+    # that text is a number exactly when the cell has a digit and at most one
+    # ','. So "forbidden character, or no digit, or two commas" is one regex.
+    return has_content(c) & c.rlike(NUMERIC_CORRUPT_RE)
 
 
 def percent_corrupt(col: Column | str) -> Column:
     """A percentage cell holds content and a character outside digits . , % # - and whitespace."""
-    raw = ustrip(_c(col))
-    return has_content(raw) & raw.rlike(f"[^{PERCENT_ALLOWED}{WS_CLASS}]")
+    c = _c(col)
+    return has_content(c) & c.rlike(f"[^{PERCENT_ALLOWED}{WS_CLASS}]")
 
 
 # A plain decimal literal, optionally signed; what a FLOAT64 cast accepts from

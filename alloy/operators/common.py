@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Largest row count a state table may have to be broadcast explicitly.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest estimated size of a side that is broadcast explicitly.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it is small.
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes for scans, an upper bound
+    carried through filters and aggregates); no job is run."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
 
-    Used for state tables (watermarks, registry, manifest), whose size is set
-    by the number of sources and error groups, not by the data volume. The
-    check is a bounded ``limit(max_rows + 1).count()``; past the bound the
-    plain DataFrame is returned and AQE chooses the join at run time.
+
+def small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its estimated size is under ``max_bytes``.
+
+    State tables (watermarks, registry, manifest) are tiny files, so their
+    estimate is small and they are broadcast. A side whose estimate is large
+    (e.g. derived from the full data) is left to AQE, which re-plans the join
+    from the sizes measured at run time.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    try:
+        size = estimated_bytes(df)
+    except Exception:  # noqa: BLE001 - no estimate: let AQE decide
+        return df
+    return F.broadcast(df) if size <= max_bytes else df

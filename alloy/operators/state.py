@@ -170,13 +170,14 @@ def counts_for(counts: DataFrame, keys: DataFrame) -> DataFrame:
 
 def manifest_changed(previous: DataFrame, remaining: DataFrame, resolved: DataFrame) -> bool:
     """True when a write is needed: something resolved, or the open set differs
-    (ignoring ``reported_at``, which changes every run)."""
+    (ignoring ``reported_at``, which changes every run). One job."""
     cols = [c for c in MANIFEST_SCHEMA_COLS if c != "reported_at"]
     a = open_entries(previous).select(*cols)
     b = remaining.select(*cols)
-    if not resolved.isEmpty():
-        return True
-    return not (a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty())
+    probe = (resolved.select(F.lit(1).alias("x"))
+             .unionByName(a.exceptAll(b).select(F.lit(1).alias("x")))
+             .unionByName(b.exceptAll(a).select(F.lit(1).alias("x"))))
+    return not probe.isEmpty()
 
 
 def fix_records(resolved: DataFrame, now_iso: str) -> DataFrame:

@@ -38,6 +38,7 @@ class RunResult:
     manifest_written: bool
     watermark_written: bool
     affected_columns: list[str] = field(default_factory=list)
+    timings: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -91,19 +92,36 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
                  watermark_mode: str = "retain", incremental_silver: bool = False,
                  decimal_comma: bool = False) -> RunResult:
     """Execute one run against the tables under ``root``."""
+    import time
+
+    timings: dict[str, float] = {}
+    clock = [time.time()]
+
+    def lap(name: str) -> None:
+        now = time.time()
+        timings[name] = round(now - clock[0], 3)
+        clock[0] = now
+
     wm_records = store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA)
     watermarks = ST.load_watermarks(wm_records, registry)
     prev_manifest = store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA)
+    lap("state_read")
     st = plan_run(raw, run, watermarks, prev_manifest, store.quarantine_path(run))
+    lap("plan_and_report")
 
     recovery = ST.recovery_report(st.resolved, st.counts).first().asDict()
-    store.write_quarantine(st.errors, root, run)
+    lap("recovery_report")
+    if st.report_row["n_bad_rows"]:
+        store.write_quarantine(st.errors, root, run, check_empty=False)
+    lap("quarantine")
 
     bronze = st.bronze.persist(StorageLevel.MEMORY_AND_DISK)
     n_bronze = bronze.count()
+    lap("bronze_build")
     silver_version = None
     if n_bronze:
         store.write_bronze(bronze, root, run)
+        lap("bronze_write")
         all_bronze = store.read_bronze(spark, root)
         if incremental_silver:
             touched = bronze.select(*S.session_keys(bronze)).distinct()
@@ -113,24 +131,27 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         source = S.silver_source(all_bronze.drop("date", "run_key"), decimal_comma)
         target = store.read_silver(spark, root, S.SILVER_SCHEMA)
         silver_version = store.write_silver(S.upsert(target, source), root, spark)
+        lap("silver_merge")
 
     # The manifest is written only when its content changed (ignoring the
     # report time); resolved entries also leave a fix record.
     manifest_written = False
     if ST.manifest_changed(prev_manifest, st.remaining, st.resolved):
-        if not st.resolved.isEmpty():
+        if recovery["recovery_resolved"]:
             store.write_fixes(ST.fix_records(st.resolved, run.now_iso), root, run)
         store.write_state(st.remaining, root, "manifest", run)
         manifest_written = True
+    lap("manifest")
 
     watermark_written = False
     if n_bronze:
         new_wm = ST.rewrite_watermarks(wm_records, st.max_dates, registry, run.now_iso, watermark_mode)
         store.write_state(new_wm, root, "watermark", run)
         watermark_written = True
+    lap("watermark")
 
     bronze.unpersist()
     st.counts.unpersist()
     st.flagged.unpersist()
     return RunResult(st.report_row, recovery, n_bronze, silver_version, manifest_written,
-                     watermark_written, st.affected)
+                     watermark_written, st.affected, timings)

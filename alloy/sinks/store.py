@@ -65,9 +65,9 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(f"{root}/bronze")
 
 
-def write_quarantine(df_error: DataFrame, root: str, run: RunInfo) -> bool:
+def write_quarantine(df_error: DataFrame, root: str, run: RunInfo, check_empty: bool = True) -> bool:
     """Raw bad rows plus reason; nothing is written when there are none."""
-    if df_error.isEmpty():
+    if check_empty and df_error.isEmpty():
         return False
     (_with_run_keys(df_error, run).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")

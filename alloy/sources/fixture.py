@@ -298,3 +298,35 @@ def sheet_registry(events: DataFrame) -> DataFrame:
             .select(F.concat(F.lit("sheet_"), F.col("i").cast("string")).alias("sheet_name"),
                     F.concat(F.lit("key_"), F.least(F.col("i"), F.lit(3)).cast("string")).alias("creds"),
                     F.col("i").cast("int").alias("ord")))
+
+
+# --- landed copies -----------------------------------------------------------
+
+_LANDED: dict[tuple, str] = {}
+
+
+def landed_grid(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
+    """The run's grid, landed once per session as Parquet under the shared
+    scratch folder and read back, as raw sheets arrive in a landing zone.
+
+    Later queries start from a Parquet scan (pruning, pushdown) instead of
+    re-deriving the sheet inside their own plans.
+    """
+    from alloy.session import scratch_path
+    from alloy.sinks.store import exists
+    from alloy.sources.grid import GRID_SCHEMA
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), run)
+    path = _LANDED.get(key)
+    if path is None or not exists(spark, path):
+        path = scratch_path(spark, f"landed-grid-run{run}")
+        raw_grid(load_events(spark, sf_dir), run).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.schema(GRID_SCHEMA).parquet(path)
+
+
+def landed_sheet(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
+    """Raw frame of a run: the landed grid with its headers promoted."""
+    from alloy.sources.grid import grid_to_frame
+
+    return grid_to_frame(landed_grid(spark, sf_dir, run), column_order=FIXTURE_COLS)
