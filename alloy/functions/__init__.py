@@ -26,6 +26,7 @@ from alloy.functions.text import (
     is_blank_cell,
     not_blank_or_null,
     snake_case,
+    snake_case_col,
     snake_case_columns,
     upper_trim,
     ustrip,
@@ -36,6 +37,6 @@ __all__ = [
     "hash_text", "is_blank_cell", "is_integral", "locale_number", "locale_number_fill",
     "locale_number_text", "not_blank_or_null", "numeric_corrupt", "parse_hhmm",
     "parse_mixed_date", "percent_corrupt", "percent_ratio", "raw_row_hash", "round_to_long",
-    "session_hour", "session_start", "snake_case", "snake_case_columns", "time_from_hour",
+    "session_hour", "session_start", "snake_case", "snake_case_col", "snake_case_columns", "time_from_hour",
     "upper_trim", "ustrip",
 ]

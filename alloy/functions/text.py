@@ -76,6 +76,12 @@ def snake_case(name: str) -> str:
     return out
 
 
+def snake_case_col(col: Column | str) -> Column:
+    """``snake_case`` as a Column expression (for header cells held as data)."""
+    c = F.regexp_replace(ustrip(F.lower(_c(col))), " ", "_")
+    return F.translate(c, SNAKE_DELETE_CHARS, "")
+
+
 def snake_case_columns(names: list[str]) -> dict[str, str]:
     """Map each name to its snake-case form; two names may not collide."""
     mapping: dict[str, str] = {}

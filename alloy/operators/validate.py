@@ -153,9 +153,10 @@ def affected_columns(flagged: DataFrame, numeric_cols=NUMERIC_COLS, percent_cols
     """One row per affected column: ``(position, column_name)`` in declared order."""
     checks = checked_columns(flagged.columns, numeric_cols, percent_cols)
     rep = flagged.agg(F.coalesce(F.bit_or("_bad_mask"), F.lit(0).cast("bigint")).alias("m"))
-    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name")) for i, c, _ in checks])
+    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"),
+                               F.lit(1 << i).cast("bigint").alias("bit")) for i, c, _ in checks])
     return (rep.select("m", F.explode(pairs).alias("p"))
-            .filter(F.col("m").bitwiseAND(F.shiftleft(F.lit(1).cast("bigint"), F.col("p.position"))) != 0)
+            .filter(F.col("m").bitwiseAND(F.col("p.bit")) != 0)
             .select("p.position", "p.column_name"))
 
 

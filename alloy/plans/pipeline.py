@@ -66,7 +66,12 @@ def affected_list(mask: int, columns: list[str]) -> list[str]:
 
 def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previous_manifest: DataFrame,
              quarantine_rel_path: str, persist: bool = True) -> Stages:
-    """Build every stage of a run as DataFrames over one persisted flagged frame."""
+    """Build every stage of a run as DataFrames over one persisted flagged frame.
+
+    Persisting matters beyond reuse: the flags become columns of a cached
+    relation, so filters on them are not rewritten into the full expressions
+    (which Catalyst would otherwise push below the projection and duplicate).
+    """
     flagged = V.flag(V.filter_creator_id(raw))
     if persist:
         flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)

@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, app: str = "alloy", shuffle_partitions:
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if (master or "").startswith("local"):
+        conf.setdefault("spark.driver.memory", os.environ.get("ALLOY_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
