@@ -110,14 +110,15 @@ def build_bronze(valid: DataFrame, run: RunInfo, watermarks: DataFrame | None =
 
 
 def dedup_first(df: DataFrame, key: str = "row_hash_raw", order=("path", "sheet_name", "row_no")) -> DataFrame:
-    """Keep the first row per ``key`` by ``order`` (regular before recovered).
+    """Keep the first row per ``key`` by ``order`` (regular before recovered;
+    ``sheet_name`` + ``row_no`` identify a source row, so the order is total).
 
     A ``min_by`` aggregate rather than a window: partial aggregation collapses
     duplicates inside each map task, so a key holding a third of all rows never
     lands whole on one reducer.
     """
     cols = [c for c in df.columns if c != key]
-    order_cols = [c for c in order if c in df.columns] + [c for c in cols if c not in order]
+    order_cols = [c for c in order if c in df.columns]
     picked = df.groupBy(key).agg(
         F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]),
                  F.struct(*[F.col(f"`{c}`") for c in order_cols])).alias("_r"))

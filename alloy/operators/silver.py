@@ -81,21 +81,24 @@ def session_keys(df: DataFrame) -> list[Column]:
     ]
 
 
-def latest_per_session(bronze: DataFrame) -> DataFrame:
+LATEST_ORDER = ("snapshot_ts", "run_id", "row_hash_raw", "sheet_name", "row_no")
+
+
+def latest_per_session(bronze: DataFrame, order=LATEST_ORDER) -> DataFrame:
     """ROW_NUMBER() = 1 per session ordered by snapshot_ts DESC, run_id DESC.
 
-    Ties (one build shares snapshot_ts and run_id) are broken by row_hash_raw
-    DESC and then every other column, so the pick is deterministic. Written as
-    a ``max_by`` aggregate: partial aggregation keeps a hot session key (e.g.
-    blank shop and creator) from arriving whole at one task.
+    Rows of one build share snapshot_ts and run_id, so ties are broken by
+    row_hash_raw DESC (unique within a run after dedup) and then the source
+    position, which makes the pick deterministic. Written as a ``max_by``
+    aggregate: partial aggregation keeps a hot session key (e.g. blank shop
+    and creator) from arriving whole at one task.
     """
     cols = bronze.columns
-    lead = [c for c in ("snapshot_ts", "run_id", "row_hash_raw") if c in cols]
-    order = lead + [c for c in cols if c not in lead]
+    order_cols = [c for c in order if c in cols]
     keyed = bronze.select("*", *session_keys(bronze))
     picked = keyed.groupBy("_k_toko", "_k_id", "_k_day", "_k_hour").agg(
         F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]),
-                 F.struct(*[F.col(f"`{c}`") for c in order])).alias("_r"))
+                 F.struct(*[F.col(f"`{c}`") for c in order_cols])).alias("_r"))
     return picked.select(*[F.col(f"_r.`{c}`").alias(c) for c in cols])
 
 

@@ -70,6 +70,9 @@ def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
     wm_records1 = ST.rewrite_watermarks(empty_wm, s1.max_dates, registry, run1.now_iso, "retain")
     watermarks2 = ST.load_watermarks(wm_records1, registry)
     s2 = plan_run(raw2, run2, watermarks2, s1.remaining, _qpath(run2))
+    # Bronze of each run feeds many queries: keep it once (as the pipeline does).
+    s1.bronze = s1.bronze.persist()
+    s2.bronze = s2.bronze.persist()
     sc = Scenario(raw1, raw2, run1, run2, registry, s1, s2, wm_records1, watermarks2)
     _SCENARIOS[key] = sc
     return sc
@@ -596,7 +599,7 @@ _SILVER = ", ".join(S.SILVER_COLS)
 @register("latest_session", O.with_ctes(*_ALL, select=(
     "SELECT * EXCLUDE (_rn) FROM (SELECT sheet_name, row_no, run_id, row_hash_raw, row_number() OVER ("
     f"PARTITION BY {O.upper_trim('toko')}, {O.upper_trim('id_kreator')}, CAST(tanggal AS DATE), pukul_live "
-    "ORDER BY snapshot_ts DESC, run_id DESC, row_hash_raw DESC) AS _rn "
+    "ORDER BY snapshot_ts DESC, run_id DESC, row_hash_raw DESC, sheet_name DESC, row_no DESC) AS _rn "
     "FROM (SELECT * FROM bronze1 UNION ALL SELECT * FROM bronze2)) WHERE _rn = 1")))
 def latest_session(spark, sf_dir):
     sc = scenario(spark, sf_dir)
@@ -690,3 +693,20 @@ def all_oracles() -> dict[str, str]:
     from alloy.plans import roundtrip  # noqa: F401
 
     return dict(ORACLE_SQL)
+
+
+_FULL2 = O.dedup(O.bronze_select("valid2", 2, 0))
+_S_RELOAD = O.silver_source(f"SELECT * FROM bronze1 UNION ALL SELECT * FROM ({_FULL2})")
+
+
+@register("merge_full_reload", O.with_ctes(*_ALL, select=(
+    f"SELECT _action AS action, count(*) AS n_rows FROM ({O.upsert(_SILVER1, _S_RELOAD, True)}) GROUP BY 1")))
+def merge_full_reload(spark, sf_dir):
+    """Run 2 loaded in full (no watermark, the legacy full-load entry) on top of
+    run 1's silver: changed values of older sessions become updates."""
+    sc = scenario(spark, sf_dir)
+    full2, _ = B.build_bronze(sc.s2.valid, sc.run2, None)
+    source = _source(sc.s1.bronze.unionByName(B.dedup_first(full2)))
+    silver1 = S.upsert(S.empty_silver(spark), _source(sc.s1.bronze))
+    return (S.upsert(silver1, source, with_action=True)
+            .groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n_rows")))

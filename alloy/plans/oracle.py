@@ -266,7 +266,7 @@ def bronze_ctes() -> str:
 
 def silver_source(bronze: str, decimal_comma: bool = False) -> str:
     """Latest per session, typed, hashed."""
-    order = "snapshot_ts DESC, run_id DESC, row_hash_raw DESC"
+    order = "snapshot_ts DESC, run_id DESC, row_hash_raw DESC, sheet_name DESC, row_no DESC"
     latest = (f"SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY {upper_trim('toko')}, "
               f"{upper_trim('id_kreator')}, CAST(tanggal AS DATE), pukul_live ORDER BY {order}) AS _rn "
               f"FROM ({bronze})) WHERE _rn = 1")
