@@ -19,7 +19,7 @@ from alloy.operators import silver as S
 from alloy.operators import state as ST
 from alloy.operators import validate as V
 from alloy.plans import oracle as O
-from alloy.plans.pipeline import Stages, plan_run
+from alloy.plans.pipeline import Stages, cut, plan_run
 from alloy.sources import fixture as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,14 +65,14 @@ def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
     run2 = B.RunInfo.at(*FX.RUN_SNAPSHOTS[2])
     registry = FX.sheet_registry(FX.load_events(spark, sf_dir))
     empty_manifest = spark.createDataFrame([], ST.MANIFEST_SCHEMA)
-    s1 = plan_run(raw1, run1, None, empty_manifest, _qpath(run1))
+    s1 = plan_run(raw1, run1, None, empty_manifest, _qpath(run1), persist="checkpoint")
     empty_wm = spark.createDataFrame([], ST.WATERMARK_SCHEMA)
     wm_records1 = ST.rewrite_watermarks(empty_wm, s1.max_dates, registry, run1.now_iso, "retain")
     watermarks2 = ST.load_watermarks(wm_records1, registry)
-    s2 = plan_run(raw2, run2, watermarks2, s1.remaining, _qpath(run2))
-    # Bronze of each run feeds many queries: keep it once (as the pipeline does).
-    s1.bronze = s1.bronze.persist()
-    s2.bronze = s2.bronze.persist()
+    s2 = plan_run(raw2, run2, watermarks2, s1.remaining, _qpath(run2), persist="checkpoint")
+    # Bronze of each run feeds many queries: keep it once, lineage cut.
+    s1.bronze = cut(s1.bronze, "checkpoint")
+    s2.bronze = cut(s2.bronze, "checkpoint")
     sc = Scenario(raw1, raw2, run1, run2, registry, s1, s2, wm_records1, watermarks2)
     _SCENARIOS[key] = sc
     return sc

@@ -64,24 +64,36 @@ def affected_list(mask: int, columns: list[str]) -> list[str]:
     return [c for i, c, _ in V.checked_columns(columns, NUMERIC_COLS, PERCENT_COLS) if mask & (1 << i)]
 
 
+def cut(df: DataFrame, how: str | None) -> DataFrame:
+    """Keep a frame that several branches read: ``persist`` (memory and local
+    disk; a lost block is recomputed from its short lineage) or ``checkpoint``
+    (written to the shared checkpoint folder, lineage cut; planning later
+    queries on it is cheap)."""
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "checkpoint":
+        from alloy.session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)
+        return df.checkpoint(eager=True)
+    return df
+
+
 def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previous_manifest: DataFrame,
-             quarantine_rel_path: str, persist: bool = True) -> Stages:
+             quarantine_rel_path: str, persist: bool | str = True) -> Stages:
     """Build every stage of a run as DataFrames over one persisted flagged frame.
 
     Persisting matters beyond reuse: the flags become columns of a cached
     relation, so filters on them are not rewritten into the full expressions
     (which Catalyst would otherwise push below the projection and duplicate).
     """
-    flagged = V.flag(V.filter_creator_id(raw))
-    if persist:
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+    how = ("persist" if persist is True else None) if isinstance(persist, bool) else persist
+    flagged = cut(V.flag(V.filter_creator_id(raw)), how)
     rep = V.report(flagged).first().asDict()
     affected = affected_list(int(rep["affected_mask"] or 0), flagged.columns)
     valid = V.valid_rows(flagged)
     errors = V.error_rows(flagged)
-    counts = ST.valid_counts(valid)
-    if persist:
-        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = cut(ST.valid_counts(valid), how)
     aff_col = F.array(*[F.lit(c) for c in affected]).cast("array<string>")
     current = ST.manifest_entries(flagged, aff_col, run.now_iso, quarantine_rel_path)
     remaining, resolved = ST.reconcile(previous_manifest, current, counts)

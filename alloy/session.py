@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Skip per-call Python call-site capture (several JVM round trips per
+    # Column function); plans are built from many expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -320,7 +320,11 @@ def landed_grid(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
     path = _LANDED.get(key)
     if path is None or not exists(spark, path):
         path = scratch_path(spark, f"landed-grid-run{run}")
-        raw_grid(load_events(spark, sf_dir), run).write.parquet(path)
+        # Land as several files (like many uploads), so reads are parallel.
+        n = max(2 * spark.sparkContext.defaultParallelism, 2)
+        (raw_grid(load_events(spark, sf_dir), run)
+         .repartition(n, "sheet_name", "row_no")
+         .write.parquet(path))
         _LANDED[key] = path
     return spark.read.schema(GRID_SCHEMA).parquet(path)
 
