@@ -710,3 +710,16 @@ def merge_full_reload(spark, sf_dir):
     silver1 = S.upsert(S.empty_silver(spark), _source(sc.s1.bronze))
     return (S.upsert(silver1, source, with_action=True)
             .groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@register("rows_per_sheet", O.with_ctes(*_F1, select=(
+    "SELECT sheet_name, count(*) AS n_rows, count(*) FILTER (WHERE NOT _error AND NOT _blank) AS n_valid_rows, "
+    "count(*) FILTER (WHERE _error) AS n_bad_rows, count(*) FILTER (WHERE _blank) AS n_blank_rows "
+    "FROM flag1 GROUP BY sheet_name")))
+def rows_per_sheet(spark, sf_dir):
+    """Row counts per sheet after the ID filter: all, valid, bad, blank."""
+    fl = scenario(spark, sf_dir).s1.flagged
+    err, blank = F.col("_error"), F.col("_blank")
+    return fl.groupBy("sheet_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~err & ~blank).alias("n_valid_rows"),
+        F.count_if(err).alias("n_bad_rows"), F.count_if(blank).alias("n_blank_rows"))

@@ -79,7 +79,7 @@ def cut(df: DataFrame, how: str | None) -> DataFrame:
     return df
 
 
-def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previous_manifest: DataFrame,
+def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previous_manifest: DataFrame | None,
              quarantine_rel_path: str, persist: bool | str = True) -> Stages:
     """Build every stage of a run as DataFrames over one persisted flagged frame.
 
@@ -96,11 +96,19 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
     counts = cut(ST.valid_counts(valid), how)
     aff_col = F.array(*[F.lit(c) for c in affected]).cast("array<string>")
     current = ST.manifest_entries(flagged, aff_col, run.now_iso, quarantine_rel_path)
-    remaining, resolved = ST.reconcile(previous_manifest, current, counts)
-    recovered, regular = ST.split_recovered(valid, resolved, counts)
-    b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0)
-    b_rec, _ = B.build_bronze(recovered, run, None, path=1)
-    bronze = B.dedup_first(b_reg.unionByName(b_rec, allowMissingColumns=True))
+    if previous_manifest is None:
+        # No earlier manifest: nothing can be resolved, every valid row is regular.
+        remaining = current
+        resolved = flagged.sparkSession.createDataFrame([], ST.MANIFEST_SCHEMA)
+        recovered, regular = valid.limit(0), valid
+        b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0)
+        bronze = B.dedup_first(b_reg)
+    else:
+        remaining, resolved = ST.reconcile(previous_manifest, current, counts)
+        recovered, regular = ST.split_recovered(valid, resolved, counts)
+        b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0)
+        b_rec, _ = B.build_bronze(recovered, run, None, path=1)
+        bronze = B.dedup_first(b_reg.unionByName(b_rec, allowMissingColumns=True))
     return Stages(flagged, valid, errors, rep, affected, current, remaining, resolved, counts,
                   recovered, regular, bronze, max_dates)
 
@@ -121,12 +129,17 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
 
     wm_records = store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA)
     watermarks = ST.load_watermarks(wm_records, registry)
+    has_manifest = bool(store.committed_children(spark, f"{root}/state/manifest", "run_key"))
     prev_manifest = store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA)
     lap("state_read")
-    st = plan_run(raw, run, watermarks, prev_manifest, store.quarantine_path(run))
+    st = plan_run(raw, run, watermarks, prev_manifest if has_manifest else None, store.quarantine_path(run))
     lap("plan_and_report")
 
-    recovery = ST.recovery_report(st.resolved, st.counts).first().asDict()
+    if has_manifest:
+        recovery = ST.recovery_report(st.resolved, st.counts).first().asDict()
+    else:
+        recovery = dict(recovery_resolved=0, recovery_recovered_rows=0, recovery_count_mismatch=0,
+                        recovery_absent=0)
     lap("recovery_report")
     if st.report_row["n_bad_rows"]:
         store.write_quarantine(st.errors, root, run, check_empty=False)
@@ -153,7 +166,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     # The manifest is written only when its content changed (ignoring the
     # report time); resolved entries also leave a fix record.
     manifest_written = False
-    if ST.manifest_changed(prev_manifest, st.remaining, st.resolved):
+    changed = (ST.manifest_changed(prev_manifest, st.remaining, st.resolved) if has_manifest
+               else bool(st.report_row["n_bad_rows"]))
+    if changed:
         if recovery["recovery_resolved"]:
             store.write_fixes(ST.fix_records(st.resolved, run.now_iso), root, run)
         store.write_state(st.remaining, root, "manifest", run)
