@@ -11,7 +11,8 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (file sizes for scans, an upper bound
     carried through filters and aggregates); no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())
 
 
 def small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
