@@ -115,8 +115,13 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo, registry: DataFrame,
                  watermark_mode: str = "retain", incremental_silver: bool = False,
-                 decimal_comma: bool = False) -> RunResult:
-    """Execute one run against the tables under ``root``."""
+                 decimal_comma: bool = False, silver_layout: str = "snapshot") -> RunResult:
+    """Execute one run against the tables under ``root``.
+
+    ``silver_layout="snapshot"`` writes each merge as a new full version;
+    ``"by_day"`` keeps silver partitioned by business day and rewrites only the
+    days this run's source touches.
+    """
     import time
 
     timings: dict[str, float] = {}
@@ -159,8 +164,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
             all_bronze = keyed.join(touched, ["_k_toko", "_k_id", "_k_day", "_k_hour"], "left_semi") \
                 .drop("_k_toko", "_k_id", "_k_day", "_k_hour")
         source = S.silver_source(all_bronze.drop("date", "run_key"), decimal_comma)
-        target = store.read_silver(spark, root, S.SILVER_SCHEMA)
-        silver_version = store.write_silver(S.upsert(target, source), root, spark)
+        if silver_layout == "by_day":
+            silver_version = store.merge_silver_by_day(spark, root, source, S.SILVER_SCHEMA)
+        else:
+            target = store.read_silver(spark, root, S.SILVER_SCHEMA)
+            silver_version = store.write_silver(S.upsert(target, source), root, spark)
         lap("silver_merge")
 
     # The manifest is written only when its content changed (ignoring the

@@ -150,3 +150,38 @@ def _struct_fields(schema: str) -> str:
         name, typ = field.strip().split(" ", 1)
         parts.append(f"{name}: {typ}")
     return ", ".join(parts)
+
+
+# --- silver partitioned by business day ------------------------------------------
+
+def read_silver_by_day(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """Silver table partitioned by ``tanggal`` (or an empty table of ``schema``)."""
+    path = f"{root}/silver_by_day"
+    # Dynamic partition overwrite commits partition folders (no root marker).
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def merge_silver_by_day(spark: SparkSession, root: str, source: DataFrame, schema: str) -> int:
+    """MERGE ``source`` into the day-partitioned silver table, rewriting only the
+    days the source touches (dynamic partition overwrite).
+
+    The touched days are a small set (one per business day in the source); the
+    target is cut to them by a semi join, which prunes partitions at the scan.
+    The merged days are staged through ``checkpoint()`` first, because the
+    overwrite replaces partitions of the table the merge reads. Returns the
+    number of touched days.
+    """
+    from alloy.operators import silver as S
+    from alloy.operators.common import small
+    from alloy.plans.pipeline import cut
+
+    days = source.select("tanggal").distinct()
+    target = read_silver_by_day(spark, root, schema)
+    touched = target.join(small(days.withColumnRenamed("tanggal", "_d")),
+                          F.col("tanggal").eqNullSafe(F.col("_d")), "left_semi")
+    merged = cut(S.upsert(touched, source), "checkpoint")
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("tanggal").parquet(f"{root}/silver_by_day"))
+    return days.count()
