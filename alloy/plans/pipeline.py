@@ -105,6 +105,8 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
         bronze = B.dedup_first(b_reg)
     else:
         remaining, resolved = ST.reconcile(previous_manifest, current, counts)
+        # Small (one row per failing key) and read by several actions.
+        remaining, resolved = cut(remaining, how), cut(resolved, how)
         recovered, regular = ST.split_recovered(valid, resolved, counts)
         b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0)
         b_rec, _ = B.build_bronze(recovered, run, None, path=1)
@@ -115,12 +117,16 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo, registry: DataFrame,
                  watermark_mode: str = "retain", incremental_silver: bool = False,
-                 decimal_comma: bool = False, silver_layout: str = "snapshot") -> RunResult:
+                 decimal_comma: bool = False, silver_layout: str = "snapshot",
+                 keep: str = "persist") -> RunResult:
     """Execute one run against the tables under ``root``.
 
     ``silver_layout="snapshot"`` writes each merge as a new full version;
     ``"by_day"`` keeps silver partitioned by business day and rewrites only the
-    days this run's source touches.
+    days this run's source touches. ``keep`` chooses how the flagged frame is
+    kept for its several readers: ``persist`` (executor memory/disk, cheapest)
+    or ``checkpoint`` (written to the shared checkpoint folder: survives the
+    loss of executors without recomputation, and cuts the lineage).
     """
     import time
 
@@ -137,7 +143,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     has_manifest = bool(store.committed_children(spark, f"{root}/state/manifest", "run_key"))
     prev_manifest = store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA)
     lap("state_read")
-    st = plan_run(raw, run, watermarks, prev_manifest if has_manifest else None, store.quarantine_path(run))
+    st = plan_run(raw, run, watermarks, prev_manifest if has_manifest else None, store.quarantine_path(run),
+                  persist=keep)
     lap("plan_and_report")
 
     if has_manifest:
@@ -190,8 +197,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         watermark_written = True
     lap("watermark")
 
-    bronze.unpersist()
-    st.counts.unpersist()
-    st.flagged.unpersist()
+    for df in (bronze, st.counts, st.flagged, st.remaining, st.resolved):
+        df.unpersist()
     return RunResult(st.report_row, recovery, n_bronze, silver_version, manifest_written,
                      watermark_written, st.affected, timings)
