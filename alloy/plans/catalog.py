@@ -8,7 +8,7 @@ whole table. Column names are snake_case and equal on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -38,17 +38,49 @@ def register(name: str, sql: str | None = None):
 
 # --- the two-run scenario, planned once per session and data folder ---------------
 
-@dataclass
 class Scenario:
-    raw1: DataFrame
-    raw2: DataFrame
-    run1: B.RunInfo
-    run2: B.RunInfo
-    registry: DataFrame
-    s1: Stages
-    s2: Stages
-    wm_records1: DataFrame
-    watermarks2: DataFrame
+    """The two runs of one data folder, each stage built on first use and kept
+    (lineage cut by checkpoints) for the rest of the session."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.run1 = B.RunInfo.at(*FX.RUN_SNAPSHOTS[1])
+        self.run2 = B.RunInfo.at(*FX.RUN_SNAPSHOTS[2])
+
+    @cached_property
+    def raw1(self) -> DataFrame:
+        return FX.landed_sheet(self.spark, self.sf_dir, 1)
+
+    @cached_property
+    def raw2(self) -> DataFrame:
+        return FX.landed_sheet(self.spark, self.sf_dir, 2)
+
+    @cached_property
+    def registry(self) -> DataFrame:
+        return FX.sheet_registry(FX.load_events(self.spark, self.sf_dir))
+
+    @cached_property
+    def s1(self) -> Stages:
+        empty_manifest = self.spark.createDataFrame([], ST.MANIFEST_SCHEMA)
+        st = plan_run(self.raw1, self.run1, None, empty_manifest, _qpath(self.run1), persist="checkpoint")
+        st.bronze = cut(st.bronze, "checkpoint")
+        return st
+
+    @cached_property
+    def wm_records1(self) -> DataFrame:
+        empty_wm = self.spark.createDataFrame([], ST.WATERMARK_SCHEMA)
+        return ST.rewrite_watermarks(empty_wm, self.s1.max_dates, self.registry, self.run1.now_iso, "retain")
+
+    @cached_property
+    def watermarks2(self) -> DataFrame:
+        return ST.load_watermarks(self.wm_records1, self.registry)
+
+    @cached_property
+    def s2(self) -> Stages:
+        st = plan_run(self.raw2, self.run2, self.watermarks2, self.s1.remaining, _qpath(self.run2),
+                      persist="checkpoint")
+        st.bronze = cut(st.bronze, "checkpoint")
+        return st
 
 
 _SCENARIOS: dict[tuple, Scenario] = {}
@@ -56,26 +88,9 @@ _SCENARIOS: dict[tuple, Scenario] = {}
 
 def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    sc = _SCENARIOS.get(key)
-    if sc is not None:
-        return sc
-    raw1 = FX.landed_sheet(spark, sf_dir, 1)
-    raw2 = FX.landed_sheet(spark, sf_dir, 2)
-    run1 = B.RunInfo.at(*FX.RUN_SNAPSHOTS[1])
-    run2 = B.RunInfo.at(*FX.RUN_SNAPSHOTS[2])
-    registry = FX.sheet_registry(FX.load_events(spark, sf_dir))
-    empty_manifest = spark.createDataFrame([], ST.MANIFEST_SCHEMA)
-    s1 = plan_run(raw1, run1, None, empty_manifest, _qpath(run1), persist="checkpoint")
-    empty_wm = spark.createDataFrame([], ST.WATERMARK_SCHEMA)
-    wm_records1 = ST.rewrite_watermarks(empty_wm, s1.max_dates, registry, run1.now_iso, "retain")
-    watermarks2 = ST.load_watermarks(wm_records1, registry)
-    s2 = plan_run(raw2, run2, watermarks2, s1.remaining, _qpath(run2), persist="checkpoint")
-    # Bronze of each run feeds many queries: keep it once, lineage cut.
-    s1.bronze = cut(s1.bronze, "checkpoint")
-    s2.bronze = cut(s2.bronze, "checkpoint")
-    sc = Scenario(raw1, raw2, run1, run2, registry, s1, s2, wm_records1, watermarks2)
-    _SCENARIOS[key] = sc
-    return sc
+    if key not in _SCENARIOS:
+        _SCENARIOS[key] = Scenario(spark, sf_dir)
+    return _SCENARIOS[key]
 
 
 def _qpath(run: B.RunInfo) -> str:
