@@ -102,6 +102,18 @@ def latest_per_session(bronze: DataFrame, order=LATEST_ORDER) -> DataFrame:
     return picked.select(*[F.col(f"_r.`{c}`").alias(c) for c in cols])
 
 
+def restrict_to_sessions(bronze: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """Bronze rows of the sessions that ``new_rows`` touch (NULL-safe: rows with
+    a blank shop or no hour are sessions too). The touched key set is distinct
+    and usually far smaller than bronze; AQE broadcasts it when it is."""
+    keys = ["_k_toko", "_k_id", "_k_day", "_k_hour"]
+    touched = new_rows.select(*session_keys(new_rows)).distinct() \
+        .select(*[F.col(k).alias(f"_t{k}") for k in keys])
+    keyed = bronze.select("*", *session_keys(bronze))
+    cond = [F.col(k).eqNullSafe(F.col(f"_t{k}")) for k in keys]
+    return keyed.join(touched, cond, "left_semi").drop(*keys)
+
+
 def typed(latest: DataFrame, decimal_comma: bool = False) -> DataFrame:
     """The warehouse's typed projection (``base`` CTE), without the hash."""
     hour = round_to_long(_col(latest, "pukul_live", "int"))

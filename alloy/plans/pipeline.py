@@ -166,10 +166,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         lap("bronze_write")
         all_bronze = store.read_bronze(spark, root)
         if incremental_silver:
-            touched = bronze.select(*S.session_keys(bronze)).distinct()
-            keyed = all_bronze.select("*", *S.session_keys(all_bronze))
-            all_bronze = keyed.join(touched, ["_k_toko", "_k_id", "_k_day", "_k_hour"], "left_semi") \
-                .drop("_k_toko", "_k_id", "_k_day", "_k_hour")
+            all_bronze = S.restrict_to_sessions(all_bronze, bronze)
         source = S.silver_source(all_bronze.drop("date", "run_key"), decimal_comma)
         if silver_layout == "by_day":
             silver_version = store.merge_silver_by_day(spark, root, source, S.SILVER_SCHEMA)
