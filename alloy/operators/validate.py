@@ -139,16 +139,6 @@ def report(flagged: DataFrame) -> DataFrame:
     )
 
 
-def affected_columns_array(report_df: DataFrame, columns: list[str],
-                           numeric_cols=NUMERIC_COLS, percent_cols=PERCENT_COLS) -> Column:
-    """Array of affected column names (declared order) from the report mask."""
-    checks = checked_columns(columns, numeric_cols, percent_cols)
-    m = F.col("affected_mask")
-    return F.array_compact(F.array(*[
-        F.when(m.bitwiseAND(F.lit(1 << i)) != 0, F.lit(c)) for i, c, _ in checks
-    ])) if checks else F.array().cast("array<string>")
-
-
 def affected_columns(flagged: DataFrame, numeric_cols=NUMERIC_COLS, percent_cols=PERCENT_COLS) -> DataFrame:
     """One row per affected column: ``(position, column_name)`` in declared order."""
     checks = checked_columns(flagged.columns, numeric_cols, percent_cols)

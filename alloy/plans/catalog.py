@@ -103,10 +103,6 @@ def _snake(df: DataFrame) -> DataFrame:
     return B.snake_rename(df)
 
 
-def _bronze1(sc: Scenario) -> DataFrame:
-    return sc.s1.bronze.drop("path")
-
-
 def _source(df: DataFrame) -> DataFrame:
     return S.silver_source(df.drop("path"))
 

@@ -27,8 +27,9 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def committed_children(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    """Names of sub-folders ``prefix=...`` of ``path`` that hold ``_SUCCESS``."""
+def committed_children(spark: SparkSession, path: str, prefix: str, committed: bool = True) -> list[str]:
+    """Values of sub-folders ``prefix=...`` of ``path``; with ``committed`` only
+    those holding ``_SUCCESS`` (a finished Spark write)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -36,7 +37,7 @@ def committed_children(spark: SparkSession, path: str, prefix: str) -> list[str]
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix + "="):
-            if fs.exists(st.getPath().suffix("/_SUCCESS")):
+            if not committed or fs.exists(st.getPath().suffix("/_SUCCESS")):
                 out.append(name.split("=", 1)[1])
     return sorted(out)
 
@@ -94,9 +95,13 @@ def read_silver(spark: SparkSession, root: str, schema: str) -> DataFrame:
 
 
 def write_silver(df: DataFrame, root: str, spark: SparkSession) -> int:
-    """Write the next silver version; the previous one stays readable."""
-    vs = silver_versions(spark, root)
-    nxt = (vs[-1] + 1) if vs else 1
+    """Write the next silver version; the previous one stays readable.
+
+    The number follows every existing version folder, committed or not, so a
+    write that died half-way never blocks (or is mistaken for) the next one.
+    """
+    every = [int(v) for v in committed_children(spark, f"{root}/silver", "v", committed=False)]
+    nxt = (max(every) + 1) if every else 1
     df.write.mode("errorifexists").parquet(f"{root}/silver/v={nxt:010d}")
     return nxt
 

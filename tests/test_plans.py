@@ -78,3 +78,20 @@ def test_stream_available_now_matches_batch(spark):
     con.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SMOKE}/events.parquet')")
     rel = con.sql(E.oracle_sql()["stream_available_now"])
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(rel.columns, rel.fetchall())[0]
+
+
+def test_silver_version_skips_a_failed_write(spark):
+    """A half-written version folder (no _SUCCESS) is neither read nor reused."""
+    import os as _os
+
+    from alloy.session import scratch_path
+    from alloy.sinks import store
+
+    root = scratch_path(spark, "silver-versions")
+    first = S.empty_silver(spark)
+    assert store.write_silver(first, root, spark) == 1
+    broken = f"{root}/silver/v={2:010d}"
+    _os.makedirs(broken.replace("file:", ""), exist_ok=True)
+    assert store.silver_versions(spark, root) == [1]
+    assert store.write_silver(first, root, spark) == 3
+    assert store.silver_versions(spark, root) == [1, 3]
