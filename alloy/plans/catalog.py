@@ -82,6 +82,21 @@ class Scenario:
         st.bronze = cut(st.bronze, "checkpoint")
         return st
 
+    @cached_property
+    def source1(self) -> DataFrame:
+        """Merge source over run 1's bronze."""
+        return cut(_source(self.s1.bronze), "checkpoint")
+
+    @cached_property
+    def source12(self) -> DataFrame:
+        """Merge source over the whole bronze table after run 2."""
+        return cut(_source(self.s1.bronze.unionByName(self.s2.bronze)), "checkpoint")
+
+    @cached_property
+    def silver1(self) -> DataFrame:
+        """Silver after run 1 (first merge into an empty table)."""
+        return cut(S.upsert(S.empty_silver(self.spark), self.source1), "checkpoint")
+
 
 _SCENARIOS: dict[tuple, Scenario] = {}
 
@@ -620,14 +635,14 @@ def latest_session(spark, sf_dir):
 
 @register("silver_typed", O.with_ctes(*_ALL, select=O.silver_source("SELECT * FROM bronze1")))
 def silver_typed(spark, sf_dir):
-    return _source(scenario(spark, sf_dir).s1.bronze)
+    return scenario(spark, sf_dir).source1
 
 
 @register("clean_hash", O.with_ctes(*_ALL, select=(
     f"SELECT tanggal, toko, id_kreator, pukul_live, waktu_live_time, row_hash_clean FROM ("
     f"{O.silver_source('SELECT * FROM bronze1')})")))
 def clean_hash(spark, sf_dir):
-    return _source(scenario(spark, sf_dir).s1.bronze).select(
+    return scenario(spark, sf_dir).source1.select(
         "tanggal", "toko", "id_kreator", "pukul_live", "waktu_live_time", "row_hash_clean")
 
 
@@ -637,10 +652,7 @@ _SILVER1 = O.upsert(f"SELECT * FROM ({_S1}) WHERE false", _S1)
 
 
 def _silver_after_runs(sc: Scenario, with_action: bool = False) -> DataFrame:
-    s1 = _source(sc.s1.bronze)
-    silver1 = S.upsert(S.empty_silver(sc.raw1.sparkSession), s1)
-    s12 = _source(sc.s1.bronze.unionByName(sc.s2.bronze))
-    return S.upsert(silver1, s12, with_action=with_action)
+    return S.upsert(sc.silver1, sc.source12, with_action=with_action)
 
 
 @register("silver_upsert", O.with_ctes(*_ALL, select=O.upsert(_SILVER1, _S12)))
@@ -660,9 +672,7 @@ def merge_idempotent(spark, sf_dir):
     """Merging the same source twice: keyed rows equal one merge; unkeyed rows
     are inserted again (as the warehouse MERGE does)."""
     sc = scenario(spark, sf_dir)
-    s1 = _source(sc.s1.bronze)
-    once = S.upsert(S.empty_silver(spark), s1)
-    return S.upsert(once, s1)
+    return S.upsert(sc.silver1, sc.source1)
 
 
 _NULL_KEY = ("tanggal IS NULL OR toko IS NULL OR id_kreator IS NULL OR "
@@ -677,7 +687,7 @@ def merge_null_key(spark, sf_dir):
     unkeyed = (F.col("tanggal").isNull() | F.col("toko").isNull() | F.col("id_kreator").isNull()
                | F.coalesce(F.concat(F.lit("H"), F.col("pukul_live").cast("string")),
                             F.concat(F.lit("T"), F.col("waktu_live_time"))).isNull())
-    s12 = _source(sc.s1.bronze.unionByName(sc.s2.bronze)).withColumn("_side", F.lit("source"))
+    s12 = sc.source12.withColumn("_side", F.lit("source"))
     after = _silver_after_runs(sc).withColumn("_side", F.lit("after"))
     both = s12.unionByName(after)
     return both.agg(
@@ -690,8 +700,7 @@ def merge_null_key(spark, sf_dir):
     "row_hash_clean NULLS FIRST LIMIT 3")))
 def preview(spark, sf_dir):
     sc = scenario(spark, sf_dir)
-    silver1 = S.upsert(S.empty_silver(spark), _source(sc.s1.bronze))
-    return silver1.orderBy("tanggal", "toko", "id_kreator", "row_hash_clean").limit(3)
+    return sc.silver1.orderBy("tanggal", "toko", "id_kreator", "row_hash_clean").limit(3)
 
 
 def all_queries() -> dict[str, Query]:
@@ -718,8 +727,7 @@ def merge_full_reload(spark, sf_dir):
     sc = scenario(spark, sf_dir)
     full2, _ = B.build_bronze(sc.s2.valid, sc.run2, None)
     source = _source(sc.s1.bronze.unionByName(B.dedup_first(full2)))
-    silver1 = S.upsert(S.empty_silver(spark), _source(sc.s1.bronze))
-    return (S.upsert(silver1, source, with_action=True)
+    return (S.upsert(sc.silver1, source, with_action=True)
             .groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n_rows")))
 
 
