@@ -16,6 +16,7 @@ column list (bounded by the number of checked columns).
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -128,8 +129,6 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     or ``checkpoint`` (written to the shared checkpoint folder: survives the
     loss of executors without recomputation, and cuts the lineage).
     """
-    import time
-
     timings: dict[str, float] = {}
     clock = [time.time()]
 
@@ -169,7 +168,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
             all_bronze = S.restrict_to_sessions(all_bronze, bronze)
         source = S.silver_source(all_bronze.drop("date", "run_key"), decimal_comma)
         if silver_layout == "by_day":
-            silver_version = store.merge_silver_by_day(spark, root, source, S.SILVER_SCHEMA)
+            silver_version = store.upsert_silver_by_day(spark, root, source, S.SILVER_SCHEMA)
         else:
             target = store.read_silver(spark, root, S.SILVER_SCHEMA)
             silver_version = store.write_silver(S.upsert(target, source), root, spark)

@@ -150,8 +150,20 @@ def document_column(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def _struct_fields(schema: str) -> str:
+    """``"a string, b decimal(38,9)"`` -> ``"a: string, b: decimal(38,9)"``
+    (splits only on top-level commas)."""
+    fields, depth, cur = [], 0, ""
+    for ch in schema:
+        depth += ch in "(<"
+        depth -= ch in ")>"
+        if ch == "," and depth == 0:
+            fields.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    fields.append(cur)
     parts = []
-    for field in schema.split(","):
+    for field in fields:
         name, typ = field.strip().split(" ", 1)
         parts.append(f"{name}: {typ}")
     return ", ".join(parts)
@@ -168,7 +180,7 @@ def read_silver_by_day(spark: SparkSession, root: str, schema: str) -> DataFrame
     return spark.read.schema(schema).parquet(path)
 
 
-def merge_silver_by_day(spark: SparkSession, root: str, source: DataFrame, schema: str) -> int:
+def upsert_silver_by_day(spark: SparkSession, root: str, source: DataFrame, schema: str) -> int:
     """MERGE ``source`` into the day-partitioned silver table, rewriting only the
     days the source touches (dynamic partition overwrite).
 

@@ -112,8 +112,9 @@ def _thousands(dl: Dialect, n: str) -> str:
     )
 
 
-def base_select(dl: Dialect, run: int) -> list[str]:
-    """First projection over ``events``: derived scalars used by the rules."""
+def base_select(dl: Dialect, run: int) -> tuple[list[str], str]:
+    """First projection over ``events`` (derived scalars used by the rules) and
+    the CASE branches naming each row's special-pair mode."""
     modes = " ".join(
         f"WHEN u % 5 = {int(sh[-1])} AND d = DATE '{day}' THEN '{m1 if run == 1 else m2}'"
         for sh, day, m1, m2 in SPECIAL_PAIRS
@@ -124,8 +125,7 @@ def base_select(dl: Dialect, run: int) -> list[str]:
     return [
         "event_id AS e", "user_id AS u", "ts", "event_type AS et",
         f"{n_expr} AS n", f"{dl.json_k('props')} AS k", "CAST(ts AS DATE) AS d",
-        # `modes` needs u and d, so it is computed in the second projection.
-    ], modes
+    ], modes  # `modes` needs u and d, so it is evaluated in the second projection
 
 
 def raw_select(dl: Dialect, run: int) -> tuple[list[str], list[str], str]:
