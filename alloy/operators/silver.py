@@ -71,20 +71,28 @@ def _col(df: DataFrame, name: str, dtype: str = "string") -> Column:
     return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast(dtype)
 
 
-def session_keys(df: DataFrame) -> list[Column]:
-    """Dedup key of a session: UPPER(TRIM(toko)), UPPER(TRIM(id)), DATE(tanggal), hour."""
+def session_keys(df: DataFrame, split_by_time: bool = False) -> list[Column]:
+    """Dedup key of a session: UPPER(TRIM(toko)), UPPER(TRIM(id)), DATE(tanggal), hour.
+
+    By default sessions without an hour share one key per shop/creator/day (as
+    in the source system). ``split_by_time`` keys them by their time text instead.
+    """
+    hour = _col(df, "pukul_live", "int")
+    if split_by_time:
+        hour = F.coalesce(F.concat(F.lit("H"), hour.cast("string")),
+                          F.concat(F.lit("T"), _col(df, "waktu_live")))
     return [
         upper_trim(_col(df, "toko")).alias("_k_toko"),
         upper_trim(_col(df, "id_kreator")).alias("_k_id"),
         _col(df, "tanggal", "timestamp_ntz").cast("date").alias("_k_day"),
-        _col(df, "pukul_live", "int").alias("_k_hour"),
+        hour.alias("_k_hour"),
     ]
 
 
 LATEST_ORDER = ("snapshot_ts", "run_id", "row_hash_raw", "sheet_name", "row_no")
 
 
-def latest_per_session(bronze: DataFrame, order=LATEST_ORDER) -> DataFrame:
+def latest_per_session(bronze: DataFrame, order=LATEST_ORDER, split_by_time: bool = False) -> DataFrame:
     """ROW_NUMBER() = 1 per session ordered by snapshot_ts DESC, run_id DESC.
 
     Rows of one build share snapshot_ts and run_id, so ties are broken by
@@ -95,7 +103,7 @@ def latest_per_session(bronze: DataFrame, order=LATEST_ORDER) -> DataFrame:
     """
     cols = bronze.columns
     order_cols = [c for c in order if c in cols]
-    keyed = bronze.select("*", *session_keys(bronze))
+    keyed = bronze.select("*", *session_keys(bronze, split_by_time))
     picked = keyed.groupBy("_k_toko", "_k_id", "_k_day", "_k_hour").agg(
         F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]),
                  F.struct(*[F.col(f"`{c}`") for c in order_cols])).alias("_r"))
@@ -150,9 +158,10 @@ def with_clean_hash(t: DataFrame) -> DataFrame:
     return t.withColumn("row_hash_clean", clean_row_hash(parts))
 
 
-def silver_source(bronze: DataFrame, decimal_comma: bool = False) -> DataFrame:
+def silver_source(bronze: DataFrame, decimal_comma: bool = False, split_by_time: bool = False) -> DataFrame:
     """Bronze -> merge source S (latest, typed, hashed), in silver column order."""
-    return with_clean_hash(typed(latest_per_session(bronze), decimal_comma)).select(*SILVER_COLS)
+    latest = latest_per_session(bronze, split_by_time=split_by_time)
+    return with_clean_hash(typed(latest, decimal_comma)).select(*SILVER_COLS)
 
 
 def _merge_key(df: DataFrame) -> Column:
@@ -165,23 +174,36 @@ def _keyed(df: DataFrame) -> Column:
         & F.col("_mk").isNotNull()
 
 
-def upsert(target: DataFrame, source: DataFrame, with_action: bool = False) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, with_action: bool = False,
+           null_safe_keys: bool = False) -> DataFrame:
     """New silver snapshot = MERGE(target, source).
 
     With ``with_action`` an ``_action`` column tells ``insert`` / ``update`` /
     ``keep`` (matched, hash equal) / ``retain`` (target row not in source).
+    ``null_safe_keys`` lets NULL key parts match each other, so an unkeyed
+    session is updated instead of inserted again by every run. Both sides are
+    unique on the NULL-safe key (the source by its session dedup), so this adds
+    no hot key either.
     """
-    t = target.select(*SILVER_COLS).withColumn("_mk", _merge_key(target))
-    s = source.select(*SILVER_COLS).withColumn("_mk", _merge_key(source))
-    t_keyed, t_loose = t.filter(_keyed(t)), t.filter(~_keyed(t))
-    s_keyed, s_loose = s.filter(_keyed(s)), s.filter(~_keyed(s))
+    t = target.select(*SILVER_COLS).withColumn("_mk", _merge_key(target)).withColumn("_present", F.lit(True))
+    s = source.select(*SILVER_COLS).withColumn("_mk", _merge_key(source)).withColumn("_present", F.lit(True))
+    if null_safe_keys:
+        empty = F.lit(False)
+        t_keyed, t_loose = t, t.filter(empty)
+        s_keyed, s_loose = s, s.filter(empty)
+    else:
+        t_keyed, t_loose = t.filter(_keyed(t)), t.filter(~_keyed(t))
+        s_keyed, s_loose = s.filter(_keyed(s)), s.filter(~_keyed(s))
 
     ta = t_keyed.select(*[F.col(c).alias(f"t_{c}") for c in t.columns])
     sa = s_keyed.select(*[F.col(c).alias(f"s_{c}") for c in s.columns])
-    cond = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in MATCH_KEYS]
+    if null_safe_keys:
+        cond = [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in MATCH_KEYS]
+    else:
+        cond = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in MATCH_KEYS]
     j = ta.join(sa, cond, "full_outer")
-    t_present = F.col("t__mk").isNotNull()
-    s_present = F.col("s__mk").isNotNull()
+    t_present = F.col("t__present").isNotNull()
+    s_present = F.col("s__present").isNotNull()
     changed = F.col("t_row_hash_clean") != F.col("s_row_hash_clean")
     take_s = s_present & (~t_present | F.coalesce(changed, F.lit(False)))
     action = (F.when(~t_present, F.lit("insert"))

@@ -119,7 +119,8 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo, registry: DataFrame,
                  watermark_mode: str = "retain", incremental_silver: bool = False,
                  decimal_comma: bool = False, silver_layout: str = "snapshot",
-                 keep: str = "persist") -> RunResult:
+                 keep: str = "persist", split_sessions_by_time: bool = False,
+                 null_safe_keys: bool = False) -> RunResult:
     """Execute one run against the tables under ``root``.
 
     ``silver_layout="snapshot"`` writes each merge as a new full version;
@@ -128,6 +129,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     kept for its several readers: ``persist`` (executor memory/disk, cheapest)
     or ``checkpoint`` (written to the shared checkpoint folder: survives the
     loss of executors without recomputation, and cuts the lineage).
+    ``split_sessions_by_time`` keeps hour-less sessions of one shop/creator/day
+    apart by their time text; ``null_safe_keys`` lets NULL merge-key parts match.
+    Both default to the source system's behaviour.
     """
     timings: dict[str, float] = {}
     clock = [time.time()]
@@ -166,12 +170,13 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         all_bronze = store.read_bronze(spark, root)
         if incremental_silver:
             all_bronze = S.restrict_to_sessions(all_bronze, bronze)
-        source = S.silver_source(all_bronze.drop("date", "run_key"), decimal_comma)
+        source = S.silver_source(all_bronze.drop("date", "run_key"), decimal_comma, split_sessions_by_time)
         if silver_layout == "by_day":
-            silver_version = store.upsert_silver_by_day(spark, root, source, S.SILVER_SCHEMA)
+            silver_version = store.upsert_silver_by_day(spark, root, source, S.SILVER_SCHEMA, null_safe_keys)
         else:
             target = store.read_silver(spark, root, S.SILVER_SCHEMA)
-            silver_version = store.write_silver(S.upsert(target, source), root, spark)
+            silver_version = store.write_silver(S.upsert(target, source, null_safe_keys=null_safe_keys),
+                                                root, spark)
         lap("silver_merge")
 
     # The manifest is written only when its content changed (ignoring the

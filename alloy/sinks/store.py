@@ -180,7 +180,8 @@ def read_silver_by_day(spark: SparkSession, root: str, schema: str) -> DataFrame
     return spark.read.schema(schema).parquet(path)
 
 
-def upsert_silver_by_day(spark: SparkSession, root: str, source: DataFrame, schema: str) -> int:
+def upsert_silver_by_day(spark: SparkSession, root: str, source: DataFrame, schema: str,
+                         null_safe_keys: bool = False) -> int:
     """MERGE ``source`` into the day-partitioned silver table, rewriting only the
     days the source touches (dynamic partition overwrite).
 
@@ -198,7 +199,7 @@ def upsert_silver_by_day(spark: SparkSession, root: str, source: DataFrame, sche
     target = read_silver_by_day(spark, root, schema)
     touched = target.join(small(days.withColumnRenamed("tanggal", "_d")),
                           F.col("tanggal").eqNullSafe(F.col("_d")), "left_semi")
-    merged = cut(S.upsert(touched, source), "checkpoint")
+    merged = cut(S.upsert(touched, source, null_safe_keys=null_safe_keys), "checkpoint")
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("tanggal").parquet(f"{root}/silver_by_day"))
     return days.count()

@@ -148,3 +148,27 @@ def test_latest_per_session_prefers_newest_run(spark):
                                     "run_id string, row_hash_raw string")
     got = sorted(r["row_no"] for r in S.latest_per_session(b).collect())
     assert got == [4, 5]
+
+
+def test_upsert_null_safe_keys_updates_unkeyed_rows(spark):
+    day = dt.date(2024, 1, 5)
+    target = _silver_rows(spark, [(day, "A", "U", None, None, 1, "h1"), (None, "A", "U", 9, "09:00:00", 2, "h2")])
+    source = _silver_rows(spark, [(day, "A", "U", None, None, 5, "h1x"), (None, "A", "U", 9, "09:00:00", 2, "h2")])
+    default = S.upsert(target, source, with_action=True)
+    assert default.count() == 4  # unkeyed rows are inserted again
+    safe = {(r["tanggal"], r["_action"]): r["gmv_live"]
+            for r in S.upsert(target, source, with_action=True, null_safe_keys=True).collect()}
+    assert safe == {(day, "update"): Decimal(5), (None, "keep"): Decimal(2)}
+
+
+def test_latest_split_by_time(spark):
+    d = dt.datetime
+    rows = [
+        ("s", "k", 3, d(2024, 1, 5), "SHOP", "U", None, "10:00", d(2024, 1, 16), "run-1", "a"),
+        ("s", "k", 4, d(2024, 1, 5), "SHOP", "U", None, "11:00", d(2024, 1, 16), "run-1", "b"),
+    ]
+    b = spark.createDataFrame(rows, "sheet_name string, creds string, row_no bigint, tanggal timestamp_ntz, "
+                                    "toko string, id_kreator string, pukul_live int, waktu_live string, "
+                                    "snapshot_ts timestamp_ntz, run_id string, row_hash_raw string")
+    assert S.latest_per_session(b).count() == 1            # source-system default: one session
+    assert S.latest_per_session(b, split_by_time=True).count() == 2
