@@ -59,6 +59,10 @@ def drop_columns(df: DataFrame, names=BRONZE_DROP_COLS) -> DataFrame:
     return df.drop(*[n for n in names if n in df.columns])
 
 
+# Up to this many sources, watermarks are applied as a literal map (no join).
+MAX_INLINE_WATERMARKS = 100_000
+
+
 def watermark_filter(df: DataFrame, watermarks: DataFrame | None, key: str = "creds",
                      date_col: str = "tanggal") -> DataFrame:
     """Keep rows whose date is strictly after their source's watermark.
@@ -66,12 +70,26 @@ def watermark_filter(df: DataFrame, watermarks: DataFrame | None, key: str = "cr
     ``watermarks`` has ``(creds, last_processed_date)`` (ISO text). A source
     without a watermark (or a NULL key) loads fully. Dates are compared as DATE,
     so a row later on the watermark day is not taken in again.
+
+    The watermark table has one row per source. It is read to the driver with a
+    bounded, checked collect and applied as a literal map, so the data is neither
+    shuffled nor joined and a hot source costs nothing extra. Past the bound it
+    falls back to a size-checked broadcast join.
     """
     if watermarks is None or key not in df.columns:
         return df
     wm = (watermarks.select(F.col(key).alias("_wm_key"),
                             F.col("last_processed_date").try_cast("date").alias("_wm"))
-          .filter(F.col("_wm").isNotNull()))
+          .filter(F.col("_wm").isNotNull() & F.col("_wm_key").isNotNull()))
+    rows = wm.limit(MAX_INLINE_WATERMARKS + 1).collect()
+    if len(rows) <= MAX_INLINE_WATERMARKS:
+        if not rows:
+            return df
+        kv = []
+        for r in rows:
+            kv += [F.lit(r["_wm_key"]), F.lit(r["_wm"])]
+        mark = F.element_at(F.create_map(*kv), F.col(key))
+        return df.filter(mark.isNull() | (F.col(date_col).cast("date") > mark))
     joined = df.join(small(wm), df[key] == F.col("_wm_key"), "left")
     keep = F.col("_wm").isNull() | (F.col(date_col).cast("date") > F.col("_wm"))
     return joined.filter(keep).drop("_wm_key", "_wm")

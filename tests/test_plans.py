@@ -43,15 +43,29 @@ def test_dedup_and_latest_aggregate_before_the_shuffle(spark):
         assert "Window" not in plan
 
 
-def test_watermark_lookup_is_broadcast(spark):
+def test_watermark_lookup_needs_no_join(spark):
+    """Watermarks (one row per source) are applied as a literal map: the data is
+    neither joined nor shuffled, whatever the size estimate of the state says."""
     valid = _bronze(spark).drop("path", "row_hash_raw", "snapshot_ts", "run_id", "pukul_live")
     valid = valid.withColumnRenamed("tanggal", "Tanggal")
-    # A source with a known size (state tables are small files); an RDD-backed
-    # frame has no estimate and is rightly left to AQE.
-    wm = spark.range(1).select(F.lit("k").alias("creds"), F.lit("2024-01-01").alias("last_processed_date"))
+    wm = spark.createDataFrame([("k", "2024-01-01")], "creds string, last_processed_date string")
     b, _ = B.build_bronze(valid, B.RunInfo.at("2024-01-16 00:00:00", "r"), wm)
     plan = _plan(b)
-    assert "BroadcastExchange" in plan and "SortMergeJoin" not in plan
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_recovered_split_needs_no_join(spark):
+    """Recovered keys are applied as a literal key set on the valid rows."""
+    from alloy.operators import state as ST
+
+    valid = spark.createDataFrame([("s", "k", dt.datetime(2024, 1, 5), i) for i in range(50)],
+                                  "sheet_name string, creds string, Tanggal timestamp_ntz, row_no bigint")
+    resolved = spark.createDataFrame([("s", "k", "2024-01-05", ["A"], 50, "t", "p", "open")], ST.MANIFEST_SCHEMA)
+    counts = ST.valid_counts(valid)
+    recovered, regular = ST.split_recovered(valid, resolved, counts)
+    assert recovered.count() == 50 and regular.count() == 0
+    plan = _plan(regular)
+    assert "Join" not in plan and "Exchange" not in plan
 
 
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
