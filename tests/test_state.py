@@ -74,3 +74,32 @@ def test_recovery_report_counts(spark):
     rep = ST.recovery_report(resolved, counts).first().asDict()
     assert rep == {"recovery_resolved": 3, "recovery_recovered_rows": 2, "recovery_count_mismatch": 1,
                    "recovery_absent": 1}
+
+
+def test_lookup_fallbacks_agree_with_inline(spark, monkeypatch):
+    """Past the inline bounds, the join fallbacks give the same rows."""
+    import datetime as dt
+
+    from alloy.operators import bronze as B
+
+    d = dt.datetime
+    valid = spark.createDataFrame(
+        [("s", "k1", i, d(2024, 1, 4 + i % 3), "2024/01/05/10:00", "t", "u") for i in range(12)]
+        + [("s", None, 99, d(2024, 1, 1), "2024/01/01/10:00", "t", "u")],
+        "sheet_name string, creds string, row_no bigint, Tanggal timestamp_ntz, `Waktu Live` string, "
+        "Toko string, `ID Kreator` string")
+    wm = spark.createDataFrame([("k1", "2024-01-04")], "creds string, last_processed_date string")
+    run = B.RunInfo.at("2024-01-16 00:00:00", "r")
+    inline = sorted(r["row_no"] for r in B.build_bronze(valid, run, wm)[0].collect())
+    monkeypatch.setattr(B, "MAX_INLINE_WATERMARKS", 0)
+    joined = sorted(r["row_no"] for r in B.build_bronze(valid, run, wm)[0].collect())
+    assert inline == joined and 99 in inline and 0 not in inline
+
+    resolved = _entries(spark, [("s", "k1", "2024-01-05", 4, "open")])
+    counts = ST.valid_counts(valid)
+    rec_inline, reg_inline = ST.split_recovered(valid, resolved, counts)
+    monkeypatch.setattr(ST, "MAX_INLINE_KEYS", 0)
+    rec_join, reg_join = ST.split_recovered(valid, resolved, counts)
+    assert sorted(r["row_no"] for r in rec_inline.collect()) == sorted(r["row_no"] for r in rec_join.collect())
+    assert sorted(r["row_no"] for r in reg_inline.collect()) == sorted(r["row_no"] for r in reg_join.collect())
+    assert rec_inline.count() == 4
