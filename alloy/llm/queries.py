@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alloy.llm import exact_dedup, packing, sharding
+from alloy.llm import exact_dedup, packing, pii, quality, secrets, sharding, toxicity
 from alloy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,10 +40,35 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's category probabilities and verdict."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit_chain(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: base counts and digest, all spans."""
+    return secrets.span_columns(secrets.find_secrets(table(spark, sf_dir, "documents")), secrets.BASE_KINDS)
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: base counts and digest, all spans."""
+    return secrets.span_columns(pii.find_pii(table(spark, sf_dir, "documents")), pii.BASE_KINDS)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weak label and quality score."""
+    return quality.score_quality(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
+    "op7_secrets": op7_secrets,
+    "op9_pii": op9_pii,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
