@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alloy.llm import exact_dedup, packing, pii, quality, secrets, sharding, toxicity
+from alloy.llm import exact_dedup, near_dup, packing, pii, quality, secrets, sharding, toxicity
 from alloy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit_chain(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near duplicates."""
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secrets: base counts and digest, all spans."""
     return secrets.span_columns(secrets.find_secrets(table(spark, sf_dir, "documents")), secrets.BASE_KINDS)
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_near_dup": op6_near_dup,
     "op7_secrets": op7_secrets,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
