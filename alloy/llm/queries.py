@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alloy.llm import exact_dedup, near_dup, packing, pii, quality, secrets, sharding, toxicity
+from alloy.llm import exact_dedup, near_dup, packing, pii, quality, secrets, sharding, suffix_dedup, toxicity
 from alloy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_columns(secrets.find_secrets(table(spark, sf_dir, "documents")), secrets.BASE_KINDS)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes without strings of 100 bytes that start earlier."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's personal data: base counts and digest, all spans."""
     return secrets.span_columns(pii.find_pii(table(spark, sf_dir, "documents")), pii.BASE_KINDS)
@@ -73,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op6_near_dup": op6_near_dup,
     "op7_secrets": op7_secrets,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
