@@ -33,7 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose texts hold about ``limit`` bytes (one row at
     least), so that a worker's memory does not follow the batch size."""
     import pyarrow.compute as pc

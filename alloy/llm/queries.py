@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alloy.llm import exact_dedup, near_dup, packing, pii, quality, secrets, sharding, suffix_dedup, toxicity
+from alloy.llm import decontam, exact_dedup, near_dup, packing, pii, quality, secrets, sharding, suffix_dedup, toxicity
 from alloy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ SHARDS = [f"shard-{i:02d}" for i in range(24)]
 SLOTS = 2503
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that leaks into a document."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's slot and shard."""
     return sharding.assign(table(spark, sf_dir, "documents"), SHARDS, SLOTS)
@@ -75,6 +80,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_packing": op4_packing,
