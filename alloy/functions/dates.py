@@ -41,14 +41,14 @@ def parse_mixed_date(col: Column | str) -> Column:
     ymd = F.when(sn.rlike(_YMD), F.try_to_date(sn, "yyyy/M/d"))
     dmy4 = F.when(sn.rlike(_DMY4), F.try_to_date(sn, "d/M/yyyy"))
     yy = F.substring_index(sn, "/", -1)
-    century = F.when(yy.cast("int") >= F.lit(TWO_DIGIT_YEAR_PIVOT), F.lit("19")).otherwise(F.lit("20"))
+    century = F.when(yy.try_cast("int") >= F.lit(TWO_DIGIT_YEAR_PIVOT), F.lit("19")).otherwise(F.lit("20"))
     dmy2 = F.when(
         sn.rlike(_DMY2),
         F.try_to_date(F.concat(F.substring_index(sn, "/", 2), F.lit("/"), century, yy), "d/M/yyyy"),
     )
     serial = F.when(
-        s.rlike(_SERIAL) & (s.cast("int") <= F.lit(SERIAL_MAX_DAYS)),
-        F.date_add(F.lit(SERIAL_EPOCH).cast("date"), s.cast("int")),
+        s.rlike(_SERIAL) & (s.try_cast("int") <= F.lit(SERIAL_MAX_DAYS)),
+        F.date_add(F.lit(SERIAL_EPOCH).cast("date"), F.least(s.try_cast("int"), F.lit(SERIAL_MAX_DAYS))),
     )
     generic = F.when(s.rlike(_ISO_DATETIME), s.try_cast(NTZ))
     return F.coalesce(

@@ -36,12 +36,14 @@ def hash_text(col: Column, kind: str) -> Column:
     """Canonical text of a typed value for ``clean_row_hash``.
 
     ``date`` -> yyyy-MM-dd; ``timestamp`` -> yyyy-MM-dd HH:mm:ss; ``double`` ->
-    text of decimal(18,6) (engines print doubles differently); others -> cast.
+    text of a decimal (engines print doubles differently): 12 places below 1000,
+    2 places from there, ``huge`` beyond any decimal; others -> cast.
     """
     if kind == "date":
         return F.date_format(col, "yyyy-MM-dd")
     if kind == "timestamp":
         return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
     if kind == "double":
-        return col.cast("decimal(18,6)").cast("string")
+        fine, coarse = (col.try_cast(t).cast("string") for t in ("decimal(38,12)", "decimal(38,2)"))
+        return F.when(F.abs(col) < 1000, fine).when(col.isNotNull(), F.coalesce(coarse, F.lit("huge")))
     return col.cast("string")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from alloy.constants import BRONZE_DROP_COLS, RAW_HASH_COLS
 from alloy.functions import not_blank_or_null, raw_row_hash, session_hour, snake_case_columns
-from alloy.operators.common import small
+from alloy.operators.common import measured, small
 
 TAGS = ("sheet_name", "creds", "row_no")
 
@@ -59,40 +59,27 @@ def drop_columns(df: DataFrame, names=BRONZE_DROP_COLS) -> DataFrame:
     return df.drop(*[n for n in names if n in df.columns])
 
 
-# Up to this many sources, watermarks are applied as a literal map (no join).
-MAX_INLINE_WATERMARKS = 100_000
-
-
 def watermark_filter(df: DataFrame, watermarks: DataFrame | None, key: str = "creds",
-                     date_col: str = "tanggal") -> DataFrame:
-    """Keep rows whose date is strictly after their source's watermark.
+                     date_col: str = "tanggal", by_day: bool = False) -> DataFrame:
+    """Keep rows whose timestamp is after their source's watermark.
 
-    ``watermarks`` has ``(creds, last_processed_date)`` (ISO text). A source
-    without a watermark (or a NULL key) loads fully. Dates are compared as DATE,
-    so a row later on the watermark day is not taken in again.
+    ``watermarks`` has ``(creds, last_processed_date)`` (ISO text; a mark is the
+    start of its day). A source without a watermark (or a NULL key) loads fully.
+    A session later on the marked day is therefore taken in; ``by_day`` compares
+    days instead and leaves the whole marked day out.
 
-    The watermark table has one row per source. It is read to the driver with a
-    bounded, checked collect and applied as a literal map, so the data is neither
-    shuffled nor joined and a hot source costs nothing extra. Past the bound it
-    falls back to a size-checked broadcast join.
+    One row per source joins the data: a broadcast join behind the size check,
+    else a join that Spark plans (and splits on a hot source) at run time.
     """
     if watermarks is None or key not in df.columns:
         return df
     wm = (watermarks.select(F.col(key).alias("_wm_key"),
                             F.col("last_processed_date").try_cast("date").alias("_wm"))
           .filter(F.col("_wm").isNotNull() & F.col("_wm_key").isNotNull()))
-    rows = wm.limit(MAX_INLINE_WATERMARKS + 1).collect()
-    if len(rows) <= MAX_INLINE_WATERMARKS:
-        if not rows:
-            return df
-        kv = []
-        for r in rows:
-            kv += [F.lit(r["_wm_key"]), F.lit(r["_wm"])]
-        mark = F.element_at(F.create_map(*kv), F.col(key))
-        return df.filter(mark.isNull() | (F.col(date_col).cast("date") > mark))
-    joined = df.join(small(wm), df[key] == F.col("_wm_key"), "left")
-    keep = F.col("_wm").isNull() | (F.col(date_col).cast("date") > F.col("_wm"))
-    return joined.filter(keep).drop("_wm_key", "_wm")
+    joined = df.join(small(measured(wm, "watermarks")), df[key] == F.col("_wm_key"), "left")
+    when = F.col(date_col).cast("date") if by_day else F.col(date_col).cast("timestamp_ntz")
+    mark = F.col("_wm") if by_day else F.col("_wm").cast("timestamp_ntz")
+    return joined.filter(mark.isNull() | (when > mark)).drop("_wm_key", "_wm")
 
 
 def max_dates(df: DataFrame, key: str = "creds", date_col: str = "tanggal") -> DataFrame:
@@ -103,7 +90,7 @@ def max_dates(df: DataFrame, key: str = "creds", date_col: str = "tanggal") -> D
 
 
 def build_bronze(valid: DataFrame, run: RunInfo, watermarks: DataFrame | None = None,
-                 path: int = 0, hash_cols=RAW_HASH_COLS) -> tuple[DataFrame, DataFrame]:
+                 path: int = 0, hash_cols=RAW_HASH_COLS, by_day: bool = False) -> tuple[DataFrame, DataFrame]:
     """Valid rows -> (bronze rows, max date per source of the kept rows).
 
     ``path`` is 0 for regular rows and 1 for recovered rows; together with
@@ -121,7 +108,7 @@ def build_bronze(valid: DataFrame, run: RunInfo, watermarks: DataFrame | None =
         "run_id": F.lit(run.run_id),
     })
     df = df.withColumn("row_hash_raw", raw_row_hash(df, list(hash_cols)))
-    df = watermark_filter(df, watermarks)
+    df = watermark_filter(df, watermarks, by_day=by_day)
     mx = max_dates(df) if "creds" in df.columns else None
     df = drop_columns(df).withColumn("path", F.lit(path))
     return df, mx

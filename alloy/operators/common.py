@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from alloy.session import scratch_path
+
 # Largest estimated size of a side that is broadcast explicitly.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
@@ -23,8 +25,13 @@ def small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     (e.g. derived from the full data) is left to AQE, which re-plans the join
     from the sizes measured at run time.
     """
-    try:
-        size = estimated_bytes(df)
-    except Exception:  # noqa: BLE001 - no estimate: let AQE decide
-        return df
-    return F.broadcast(df) if size <= max_bytes else df
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+
+
+def measured(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, so that its size is known before the
+    join that reads it is planned (an estimate of a derived table is that of
+    its inputs, and the large side would be shuffled for nothing)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,13 +1,10 @@
 """Silver: latest bronze row per session, typed projection, clean hash, upsert.
 
-The upsert reproduces the warehouse MERGE:
+The upsert has the warehouse MERGE's effect: a session is known by day, shop,
+creator and hour (or, if neither side has an hour, time); a known session is
+replaced when its clean hash differs, an unknown one is added.
 
-    ON  T.tanggal = S.tanggal AND T.toko = S.toko AND T.id_kreator = S.id_kreator
-    AND ((both hours non-NULL and equal) OR (both hours NULL and times equal))
-    WHEN MATCHED AND T.row_hash_clean != S.row_hash_clean THEN UPDATE
-    WHEN NOT MATCHED THEN INSERT
-
-The disjunction becomes one equi key, ``merge_key = coalesce('H'||hour,
+Hour and time become one equi key, ``merge_key = coalesce('H'||hour,
 'T'||time)``, so the match is a plain four-key join. Rows with a NULL in any
 key can never match; they are split off before the join (so they cannot pile
 onto one reducer) and pass straight through: target rows are kept, source rows
@@ -31,7 +28,7 @@ from alloy.functions import (
 
 MONEY = "decimal(38,9)"
 
-# (silver column, bronze column, kind); kind drives type and hash text.
+# Fixed values: (silver column, bronze column, kind); kind drives type and hash text.
 TYPED = [
     ("gmv_bruto_live", "nilai_barang_dagangan_bruto_live_rp", "money"),
     ("gmv_live", "gmv_yang_didapat_dari_live_rp", "money"),
@@ -75,12 +72,13 @@ def session_keys(df: DataFrame, split_by_time: bool = False) -> list[Column]:
     """Dedup key of a session: UPPER(TRIM(toko)), UPPER(TRIM(id)), DATE(tanggal), hour.
 
     By default sessions without an hour share one key per shop/creator/day (as
-    in the source system). ``split_by_time`` keys them by their time text instead.
+    in the source system). ``split_by_time`` keys them by their parsed time instead,
+    which is also what the merge matches on.
     """
     hour = _col(df, "pukul_live", "int")
     if split_by_time:
         hour = F.coalesce(F.concat(F.lit("H"), hour.cast("string")),
-                          F.concat(F.lit("T"), _col(df, "waktu_live")))
+                          F.concat(F.lit("T"), parse_hhmm(_col(df, "waktu_live"))))
     return [
         upper_trim(_col(df, "toko")).alias("_k_toko"),
         upper_trim(_col(df, "id_kreator")).alias("_k_id"),
@@ -218,6 +216,25 @@ def upsert(target: DataFrame, source: DataFrame, with_action: bool = False,
     return out if with_action else out.drop("_action")
 
 
+def require_unique(source: DataFrame) -> None:
+    """Fail if two source rows have one match key: a merge would multiply them.
+    One job over four narrow columns, with partial counts before the shuffle."""
+    keyed = source.withColumn("_mk", _merge_key(source))
+    twice = keyed.filter(_keyed(keyed)).groupBy(*MATCH_KEYS).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not twice.isEmpty():
+        raise ValueError("the merge source has several rows for one session")
+
+
+#: What silver reads of bronze, whatever columns a load brought.
+BRONZE_SCHEMA = (
+    "sheet_name string, creds string, row_no bigint, tanggal timestamp_ntz, toko string, id_kreator string, "
+    "kreator string, nama_panggilan string, waktu_live string, pukul_live int, "
+    + ", ".join(f"{src} {'string' if k == 'ratio' else MONEY}" for _, src, k in TYPED)
+    + ", snapshot_ts timestamp, snapshot_date date, run_id string, row_hash_raw string, path int, "
+    "date string, run_key string, load_id string"
+)
+
+
 def empty_silver(spark) -> DataFrame:
     """Empty target with the fixed 33-column silver schema."""
     return spark.createDataFrame([], SILVER_SCHEMA)

@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from alloy.constants import INVALID_DATE, STATUS_FIXED, STATUS_OPEN, WHITESPACE
 from alloy.functions import error_date_key
-from alloy.operators.common import small
+from alloy.operators.common import measured, small
 
 WATERMARK_SCHEMA = "creds string, sheet_name string, last_processed_date string, updated_at string"
 MANIFEST_SCHEMA = ("sheet_name string, creds string, error_date string, affected_columns array<string>, "
                    "n_rows bigint, reported_at string, path string, status string")
 FIX_SCHEMA = ("sheet_name string, creds string, error_date string, affected_columns array<string>, "
-              "resolved_at string, path string, status string")
+              "resolved_at string, path string, status string")  # of the fix records on disk
 KEYS = ["sheet_name", "creds", "error_date"]
 
 
@@ -204,39 +204,21 @@ def recovery_groups(resolved: DataFrame, counts: DataFrame) -> DataFrame:
     return j.select(*KEYS, "n_rows", n.alias("n_valid"), outcome.alias("outcome"))
 
 
-# Up to this many recovered keys, the split uses a literal key set (no join).
-MAX_INLINE_KEYS = 100_000
-_SEP, _NULL = "\u0001", "\u0000"
-
-
-def _key_text(sheet: Column, creds: Column, day: Column) -> Column:
-    """One text per (sheet, creds, day) key; NULL parts get their own marker, so
-    equal texts mean NULL-safe equal keys."""
-    return F.concat_ws(_SEP, *[F.coalesce(c.cast("string"), F.lit(_NULL)) for c in (sheet, creds, day)])
-
-
 def split_recovered(valid: DataFrame, resolved: DataFrame, counts: DataFrame,
                     date_col: str = "Tanggal") -> tuple[DataFrame, DataFrame]:
     """(recovered, regular): valid rows of fully recovered keys bypass the
     watermark; every other valid row takes the regular path.
 
     Recovered keys are a subset of the previous manifest's open entries. They
-    are collected with a bounded, checked ``limit`` and applied as a literal key
-    set (a hash-set ``IN``), so the valid rows are not shuffled by key (a hot
-    sheet/day would otherwise land on one reducer). Past the bound, a NULL-safe
-    semi/anti join with a size-checked broadcast is used.
+    meet the rows in one NULL-safe semi / anti join: a broadcast join behind the
+    size check, else one that Spark plans (and splits on a hot key) at run time.
     """
     groups = recovery_groups(resolved, counts).filter(F.col("outcome") == "recovered").select(*KEYS)
-    rows = groups.limit(MAX_INLINE_KEYS + 1).collect()
-    if len(rows) <= MAX_INLINE_KEYS:
-        texts = [_SEP.join(_NULL if v is None else str(v) for v in (r["sheet_name"], r["creds"], r["error_date"]))
-                 for r in rows]
-        day = F.date_format(F.col(f"`{date_col}`").cast("date"), "yyyy-MM-dd")
-        member = _key_text(F.col("sheet_name"), F.col("creds"), day).isin(texts) if texts else F.lit(False)
-        return valid.filter(member), valid.filter(~member)
-    keyed = _key_join(_valid_key(valid, date_col), small(groups), "left_semi")
-    regular = _key_join(_valid_key(valid, date_col), small(groups), "left_anti")
-    return keyed.drop("error_date"), regular.drop("error_date")
+    groups = measured(groups, "recovered-keys")
+    keyed = _valid_key(valid, date_col)
+    recovered = _key_join(keyed, small(groups), "left_semi")
+    regular = _key_join(keyed, small(groups), "left_anti")
+    return recovered.drop("error_date"), regular.drop("error_date")
 
 
 def recovery_report(resolved: DataFrame, counts: DataFrame) -> DataFrame:

@@ -156,6 +156,12 @@ def affected_dates(flagged: DataFrame) -> DataFrame:
             .select(F.col("_parsed").alias("affected_date")).distinct())
 
 
+def sorted_dates(flagged: DataFrame) -> DataFrame:
+    """One row: the days of corrupt rows as an ascending list (a day each)."""
+    day = F.when(F.col("_corrupt"), F.col("_parsed").cast("date"))
+    return flagged.agg(F.sort_array(F.collect_set(day)).alias("affected_dates"))
+
+
 def integral_columns(valid: DataFrame, numeric_cols=NUMERIC_COLS) -> DataFrame:
     """Per numeric column, whether every cleaned value is whole (x % 1 == 0)."""
     cols = [c for c in numeric_cols if c in valid.columns]

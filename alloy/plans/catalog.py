@@ -1,8 +1,10 @@
 """Query catalogue: every operator family as a Spark query plus its DuckDB oracle.
 
 All queries read the driver's ``events`` table through the landed report
-sheets derived from it (two runs, see ``alloy.sources.fixture``), over the
-whole table. Column names are snake_case and equal on both sides.
+sheets derived from it (see ``alloy.sources.fixture``). Queries of one operator
+read all of it (run 0) and are planned from the landed Parquet; queries about
+state, recovery and merging take two runs, since two runs are what they are about.
+Column names are snake_case and equal on both sides.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from alloy.operators import silver as S
 from alloy.operators import state as ST
 from alloy.operators import validate as V
 from alloy.plans import oracle as O
-from alloy.plans.pipeline import Stages, cut, plan_run
+from alloy.plans.pipeline import Stages, affected_list, cut, plan_run
+from alloy.session import scratch_path
 from alloy.sources import fixture as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +50,60 @@ class Scenario:
         self.run1 = B.RunInfo.at(*FX.RUN_SNAPSHOTS[1])
         self.run2 = B.RunInfo.at(*FX.RUN_SNAPSHOTS[2])
 
+    # Run 0: every row, planned from the landed scan. Bronze and silver read the
+    # flagged rows as a table, as in a run: one plan from raw cells to typed silver
+    # is more than Spark's code generator takes.
+
+    @cached_property
+    def run0(self) -> B.RunInfo:
+        return B.RunInfo.at(*FX.RUN_SNAPSHOTS[0])
+
+    @cached_property
+    def raw0(self) -> DataFrame:
+        return FX.landed_sheet(self.spark, self.sf_dir, 0)
+
+    @cached_property
+    def flagged0(self) -> DataFrame:
+        return V.flag(V.filter_creator_id(self.raw0))
+
+    @cached_property
+    def flagged_table0(self) -> DataFrame:
+        path = scratch_path(self.spark, "flagged")
+        self.flagged0.write.parquet(path)
+        return self.spark.read.schema(self.flagged0.schema).parquet(path)
+
+    @cached_property
+    def valid0(self) -> DataFrame:
+        return V.valid_rows(self.flagged_table0)
+
+    @cached_property
+    def errors0(self) -> DataFrame:
+        return V.error_rows(self.flagged_table0)
+
+    @cached_property
+    def counts0(self) -> DataFrame:
+        return ST.valid_counts(self.valid0)
+
+    @cached_property
+    def current0(self) -> DataFrame:
+        mask = int(V.report(self.flagged_table0).first()["affected_mask"] or 0)
+        columns = F.array(*[F.lit(c) for c in affected_list(mask, self.flagged0.columns)]).cast("array<string>")
+        return ST.manifest_entries(self.flagged_table0, columns, self.run0.now_iso, _qpath(self.run0))
+
+    @cached_property
+    def bronze0(self) -> DataFrame:
+        return B.dedup_first(B.build_bronze(self.valid0, self.run0, None)[0])
+
+    @cached_property
+    def source0(self) -> DataFrame:
+        return _source(self.bronze0)
+
+    @cached_property
+    def silver0(self) -> DataFrame:
+        return S.upsert(S.empty_silver(self.spark), self.source0)
+
+    # Runs 1 and 2: each stage cut by a checkpoint, as a run keeps it.
+
     @cached_property
     def raw1(self) -> DataFrame:
         return FX.landed_sheet(self.spark, self.sf_dir, 1)
@@ -126,13 +183,13 @@ def _source(df: DataFrame) -> DataFrame:
 # Ingest and projections
 # ---------------------------------------------------------------------------------
 
-_RAW1 = [O.raw_cte(1)]
+_RAW0 = [O.raw_cte(0)]
 _SNAKE_RAW = ", ".join(["sheet_name", "creds", "row_no"] + [f"{O.q(c)} AS {AF.snake_case(c)}" for c in FX.FIXTURE_COLS])
 
 
-@register("grid_to_frame", O.with_ctes(*_RAW1, select=f"SELECT {_SNAKE_RAW} FROM raw1"))
+@register("grid_to_frame", O.with_ctes(*_RAW0, select=f"SELECT {_SNAKE_RAW} FROM raw0"))
 def grid_to_frame(spark, sf_dir):
-    return _snake(scenario(spark, sf_dir).raw1)
+    return _snake(scenario(spark, sf_dir).raw0)
 
 
 def _header_values() -> str:
@@ -160,7 +217,7 @@ def snake_case_rename(spark, sf_dir):
     whether the column reaches bronze (non-empty, first of its name, not dropped)."""
     from pyspark.sql import Window
 
-    grid = FX.landed_grid(spark, sf_dir, 1)
+    grid = FX.landed_grid(spark, sf_dir, 0)
     hdr = grid.filter(F.col("row_no") == 2).select("sheet_name", F.posexplode("cells").alias("position", "header"))
     first = F.row_number().over(Window.partitionBy("sheet_name", "header").orderBy("position")) == 1
     snake = AF.snake_case_col(F.col("header"))
@@ -170,20 +227,20 @@ def snake_case_rename(spark, sf_dir):
     )
 
 
-@register("nonblank_id", O.with_ctes(*_RAW1, select=(
-    f"SELECT sheet_name, row_no, {O.q('ID Kreator')} AS id_kreator FROM raw1 "
+@register("nonblank_id", O.with_ctes(*_RAW0, select=(
+    f"SELECT sheet_name, row_no, {O.q('ID Kreator')} AS id_kreator FROM raw0 "
     f"WHERE {O.q('ID Kreator')} IS NULL OR {O.strip(O.q('ID Kreator'))} <> ''")))
 def nonblank_id(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     return V.filter_creator_id(raw).select("sheet_name", "row_no", F.col("`ID Kreator`").alias("id_kreator"))
 
 
-_F1 = [O.raw_cte(1), O.flag_cte(1)]
+_F0 = [O.raw_cte(0), O.flag_cte(0)]
 
 
-@register("blank_rows", O.with_ctes(*_F1, select="SELECT sheet_name, row_no, _blank AS is_blank FROM flag1"))
+@register("blank_rows", O.with_ctes(*_F0, select="SELECT sheet_name, row_no, _blank AS is_blank FROM flag0"))
 def blank_rows(spark, sf_dir):
-    return scenario(spark, sf_dir).s1.flagged.select("sheet_name", "row_no", F.col("_blank").alias("is_blank"))
+    return scenario(spark, sf_dir).flagged0.select("sheet_name", "row_no", F.col("_blank").alias("is_blank"))
 
 
 _GMV = "GMV yang didapat dari LIVE (Rp)"
@@ -191,12 +248,12 @@ _BRUTO = "Nilai barang dagangan bruto (LIVE) (Rp)"
 _HARGA = "Harga Rata-Rata (Rp)"
 
 
-@register("locale_numbers", O.with_ctes(*_RAW1, select=(
+@register("locale_numbers", O.with_ctes(*_RAW0, select=(
     f"SELECT sheet_name, row_no, {O.number_text(O.q(_GMV))} AS gmv_text, {O.number(O.q(_GMV))} AS gmv_value, "
     f"{O.number(O.q(_BRUTO))} AS gmv_bruto_value, {O.number(O.q(_HARGA))} AS harga_value, "
-    f"{O.number(O.q('Komentar'))} AS komentar_value FROM raw1")))
+    f"{O.number(O.q('Komentar'))} AS komentar_value FROM raw0")))
 def locale_numbers(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     return raw.select(
         "sheet_name", "row_no",
         AF.locale_number_text(F.col(f"`{_GMV}`")).alias("gmv_text"),
@@ -214,14 +271,14 @@ def _fill_sql() -> str:
         parts.append(
             f"SELECT {i} AS position, '{AF.snake_case(c)}' AS column_name, CAST(sum({v}) AS DECIMAL(38,9)) AS total, "
             f"count(*) FILTER (WHERE {v} <> 0) AS n_nonzero, coalesce(bool_and(({v} % 1) = 0), true) AS all_integral "
-            f"FROM valid1")
-    return O.with_ctes(O.raw_cte(1), O.flag_cte(1), O.valid_cte(1), select=" UNION ALL ".join(parts))
+            f"FROM valid0")
+    return O.with_ctes(O.raw_cte(0), O.flag_cte(0), O.valid_cte(0), select=" UNION ALL ".join(parts))
 
 
 @register("numeric_fill_zero", _fill_sql())
 def numeric_fill_zero(spark, sf_dir):
     """Per numeric column of the valid rows: total, non-zero count, all whole."""
-    valid = scenario(spark, sf_dir).s1.valid
+    valid = scenario(spark, sf_dir).valid0
     aggs = []
     for c in NUMERIC_COLS:
         v = F.col(f"`{c}`")
@@ -236,12 +293,12 @@ def numeric_fill_zero(spark, sf_dir):
         "r.position", "r.column_name", "r.v.total", "r.v.n_nonzero", "r.v.all_integral")
 
 
-@register("percent_ratio", O.with_ctes(*_RAW1, select=(
+@register("percent_ratio", O.with_ctes(*_RAW0, select=(
     f"SELECT sheet_name, row_no, {O.percent_ratio(O.q('CTR'))} AS ctr_ratio, "
     f"{O.percent_ratio(O.q('CTR'), True)} AS ctr_ratio_comma, "
-    f"{O.percent_ratio(O.q('Rasio pesanan per klik (LIVE)'))} AS cvr_ratio FROM raw1")))
+    f"{O.percent_ratio(O.q('Rasio pesanan per klik (LIVE)'))} AS cvr_ratio FROM raw0")))
 def percent_ratio(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     return raw.select(
         "sheet_name", "row_no",
         AF.percent_ratio(F.col("CTR")).alias("ctr_ratio"),
@@ -250,24 +307,24 @@ def percent_ratio(spark, sf_dir):
     )
 
 
-@register("mixed_dates", O.with_ctes(*_RAW1, select=(
+@register("mixed_dates", O.with_ctes(*_RAW0, select=(
     f"SELECT sheet_name, row_no, {O.q('Tanggal')} AS tanggal_raw, p AS parsed, CAST(p AS DATE) AS parsed_date, "
     f"coalesce(strftime(CAST(p AS DATE), '%Y-%m-%d'), 'INVALID_DATE') AS date_key "
-    f"FROM (SELECT *, {O.parse_date(O.q('Tanggal'))} AS p FROM raw1)")))
+    f"FROM (SELECT *, {O.parse_date(O.q('Tanggal'))} AS p FROM raw0)")))
 def mixed_dates(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     p = AF.parse_mixed_date(F.col("Tanggal"))
     return raw.select("sheet_name", "row_no", F.col("Tanggal").alias("tanggal_raw"), p.alias("parsed")).select(
         "sheet_name", "row_no", "tanggal_raw", "parsed", F.col("parsed").cast("date").alias("parsed_date"),
         AF.error_date_key(F.col("parsed")).alias("date_key"))
 
 
-@register("safe_casts", O.with_ctes(*_RAW1, select=(
+@register("safe_casts", O.with_ctes(*_RAW0, select=(
     f"SELECT sheet_name, row_no, {O.round_to_long(O.number(O.q(_GMV)))} AS gmv_long, "
     f"{O.round_to_long(O.number(O.q(_HARGA)))} AS harga_long, "
-    f"TRY_CAST({O.number(O.q(_GMV))} AS DECIMAL(38,9)) AS gmv_money FROM raw1")))
+    f"TRY_CAST({O.number(O.q(_GMV))} AS DECIMAL(38,9)) AS gmv_money FROM raw0")))
 def safe_casts(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     return raw.select(
         "sheet_name", "row_no",
         AF.round_to_long(AF.locale_number(F.col(f"`{_GMV}`"))).alias("gmv_long"),
@@ -279,11 +336,11 @@ def safe_casts(spark, sf_dir):
 _W = O.q("Waktu Live")
 
 
-@register("session_hour", O.with_ctes(*_RAW1, select=(
-    f"SELECT sheet_name, row_no, {_W} AS waktu_live, {O.session_hour(_W)} AS pukul_live FROM raw1 "
+@register("session_hour", O.with_ctes(*_RAW0, select=(
+    f"SELECT sheet_name, row_no, {_W} AS waktu_live, {O.session_hour(_W)} AS pukul_live FROM raw0 "
     f"WHERE {_W} IS NULL OR {O.strip(_W)} <> ''")))
 def session_hour(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     w = F.col("`Waktu Live`")
     return raw.filter(AF.not_blank_or_null(w)).select(
         "sheet_name", "row_no", w.alias("waktu_live"), AF.session_hour(w).alias("pukul_live"))
@@ -293,8 +350,8 @@ def _session_time_sql() -> str:
     h = "TRY_CAST(round(ph) AS BIGINT)"
     t = f"(CASE WHEN {h} IS NOT NULL THEN {O.time_from_hour(h)} ELSE {O.parse_hhmm(_W)} END)"
     inner = (f"SELECT sheet_name, row_no, CAST({O.parse_date(O.q('Tanggal'))} AS DATE) AS tanggal, "
-             f"{O.session_hour(_W)} AS ph, {_W} FROM raw1")
-    return O.with_ctes(*_RAW1, select=(
+             f"{O.session_hour(_W)} AS ph, {_W} FROM raw0")
+    return O.with_ctes(*_RAW0, select=(
         f"SELECT sheet_name, row_no, tanggal, {t} AS waktu_live_time, "
         f"CASE WHEN tanggal IS NOT NULL AND {t} IS NOT NULL THEN tanggal + CAST({t} AS TIME) END AS sesi_start "
         f"FROM ({inner})"))
@@ -302,7 +359,7 @@ def _session_time_sql() -> str:
 
 @register("session_time", _session_time_sql())
 def session_time(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     w = F.col("`Waktu Live`")
     hour = AF.round_to_long(AF.session_hour(w))
     t = F.when(hour.isNotNull(), AF.time_from_hour(hour)).otherwise(AF.parse_hhmm(w))
@@ -312,11 +369,11 @@ def session_time(spark, sf_dir):
         AF.session_start(F.col("tanggal"), F.col("waktu_live_time")).alias("sesi_start"))
 
 
-@register("corrupt_numeric", O.with_ctes(*_RAW1, select=(
+@register("corrupt_numeric", O.with_ctes(*_RAW0, select=(
     f"SELECT sheet_name, row_no, {O.numeric_corrupt(O.q(_GMV))} AS bad_gmv, "
-    f"({' OR '.join(O.numeric_corrupt(O.q(c)) for c in NUMERIC_COLS)}) AS bad_any_numeric FROM raw1")))
+    f"({' OR '.join(O.numeric_corrupt(O.q(c)) for c in NUMERIC_COLS)}) AS bad_any_numeric FROM raw0")))
 def corrupt_numeric(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     anyb = None
     for c in NUMERIC_COLS:
         b = AF.numeric_corrupt(F.col(f"`{c}`"))
@@ -325,67 +382,67 @@ def corrupt_numeric(spark, sf_dir):
                       anyb.alias("bad_any_numeric"))
 
 
-@register("corrupt_percent", O.with_ctes(*_RAW1, select=(
+@register("corrupt_percent", O.with_ctes(*_RAW0, select=(
     f"SELECT sheet_name, row_no, {O.percent_corrupt(O.q('CTR'))} AS bad_ctr, "
-    f"{O.percent_corrupt(O.q('Rasio pesanan per klik (LIVE)'))} AS bad_cvr FROM raw1")))
+    f"{O.percent_corrupt(O.q('Rasio pesanan per klik (LIVE)'))} AS bad_cvr FROM raw0")))
 def corrupt_percent(spark, sf_dir):
-    raw = scenario(spark, sf_dir).raw1
+    raw = scenario(spark, sf_dir).raw0
     return raw.select("sheet_name", "row_no", AF.percent_corrupt(F.col("CTR")).alias("bad_ctr"),
                       AF.percent_corrupt(F.col("`Rasio pesanan per klik (LIVE)`")).alias("bad_cvr"))
 
 
-_V1 = [O.raw_cte(1), O.flag_cte(1), O.valid_cte(1)]
+_V0 = [O.raw_cte(0), O.flag_cte(0), O.valid_cte(0)]
 _VALID_SEL = ", ".join(["sheet_name", "creds", "row_no"] + [f"{O.q(c)} AS {AF.snake_case(c)}" for c in FX.FIXTURE_COLS])
 
 
-@register("valid_rows", O.with_ctes(*_V1, select=f"SELECT {_VALID_SEL} FROM valid1"))
+@register("valid_rows", O.with_ctes(*_V0, select=f"SELECT {_VALID_SEL} FROM valid0"))
 def valid_rows(spark, sf_dir):
-    return _snake(scenario(spark, sf_dir).s1.valid)
+    return _snake(scenario(spark, sf_dir).valid0)
 
 
-@register("error_rows", O.with_ctes(*_F1, select=f"SELECT {_SNAKE_RAW}, error_reason FROM flag1 WHERE _error"))
+@register("error_rows", O.with_ctes(*_F0, select=f"SELECT {_SNAKE_RAW}, error_reason FROM flag0 WHERE _error"))
 def error_rows(spark, sf_dir):
-    return _snake(scenario(spark, sf_dir).s1.errors)
+    return _snake(scenario(spark, sf_dir).errors0)
 
 
-_REPORT_SQL = O.with_ctes(*_F1, select=(
+_REPORT_SQL = O.with_ctes(*_F0, select=(
     "SELECT coalesce(bool_or(_error), false) AS has_changes, count(*) AS n_rows, "
     "count(*) FILTER (WHERE NOT _error AND NOT _blank) AS n_valid_rows, count(*) FILTER (WHERE _error) AS n_bad_rows, "
     "count(*) FILTER (WHERE _date_error) AS n_date_errors, count(*) FILTER (WHERE _blank) AS n_blank_rows, "
     "coalesce(bit_or(_bad_mask), 0) AS affected_mask, min(CASE WHEN _corrupt THEN _parsed END) AS first_affected_date, "
-    "max(CASE WHEN _corrupt THEN _parsed END) AS last_affected_date FROM flag1"))
+    "max(CASE WHEN _corrupt THEN _parsed END) AS last_affected_date FROM flag0"))
 
 
 @register("validation_report", _REPORT_SQL)
 def validation_report(spark, sf_dir):
-    return V.report(scenario(spark, sf_dir).s1.flagged)
+    return V.report(scenario(spark, sf_dir).flagged0)
 
 
 def _affected_sql() -> str:
     parts = [f"SELECT {i} AS position, '{c}' AS column_name FROM m WHERE (mask & {1 << i}) <> 0"
              for i, c in enumerate(O.CHECKED)]
-    return O.with_ctes(*_F1, "m AS (SELECT coalesce(bit_or(_bad_mask), 0) AS mask FROM flag1)",
+    return O.with_ctes(*_F0, "m AS (SELECT coalesce(bit_or(_bad_mask), 0) AS mask FROM flag0)",
                        select=" UNION ALL ".join(parts))
 
 
 @register("affected_columns", _affected_sql())
 def affected_columns(spark, sf_dir):
-    return V.affected_columns(scenario(spark, sf_dir).s1.flagged)
+    return V.affected_columns(scenario(spark, sf_dir).flagged0)
 
 
-@register("affected_dates", O.with_ctes(*_F1, select=(
-    "SELECT DISTINCT _parsed AS affected_date FROM flag1 WHERE _corrupt AND _parsed IS NOT NULL")))
+@register("affected_dates", O.with_ctes(*_F0, select=(
+    "SELECT DISTINCT _parsed AS affected_date FROM flag0 WHERE _corrupt AND _parsed IS NOT NULL")))
 def affected_dates(spark, sf_dir):
-    return V.affected_dates(scenario(spark, sf_dir).s1.flagged)
+    return V.affected_dates(scenario(spark, sf_dir).flagged0)
 
 
-@register("validation_by_group", O.with_ctes(*_F1, select=(
+@register("validation_by_group", O.with_ctes(*_F0, select=(
     "SELECT sheet_name, creds, coalesce(strftime(CAST(_parsed AS DATE), '%Y-%m-%d'), 'INVALID_DATE') AS error_date, "
     "coalesce(error_reason, CASE WHEN _blank THEN 'blank' ELSE 'valid' END) AS outcome, count(*) AS n_rows, "
-    f"CAST(sum({O.number_fill(O.q(_GMV))}) AS DECIMAL(38,9)) AS gmv_total FROM flag1 GROUP BY ALL")))
+    f"CAST(sum({O.number_fill(O.q(_GMV))}) AS DECIMAL(38,9)) AS gmv_total FROM flag0 GROUP BY ALL")))
 def validation_by_group(spark, sf_dir):
-    """Rows and cleaned GMV per (sheet, source, day, outcome) of run 1."""
-    fl = scenario(spark, sf_dir).s1.flagged
+    """Rows and cleaned GMV per (sheet, source, day, outcome)."""
+    fl = scenario(spark, sf_dir).flagged0
     outcome = F.coalesce(F.col("error_reason"), F.when(F.col("_blank"), F.lit("blank")).otherwise(F.lit("valid")))
     return fl.groupBy("sheet_name", "creds", AF.error_date_key(F.col("_parsed")).alias("error_date"),
                       outcome.alias("outcome")).agg(
@@ -393,10 +450,10 @@ def validation_by_group(spark, sf_dir):
         F.sum(AF.locale_number_fill(F.col(f"`{_GMV}`"))).cast("decimal(38,9)").alias("gmv_total"))
 
 
-@register("integral_columns", O.with_ctes(*_V1, select="SELECT " + ", ".join(
-    f"coalesce(bool_and(({O.q(c)} % 1) = 0), true) AS {AF.snake_case(c)}" for c in NUMERIC_COLS) + " FROM valid1"))
+@register("integral_columns", O.with_ctes(*_V0, select="SELECT " + ", ".join(
+    f"coalesce(bool_and(({O.q(c)} % 1) = 0), true) AS {AF.snake_case(c)}" for c in NUMERIC_COLS) + " FROM valid0"))
 def integral_columns(spark, sf_dir):
-    return _snake(V.integral_columns(scenario(spark, sf_dir).s1.valid))
+    return _snake(V.integral_columns(scenario(spark, sf_dir).valid0))
 
 
 # ---------------------------------------------------------------------------------
@@ -404,27 +461,28 @@ def integral_columns(spark, sf_dir):
 # ---------------------------------------------------------------------------------
 
 _ALL = O.base_ctes()
+_ALL0 = O.base_ctes((0,))
 _BRONZE_COLS = ("sheet_name, creds, row_no, tanggal, pukul_live, snapshot_ts, snapshot_date, run_id, "
                 "row_hash_raw, path")
 
 
-@register("raw_hash", O.with_ctes(*_ALL, select="SELECT sheet_name, row_no, row_hash_raw FROM pre1"))
+@register("raw_hash", O.with_ctes(*_ALL0, select="SELECT sheet_name, row_no, row_hash_raw FROM pre0"))
 def raw_hash(spark, sf_dir):
     sc = scenario(spark, sf_dir)
-    b, _ = B.build_bronze(sc.s1.valid, sc.run1, None)
+    b, _ = B.build_bronze(sc.valid0, sc.run0, None)
     return b.select("sheet_name", "row_no", "row_hash_raw")
 
 
-@register("full_load", O.with_ctes(*_ALL, select=f"SELECT {_BRONZE_COLS} FROM pre1"))
+@register("full_load", O.with_ctes(*_ALL0, select=f"SELECT {_BRONZE_COLS} FROM pre0"))
 def full_load(spark, sf_dir):
     sc = scenario(spark, sf_dir)
-    b, _ = B.build_bronze(sc.s1.valid, sc.run1, None)
+    b, _ = B.build_bronze(sc.valid0, sc.run0, None)
     return b.select(*_BRONZE_COLS.split(", "))
 
 
-@register("dedup_hash", O.with_ctes(*_ALL, select=f"SELECT {_BRONZE_COLS} FROM bronze1"))
+@register("dedup_hash", O.with_ctes(*_ALL0, select=f"SELECT {_BRONZE_COLS} FROM bronze0"))
 def dedup_hash(spark, sf_dir):
-    return scenario(spark, sf_dir).s1.bronze.select(*_BRONZE_COLS.split(", "))
+    return scenario(spark, sf_dir).bronze0.select(*_BRONZE_COLS.split(", "))
 
 
 @register("watermark_advance", O.with_ctes(*_ALL, select="SELECT * FROM maxd1"))
@@ -439,6 +497,26 @@ def watermark_filter(spark, sf_dir):
     return b.select("sheet_name", "creds", "row_no", "tanggal")
 
 
+@register("watermark_filter_by_day", O.with_ctes(*_ALL, select=(
+    "SELECT sheet_name, creds, row_no, tanggal FROM ("
+    f"{O.wm_filter(O.bronze_select('regular2', 2, 0), 'maxd1', by_day=True)})")))
+def watermark_filter_by_day(spark, sf_dir):
+    """The option that compares days: the whole marked day is left out."""
+    sc = scenario(spark, sf_dir)
+    b, _ = B.build_bronze(sc.s2.regular, sc.run2, sc.watermarks2, by_day=True)
+    return b.select("sheet_name", "creds", "row_no", "tanggal")
+
+
+@register("affected_dates_list", O.with_ctes(*_F0, select=(
+    "SELECT unnest(d) AS affected_date, generate_subscripts(d, 1)::INTEGER AS position FROM ("
+    "SELECT list_sort(list(DISTINCT CAST(_parsed AS DATE))) AS d FROM flag0 WHERE _corrupt AND _parsed IS NOT NULL)")))
+def affected_dates_list(spark, sf_dir):
+    """The run report's ascending list of affected days, with each day's place."""
+    one = V.sorted_dates(scenario(spark, sf_dir).flagged0)
+    return one.select(F.posexplode("affected_dates").alias("p", "affected_date")).select(
+        "affected_date", (F.col("p") + 1).alias("position"))
+
+
 @register("bronze_two_paths", O.with_ctes(*_ALL, select=f"SELECT {_BRONZE_COLS} FROM bronze2"))
 def bronze_two_paths(spark, sf_dir):
     return scenario(spark, sf_dir).s2.bronze.select(*_BRONZE_COLS.split(", "))
@@ -462,9 +540,9 @@ def _entries_out(df: DataFrame) -> DataFrame:
                      "n_rows", "reported_at", "path", "status")
 
 
-@register("manifest_entries", O.with_ctes(*O.base_ctes((1,)), select=f"SELECT {_ENTRY_COLS} FROM entries1"))
+@register("manifest_entries", O.with_ctes(*O.base_ctes((0,)), select=f"SELECT {_ENTRY_COLS} FROM entries0"))
 def manifest_entries(spark, sf_dir):
-    return _entries_out(scenario(spark, sf_dir).s1.current)
+    return _entries_out(scenario(spark, sf_dir).current0)
 
 
 _CONFIRM_SQL = O.with_ctes(*_ALL, select=(
@@ -472,7 +550,7 @@ _CONFIRM_SQL = O.with_ctes(*_ALL, select=(
     "EXISTS (SELECT 1 FROM entries2 c WHERE c.sheet_name = p.sheet_name AND c.creds = p.creds "
     "AND c.error_date = p.error_date) AS in_current, "
     "(p.n_rows > 0 AND coalesce(v.n_valid, 0) = p.n_rows) AS count_matches "
-    "FROM entries1 p LEFT JOIN counts2 v ON p.sheet_name = v.sheet_name AND p.creds = v.creds "
+    "FROM entries0 p LEFT JOIN counts2 v ON p.sheet_name = v.sheet_name AND p.creds = v.creds "
     "AND p.error_date = v.error_date"))
 
 
@@ -633,26 +711,28 @@ def latest_session(spark, sf_dir):
     return S.latest_per_session(both).select("sheet_name", "row_no", "run_id", "row_hash_raw")
 
 
-@register("silver_typed", O.with_ctes(*_ALL, select=O.silver_source("SELECT * FROM bronze1")))
+@register("silver_typed", O.with_ctes(*_ALL0, select=O.silver_source("SELECT * FROM bronze0")))
 def silver_typed(spark, sf_dir):
-    return scenario(spark, sf_dir).source1
+    return scenario(spark, sf_dir).source0
 
 
-@register("clean_hash", O.with_ctes(*_ALL, select=(
+@register("clean_hash", O.with_ctes(*_ALL0, select=(
     f"SELECT tanggal, toko, id_kreator, pukul_live, waktu_live_time, row_hash_clean FROM ("
-    f"{O.silver_source('SELECT * FROM bronze1')})")))
+    f"{O.silver_source('SELECT * FROM bronze0')})")))
 def clean_hash(spark, sf_dir):
-    return scenario(spark, sf_dir).source1.select(
+    return scenario(spark, sf_dir).source0.select(
         "tanggal", "toko", "id_kreator", "pukul_live", "waktu_live_time", "row_hash_clean")
 
 
+_S0 = O.silver_source("SELECT * FROM bronze0")
+_SILVER0 = O.upsert(f"SELECT * FROM ({_S0}) WHERE false", _S0)
 _S1 = O.silver_source("SELECT * FROM bronze1")
 _S12 = O.silver_source("SELECT * FROM bronze1 UNION ALL SELECT * FROM bronze2")
 _SILVER1 = O.upsert(f"SELECT * FROM ({_S1}) WHERE false", _S1)
 
 
 def _silver_after_runs(sc: Scenario, with_action: bool = False) -> DataFrame:
-    return S.upsert(sc.silver1, sc.source12, with_action=with_action)
+    return S.upsert(sc.silver1, sc.source02, with_action=with_action)
 
 
 @register("silver_upsert", O.with_ctes(*_ALL, select=O.upsert(_SILVER1, _S12)))
@@ -667,12 +747,12 @@ def merge_actions(spark, sf_dir):
             .groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-@register("merge_idempotent", O.with_ctes(*_ALL, select=O.upsert(_SILVER1, _S1)))
+@register("merge_idempotent", O.with_ctes(*_ALL0, select=O.upsert(_SILVER0, _S0)))
 def merge_idempotent(spark, sf_dir):
     """Merging the same source twice: keyed rows equal one merge; unkeyed rows
     are inserted again (as the warehouse MERGE does)."""
     sc = scenario(spark, sf_dir)
-    return S.upsert(sc.silver1, sc.source1)
+    return S.upsert(sc.silver0, sc.source0)
 
 
 _NULL_KEY = ("tanggal IS NULL OR toko IS NULL OR id_kreator IS NULL OR "
@@ -695,12 +775,12 @@ def merge_null_key(spark, sf_dir):
         F.count_if(unkeyed & (F.col("_side") == "after")).alias("n_unkeyed_after_two_merges"))
 
 
-@register("preview", O.with_ctes(*_ALL, select=(
-    f"SELECT * FROM ({_SILVER1}) ORDER BY tanggal NULLS FIRST, toko NULLS FIRST, id_kreator NULLS FIRST, "
+@register("preview", O.with_ctes(*_ALL0, select=(
+    f"SELECT * FROM ({_SILVER0}) ORDER BY tanggal NULLS FIRST, toko NULLS FIRST, id_kreator NULLS FIRST, "
     "row_hash_clean NULLS FIRST LIMIT 3")))
 def preview(spark, sf_dir):
     sc = scenario(spark, sf_dir)
-    return sc.silver1.orderBy("tanggal", "toko", "id_kreator", "row_hash_clean").limit(3)
+    return sc.silver0.orderBy("tanggal", "toko", "id_kreator", "row_hash_clean").limit(3)
 
 
 def all_queries() -> dict[str, Query]:
@@ -731,13 +811,13 @@ def merge_full_reload(spark, sf_dir):
             .groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-@register("rows_per_sheet", O.with_ctes(*_F1, select=(
+@register("rows_per_sheet", O.with_ctes(*_F0, select=(
     "SELECT sheet_name, count(*) AS n_rows, count(*) FILTER (WHERE NOT _error AND NOT _blank) AS n_valid_rows, "
     "count(*) FILTER (WHERE _error) AS n_bad_rows, count(*) FILTER (WHERE _blank) AS n_blank_rows "
-    "FROM flag1 GROUP BY sheet_name")))
+    "FROM flag0 GROUP BY sheet_name")))
 def rows_per_sheet(spark, sf_dir):
     """Row counts per sheet after the ID filter: all, valid, bad, blank."""
-    fl = scenario(spark, sf_dir).s1.flagged
+    fl = scenario(spark, sf_dir).flagged0
     err, blank = F.col("_error"), F.col("_blank")
     return fl.groupBy("sheet_name").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(~err & ~blank).alias("n_valid_rows"),

@@ -234,11 +234,12 @@ def bronze_select(src: str, run: int, path: int) -> str:
     return f"SELECT {', '.join(out)} FROM {src} WHERE {w} IS NULL OR {strip(w)} <> ''"
 
 
-def wm_filter(src: str, wm: str) -> str:
+def wm_filter(src: str, wm: str, by_day: bool = False) -> str:
     """Keep rows after their source's watermark (``wm``: creds, last_processed_date)."""
+    when, mark = ("CAST(b.tanggal AS DATE)", "w._wm") if by_day else ("CAST(b.tanggal AS TIMESTAMP)", "CAST(w._wm AS TIMESTAMP)")
     return (f"SELECT b.* FROM ({src}) b LEFT JOIN (SELECT creds AS _wk, TRY_CAST(last_processed_date AS DATE) AS _wm "
             f"FROM {wm} WHERE TRY_CAST(last_processed_date AS DATE) IS NOT NULL) w ON b.creds = w._wk "
-            f"WHERE w._wm IS NULL OR CAST(b.tanggal AS DATE) > w._wm")
+            f"WHERE w._wm IS NULL OR {when} > {mark}")
 
 
 def dedup(src: str) -> str:
@@ -288,7 +289,8 @@ def silver_source(bronze: str, decimal_comma: bool = False) -> str:
     parts = ["strftime(tanggal, '%Y-%m-%d')"] + [f"coalesce({c}, '')" for c in TEXT] + [
         "CAST(coalesce(pukul_live, -1) AS VARCHAR)", "waktu_live_time",
         "strftime(sesi_start, '%Y-%m-%d %H:%M:%S')",
-    ] + [f"CAST(CAST({n} AS DECIMAL(18,6)) AS VARCHAR)" if k == "ratio" else f"CAST({n} AS VARCHAR)"
+    ] + [(f"CASE WHEN abs({n}) < 1000 THEN CAST(CAST({n} AS DECIMAL(38,12)) AS VARCHAR) WHEN {n} IS NOT NULL THEN "
+          f"coalesce(CAST(TRY_CAST({n} AS DECIMAL(38,2)) AS VARCHAR), 'huge') END") if k == "ratio" else f"CAST({n} AS VARCHAR)"
          for n, _, k in TYPED]
     return (f"SELECT {', '.join(SILVER_COLS[:-1])}, sha256(concat_ws('||', {', '.join(parts)})) AS row_hash_clean "
             f"FROM (SELECT {', '.join(cols)} FROM ({latest}))")
@@ -324,6 +326,8 @@ def base_ctes(runs=(1, 2), bronze: bool = True) -> list[str]:
     out = []
     for r in runs:
         out += [raw_cte(r), flag_cte(r), valid_cte(r), counts_cte(r), entries_cte(r)]
+    if 0 in runs and bronze:
+        out.append(f"pre0 AS ({bronze_select('valid0', 0, 0)}), bronze0 AS ({dedup('SELECT * FROM pre0')})")
     if 2 in runs:
         out.append(reconcile2_cte())
         if bronze:

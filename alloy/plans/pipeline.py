@@ -39,6 +39,7 @@ class RunResult:
     manifest_written: bool
     watermark_written: bool
     affected_columns: list[str] = field(default_factory=list)
+    affected_dates: list = field(default_factory=list)
     timings: dict = field(default_factory=dict)
 
 
@@ -81,7 +82,7 @@ def cut(df: DataFrame, how: str | None) -> DataFrame:
 
 
 def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previous_manifest: DataFrame | None,
-             quarantine_rel_path: str, persist: bool | str = True) -> Stages:
+             quarantine_rel_path: str, persist: bool | str = True, watermark_by_day: bool = False) -> Stages:
     """Build every stage of a run as DataFrames over one persisted flagged frame.
 
     Persisting matters beyond reuse: the flags become columns of a cached
@@ -102,14 +103,14 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
         remaining = current
         resolved = flagged.sparkSession.createDataFrame([], ST.MANIFEST_SCHEMA)
         recovered, regular = valid.limit(0), valid
-        b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0)
+        b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0, by_day=watermark_by_day)
         bronze = B.dedup_first(b_reg)
     else:
         remaining, resolved = ST.reconcile(previous_manifest, current, counts)
         # Small (one row per failing key) and read by several actions.
         remaining, resolved = cut(remaining, how), cut(resolved, how)
         recovered, regular = ST.split_recovered(valid, resolved, counts)
-        b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0)
+        b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0, by_day=watermark_by_day)
         b_rec, _ = B.build_bronze(recovered, run, None, path=1)
         bronze = B.dedup_first(b_reg.unionByName(b_rec, allowMissingColumns=True))
     return Stages(flagged, valid, errors, rep, affected, current, remaining, resolved, counts,
@@ -117,18 +118,23 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo, registry: DataFrame,
-                 watermark_mode: str = "retain", incremental_silver: bool = False,
+                 watermark_mode: str = "retain", incremental_silver: bool = True,
                  decimal_comma: bool = False, silver_layout: str = "snapshot",
-                 keep: str = "persist", split_sessions_by_time: bool = False,
-                 null_safe_keys: bool = False) -> RunResult:
+                 keep: str = "checkpoint", split_sessions_by_time: bool = False,
+                 null_safe_keys: bool = False, watermark_by_day: bool = False,
+                 bronze_mode: str = "append") -> RunResult:
     """Execute one run against the tables under ``root``.
 
     ``silver_layout="snapshot"`` writes each merge as a new full version;
     ``"by_day"`` keeps silver partitioned by business day and rewrites only the
-    days this run's source touches. ``keep`` chooses how the flagged frame is
-    kept for its several readers: ``persist`` (executor memory/disk, cheapest)
-    or ``checkpoint`` (written to the shared checkpoint folder: survives the
-    loss of executors without recomputation, and cuts the lineage).
+    days this run's source touches. ``incremental_silver`` merges only the
+    sessions that the new bronze rows touch, from the days that they hold; without it
+    the whole bronze table is merged again, as in the source system. ``keep``
+    chooses how the flagged frame is kept for its several readers:
+    ``checkpoint`` (written to the shared checkpoint folder: survives the loss
+    of executors without recomputation, and cuts the lineage) or ``persist``
+    (executor memory and disk). ``watermark_by_day`` compares days, not
+    timestamps, with the watermark. ``bronze_mode``: append, replace or fail.
     ``split_sessions_by_time`` keeps hour-less sessions of one shop/creator/day
     apart by their time text; ``null_safe_keys`` lets NULL merge-key parts match.
     Both default to the source system's behaviour.
@@ -143,11 +149,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
 
     wm_records = store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA)
     watermarks = ST.load_watermarks(wm_records, registry)
-    has_manifest = bool(store.committed_children(spark, f"{root}/state/manifest", "run_key"))
+    has_manifest = store.has_state(spark, root, "manifest")
     prev_manifest = store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA)
     lap("state_read")
     st = plan_run(raw, run, watermarks, prev_manifest if has_manifest else None, store.quarantine_path(run),
-                  persist=keep)
+                  persist=keep, watermark_by_day=watermark_by_day)
     lap("plan_and_report")
 
     if has_manifest:
@@ -160,17 +166,19 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         store.write_quarantine(st.errors, root, run, check_empty=False)
     lap("quarantine")
 
-    bronze = st.bronze.persist(StorageLevel.MEMORY_AND_DISK)
+    bronze = cut(st.bronze, keep)
     n_bronze = bronze.count()
     lap("bronze_build")
     silver_version = None
     if n_bronze:
-        store.write_bronze(bronze, root, run)
+        store.write_bronze(bronze, root, run, bronze_mode)
         lap("bronze_write")
-        all_bronze = store.read_bronze(spark, root)
+        all_bronze = store.read_bronze(spark, root, S.BRONZE_SCHEMA)
         if incremental_silver:
             all_bronze = S.restrict_to_sessions(all_bronze, bronze)
-        source = S.silver_source(all_bronze.drop("date", "run_key"), decimal_comma, split_sessions_by_time)
+        # Read by several branches of the merge, so it is worked out once.
+        source = cut(S.silver_source(all_bronze.drop("date", "run_key", "load_id"), decimal_comma, split_sessions_by_time), "checkpoint")
+        S.require_unique(source)
         if silver_layout == "by_day":
             silver_version = store.upsert_silver_by_day(spark, root, source, S.SILVER_SCHEMA, null_safe_keys)
         else:
@@ -187,18 +195,19 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     if changed:
         if recovery["recovery_resolved"]:
             store.write_fixes(ST.fix_records(st.resolved, run.now_iso), root, run)
-        store.write_state(st.remaining, root, "manifest", run)
+        store.write_state(st.remaining, root, "manifest")
         manifest_written = True
     lap("manifest")
 
     watermark_written = False
     if n_bronze:
         new_wm = ST.rewrite_watermarks(wm_records, st.max_dates, registry, run.now_iso, watermark_mode)
-        store.write_state(new_wm, root, "watermark", run)
+        store.write_state(new_wm, root, "watermark")
         watermark_written = True
     lap("watermark")
 
+    result = RunResult(st.report_row, recovery, n_bronze, silver_version, manifest_written,
+                     watermark_written, st.affected, V.sorted_dates(st.flagged).first()["affected_dates"], timings)
     for df in (bronze, st.counts, st.flagged, st.remaining, st.resolved):
         df.unpersist()
-    return RunResult(st.report_row, recovery, n_bronze, silver_version, manifest_written,
-                     watermark_written, st.affected, timings)
+    return result

@@ -14,15 +14,17 @@ from alloy.plans.catalog import (
     _ALL,
     _BRONZE_COLS,
     _ENTRY_COLS,
-    _F1,
+    _F0,
     _S12,
+    _ALL0,
+    _SILVER0,
     _SILVER1,
     _entries_out,
     _source,
     register,
     scenario,
 )
-from alloy.plans.pipeline import run_pipeline
+from alloy.plans.pipeline import cut, run_pipeline
 from alloy.session import scratch_path
 from alloy.sinks import store
 from alloy.sources import fixture as FX
@@ -31,56 +33,56 @@ from alloy.streaming.available_now import run_available_now
 _SILVER_TWO_RUNS = O.with_ctes(*_ALL, select=O.upsert(_SILVER1, _S12))
 
 
-@register("bronze_sink_roundtrip", O.with_ctes(*_ALL, select=(
-    f"SELECT {_BRONZE_COLS}, '20240116' AS date, '2024011600' AS run_key FROM bronze1")))
+@register("bronze_sink_roundtrip", O.with_ctes(*_ALL0, select=(
+    f"SELECT {_BRONZE_COLS}, '20240201' AS date, '2024020100' AS run_key, 'run-all' AS load_id FROM bronze0")))
 def bronze_sink_roundtrip(spark, sf_dir):
     sc = scenario(spark, sf_dir)
     root = scratch_path(spark, "bronze-roundtrip")
-    store.write_bronze(sc.s1.bronze, root, sc.run1)
+    store.write_bronze(sc.bronze0, root, sc.run0)
     b = store.read_bronze(spark, root)
     return b.select(*_BRONZE_COLS.split(", "), F.col("date").cast("string").alias("date"),
-                    F.col("run_key").cast("string").alias("run_key"))
+                    F.col("run_key").cast("string").alias("run_key"), "load_id")
 
 
-@register("quarantine_roundtrip", O.with_ctes(*_F1, select=(
-    "SELECT sheet_name, row_no, error_reason, '20240116' AS date, '2024011600' AS run_key FROM flag1 WHERE _error")))
+@register("quarantine_roundtrip", O.with_ctes(*_F0, select=(
+    "SELECT sheet_name, row_no, error_reason, '20240201' AS date, '2024020100' AS run_key FROM flag0 WHERE _error")))
 def quarantine_roundtrip(spark, sf_dir):
     sc = scenario(spark, sf_dir)
     root = scratch_path(spark, "quarantine-roundtrip")
-    store.write_quarantine(sc.s1.errors, root, sc.run1)
+    store.write_quarantine(sc.errors0, root, sc.run0)
     q = spark.read.parquet(f"{root}/quarantine")
     return q.select("sheet_name", "row_no", "error_reason", F.col("date").cast("string").alias("date"),
                     F.col("run_key").cast("string").alias("run_key"))
 
 
-@register("manifest_json_roundtrip", O.with_ctes(*O.base_ctes((1,)), select=f"SELECT {_ENTRY_COLS} FROM entries1"))
+@register("manifest_json_roundtrip", O.with_ctes(*O.base_ctes((0,)), select=f"SELECT {_ENTRY_COLS} FROM entries0"))
 def manifest_json_roundtrip(spark, sf_dir):
     sc = scenario(spark, sf_dir)
     root = scratch_path(spark, "manifest-roundtrip")
-    store.write_state(sc.s1.remaining, root, "manifest", sc.run1)
+    store.write_state(sc.current0, root, "manifest")
     return _entries_out(store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA))
 
 
-@register("manifest_unchanged", O.with_ctes(*O.base_ctes((1,)), select=(
-    "SELECT false AS changed, count(*) AS n_open FROM entries1")))
+@register("manifest_unchanged", O.with_ctes(*O.base_ctes((0,)), select=(
+    "SELECT false AS changed, count(*) AS n_open FROM entries0")))
 def manifest_unchanged(spark, sf_dir):
     """Reconciling a run's entries against themselves changes nothing."""
     sc = scenario(spark, sf_dir)
     root = scratch_path(spark, "manifest-unchanged")
-    store.write_state(sc.s1.remaining, root, "manifest", sc.run1)
+    store.write_state(sc.current0, root, "manifest")
     prev = store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA)
-    remaining, resolved = ST.reconcile(prev, sc.s1.current, sc.s1.counts)
+    remaining, resolved = ST.reconcile(prev, sc.current0, sc.counts0)
     changed = ST.manifest_changed(prev, remaining, resolved)
     return remaining.agg(F.lit(changed).alias("changed"), F.count(F.lit(1)).alias("n_open"))
 
 
-@register("silver_bootstrap", O.with_ctes(*_ALL, select=_SILVER1))
+@register("silver_bootstrap", O.with_ctes(*_ALL0, select=_SILVER0))
 def silver_bootstrap(spark, sf_dir):
     """Empty 33-column target + first merge, written as version 1 and read back."""
     sc = scenario(spark, sf_dir)
     root = scratch_path(spark, "silver-bootstrap")
     target = store.read_silver(spark, root, S.SILVER_SCHEMA)
-    store.write_silver(S.upsert(target, _source(sc.s1.bronze)), root, spark)
+    store.write_silver(S.upsert(target, sc.source0), root, spark)
     return store.read_silver(spark, root, S.SILVER_SCHEMA)
 
 
@@ -96,7 +98,7 @@ def _two_runs(spark, sf_dir, root, **kw):
 def pipeline_two_runs(spark, sf_dir):
     """Both runs through the full pipeline (all sinks); the final silver table."""
     root = scratch_path(spark, "pipeline")
-    _two_runs(spark, sf_dir, root)
+    _two_runs(spark, sf_dir, root, incremental_silver=False)
     return store.read_silver(spark, root, S.SILVER_SCHEMA)
 
 
@@ -105,7 +107,7 @@ def pipeline_silver_by_day(spark, sf_dir):
     """Both runs with silver partitioned by business day: each merge rewrites
     only the days it touches; the final table equals the snapshot merge."""
     root = scratch_path(spark, "pipeline-by-day")
-    _two_runs(spark, sf_dir, root, silver_layout="by_day")
+    _two_runs(spark, sf_dir, root, silver_layout="by_day", incremental_silver=False)
     return store.read_silver_by_day(spark, root, S.SILVER_SCHEMA)
 
 
@@ -137,15 +139,17 @@ _WM_AFTER_RUN1 = O.with_ctes(*_ALL, "rl AS (SELECT 'key_' || CAST(least(user_id
 
 @register("empty_run", _WM_AFTER_RUN1)
 def empty_run(spark, sf_dir):
-    """Run 1's input again an hour later: every row is at or before its source's
-    watermark, so no bronze rows are written and the watermark is unchanged."""
+    """Run 1's input again an hour later, marks compared by day: every row is at or
+    before its source's watermark, so no bronze rows are written and the
+    watermark is unchanged."""
     from alloy.operators.bronze import RunInfo
 
     sc = scenario(spark, sf_dir)
     root = scratch_path(spark, "empty-run")
     raw = FX.landed_sheet(spark, sf_dir, 1)
     run_pipeline(spark, raw, root, sc.run1, sc.registry)
-    again = run_pipeline(spark, raw, root, RunInfo.at("2024-01-16 01:00:00", "run-1-again"), sc.registry)
+    again = run_pipeline(spark, raw, root, RunInfo.at("2024-01-16 01:00:00", "run-1-again"), sc.registry,
+                         watermark_by_day=True)
     if again.n_bronze or again.watermark_written:
         raise AssertionError("an unchanged input produced bronze rows")
     return store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA)
@@ -153,18 +157,157 @@ def empty_run(spark, sf_dir):
 
 @register("stream_available_now", _SILVER_TWO_RUNS)
 def stream_available_now(spark, sf_dir):
-    """Both runs landed as files, consumed by an availableNow file stream whose
-    micro-batches run the pipeline; the final silver table."""
+    """Both runs landed as files, consumed by an availableNow file stream with one
+    micro-batch a run; the final silver table."""
     from alloy.operators.bronze import RunInfo
 
     sc = scenario(spark, sf_dir)
     landing = scratch_path(spark, "landing")
+    files = {}
     for run in (1, 2):
-        # One file per landed run, so one micro-batch per run.
-        FX.landed_grid(spark, sf_dir, run).coalesce(1).write.mode("append").parquet(landing)
+        before = len(files.get(1, []))
+        FX.landed_grid(spark, sf_dir, run).write.mode("append").parquet(landing)
+        files[run] = store.data_files(spark, landing)[before:]
     root = scratch_path(spark, "stream-tables")
-    runs = {0: sc.run1, 1: sc.run2}
-    run_available_now(spark, landing, root, sc.registry, scratch_path(spark, "stream-checkpoint"),
-                      run_for_batch=lambda epoch: runs.get(epoch, RunInfo.now()),
-                      column_order=FX.FIXTURE_COLS)
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    # A batch takes as many files as the first run has; the second has its own batch.
+    runs = iter((sc.run1, sc.run2))
+    seen = {}
+    run_available_now(spark, landing, root, sc.registry, checkpoint,
+                      run_for_batch=lambda epoch: seen.setdefault(epoch, next(runs, None) or RunInfo.now()),
+                      column_order=FX.FIXTURE_COLS, files_per_batch=len(files[1]), incremental_silver=False)
     return store.read_silver(spark, root, S.SILVER_SCHEMA)
+
+
+@register("stream_many_files", O.with_ctes(*_ALL0, select="SELECT DISTINCT row_hash_raw FROM pre0"))
+def stream_many_files(spark, sf_dir):
+    """A landing of many files, several a micro-batch, with the stream's own run ids and
+    sheets whose header comes in another file: bronze has the content of every valid
+    row. Marks would hide what a later batch brings of an earlier day, so the rows
+    name no source here (and load in full)."""
+    sc = scenario(spark, sf_dir)
+    landing = scratch_path(spark, "landing-many")
+    FX.landed_grid(spark, sf_dir, 0).withColumn("creds", F.lit(None).cast("string")).write.parquet(landing)
+    root = scratch_path(spark, "stream-many")
+    run_available_now(spark, landing, root, sc.registry, scratch_path(spark, "stream-many-checkpoint"),
+                      column_order=FX.FIXTURE_COLS, files_per_batch=8)
+    return store.read_bronze(spark, root, S.BRONZE_SCHEMA).select("row_hash_raw").distinct()
+
+
+@register("bronze_append_modes", O.with_ctes(*_ALL, select=(
+    "SELECT 'append' AS mode, row_hash_raw, run_id FROM bronze1 UNION ALL "
+    "SELECT 'append', row_hash_raw, run_id FROM bronze2 UNION ALL "
+    "SELECT 'replace', row_hash_raw, run_id FROM bronze2 UNION ALL SELECT 'fail', row_hash_raw, run_id FROM bronze1")))
+def bronze_append_modes(spark, sf_dir):
+    """Both runs' bronze by each write mode; the first run is written twice when
+    appending (a retry), and writing over a table that exists fails in mode fail."""
+    from pyspark.errors import AnalysisException
+
+    sc = scenario(spark, sf_dir)
+    out = None
+    for mode in store.MODES:
+        root = scratch_path(spark, f"bronze-{mode}")
+        store.write_bronze(sc.s1.bronze, root, sc.run1, mode)
+        if mode == "append":
+            store.write_bronze(sc.s1.bronze, root, sc.run1, mode)
+        try:
+            store.write_bronze(sc.s2.bronze, root, sc.run2, mode)
+        except AnalysisException:
+            if mode != "fail":
+                raise
+        part = store.read_bronze(spark, root, S.BRONZE_SCHEMA).select(F.lit(mode).alias("mode"), "row_hash_raw", "run_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("two_runs_one_hour", O.with_ctes(*_ALL, select=(
+    "SELECT row_hash_raw, path, sheet_name, row_no FROM bronze1 UNION ALL "
+    "SELECT row_hash_raw, path, sheet_name, row_no FROM bronze2")))
+def two_runs_one_hour(spark, sf_dir):
+    """Both runs within one hour: bronze keeps the rows of both."""
+    from alloy.operators.bronze import RunInfo
+
+    sc = scenario(spark, sf_dir)
+    root = scratch_path(spark, "one-hour")
+    for run, minute in ((1, "10"), (2, "40")):
+        run_pipeline(spark, FX.landed_sheet(spark, sf_dir, run), root, RunInfo.at(f"2024-02-01 06:{minute}:00", f"r{run}"), sc.registry)
+    return store.read_bronze(spark, root, S.BRONZE_SCHEMA).select("row_hash_raw", "path", "sheet_name", "row_no")
+
+
+@register("bronze_new_column", O.with_ctes(*_ALL, select=O.upsert(
+    O.upsert(f"SELECT * FROM ({O.silver_source('SELECT * REPLACE (NULL AS nama_panggilan) FROM bronze1')}) WHERE false",
+             O.silver_source("SELECT * REPLACE (NULL AS nama_panggilan) FROM bronze1")),
+    O.silver_source("SELECT * REPLACE (NULL AS nama_panggilan) FROM bronze1 UNION ALL SELECT * FROM bronze2"))))
+def bronze_new_column(spark, sf_dir):
+    """A column that only the second run brings: silver has it."""
+    sc = scenario(spark, sf_dir)
+    root = scratch_path(spark, "new-column")
+    store.write_bronze(sc.s1.bronze.drop("nama_panggilan"), root, sc.run1)
+    first = _source(store.read_bronze(spark, root, S.BRONZE_SCHEMA).drop("date", "run_key", "load_id"))
+    # Kept before the table grows: Spark takes two scans of one path for the same.
+    silver = cut(S.upsert(S.empty_silver(spark), first), "checkpoint")
+    store.write_bronze(sc.s2.bronze, root, sc.run2)
+    both = _source(store.read_bronze(spark, root, S.BRONZE_SCHEMA).drop("date", "run_key", "load_id"))
+    return S.upsert(silver, both)
+
+
+@register("grid_headers_apart", O.with_ctes(O.raw_cte(0), select=(
+    f"SELECT sheet_name, creds, row_no, {O.q('Nama Panggilan')} AS nama_panggilan, {O.q('Komentar')} AS komentar FROM raw0")))
+def grid_headers_apart(spark, sf_dir):
+    """Headers landed before and apart from their rows: no cell is lost."""
+    from alloy.sources import grid as G
+
+    grid = FX.landed_grid(spark, sf_dir, 0)
+    before = G.headers_of(grid.filter(F.col("row_no") <= 2))
+    rows = grid.filter(F.col("row_no") > 2)
+    raw = G.grid_to_frame(rows, G.known_headers(before, rows), FX.FIXTURE_COLS)
+    return raw.select("sheet_name", "creds", "row_no", F.col("`Nama Panggilan`").alias("nama_panggilan"),
+                      F.col("Komentar").alias("komentar"))
+
+
+@register("fixes_roundtrip", O.with_ctes(*_ALL, select=(
+    "SELECT sheet_name, creds, error_date, affected_columns, '2024-02-01T00:00:00' AS resolved_at, path, "
+    "'fixed' AS status, '2024020100' AS run_key FROM resolved2")))
+def fixes_roundtrip(spark, sf_dir):
+    """The fix records as written and read back."""
+    sc = scenario(spark, sf_dir)
+    root = scratch_path(spark, "fixes")
+    store.write_fixes(ST.fix_records(sc.s2.resolved, sc.run2.now_iso), root, sc.run2)
+    return (store.read_fixes(spark, root, ST.FIX_SCHEMA).withColumn("affected_columns", F.array_join("affected_columns", ","))
+            .drop("date", "load_id"))
+
+
+_SPLIT = ("SELECT * REPLACE (CASE WHEN row_no % 2 = 0 THEN '9:30' ELSE '09:30' END AS waktu_live, NULL::INTEGER AS pukul_live) "
+          "FROM bronze0")
+
+
+@register("session_split_by_time", O.with_ctes(*_ALL0, select=(
+    "SELECT tanggal, toko, id_kreator, waktu_live_time, count(*) AS n_rows FROM ("
+    f"{O.silver_source(_SPLIT)}) GROUP BY ALL")))
+def session_split_by_time(spark, sf_dir):
+    """One time in two spellings, sessions kept apart by time, merged twice: every
+    keyed session has one row."""
+    sc = scenario(spark, sf_dir)
+    times = F.when(F.col("row_no") % 2 == 0, F.lit("9:30")).otherwise(F.lit("09:30"))
+    bronze = sc.bronze0.withColumn("waktu_live", times).withColumn("pukul_live", F.lit(None).cast("int"))
+    source = S.silver_source(bronze.drop("path"), split_by_time=True)
+    S.require_unique(source)
+    once = S.upsert(S.empty_silver(spark), source)
+    twice = S.upsert(once, source).filter(F.col("tanggal").isNotNull() & F.col("toko").isNotNull() & F.col("id_kreator").isNotNull())
+    loose = source.filter(F.col("tanggal").isNull() | F.col("toko").isNull() | F.col("id_kreator").isNull())
+    return (twice.unionByName(loose).groupBy("tanggal", "toko", "id_kreator", "waktu_live_time")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+_HUGE = ("SELECT * REPLACE (CASE WHEN row_no % 3 = 0 THEN '999999999999999%' WHEN row_no % 3 = 1 THEN "
+         "'0.00001' || CAST(row_no % 7 AS VARCHAR) || '%' ELSE ctr END AS ctr) FROM bronze0")
+
+
+@register("clean_hash_extremes", O.with_ctes(*_ALL0, select=f"SELECT tanggal, toko, id_kreator, ctr_live, row_hash_clean FROM ({O.silver_source(_HUGE)})"))
+def clean_hash_extremes(spark, sf_dir):
+    """Huge and tiny ratios neither fail the merge nor vanish from the hash."""
+    n = F.col("row_no")
+    ctr = (F.when(n % 3 == 0, F.lit("999999999999999%"))
+           .when(n % 3 == 1, F.concat(F.lit("0.00001"), (n % 7).cast("string"), F.lit("%"))).otherwise(F.col("ctr")))
+    source = _source(scenario(spark, sf_dir).bronze0.withColumn("ctr", ctr))
+    return source.select("tanggal", "toko", "id_kreator", "ctr_live", "row_hash_clean")

@@ -1,17 +1,19 @@
 """Table layout on a shared filesystem, written only through Spark writers.
 
-    <root>/bronze/date=YYYYMMDD/run_key=YYYYMMDDHH/      Parquet, append by run
-    <root>/quarantine/date=YYYYMMDD/run_key=YYYYMMDDHH/  Parquet, raw bad rows
+    <root>/bronze/date=YYYYMMDD/run_key=YYYYMMDDHH/load_id=RUN/      Parquet
+    <root>/quarantine/date=YYYYMMDD/run_key=YYYYMMDDHH/load_id=RUN/  Parquet, raw bad rows
+    <root>/parked/v=NNNNNNNNNN/, <root>/headers/v=.../  Parquet, by micro-batch: grid rows
+                                                          without a header yet, headers seen
     <root>/silver/v=NNNNNNNNNN/                          Parquet snapshot
-    <root>/state/<name>/run_key=YYYYMMDDHH/              JSON lines (watermark, manifest)
-    <root>/fixes/date=YYYYMMDD/run_key=YYYYMMDDHH/       JSON lines
+    <root>/state/<name>/v=NNNNNNNNNN/                    JSON lines (watermark, manifest, runs, batches)
+    <root>/fixes/date=YYYYMMDD/run_key=YYYYMMDDHH/load_id=RUN/       JSON lines
 
 Every write is one Spark job with the standard commit protocol, so a failed
 task or a lost executor is retried and a half-written folder never has a
-``_SUCCESS`` marker. Partitioned sinks use dynamic partition overwrite: a rerun
-within the same hour replaces that run's partition (idempotent retry) and
-leaves the others. A silver snapshot is never overwritten in place: each merge
-writes the next version, and readers take the newest committed one.
+``_SUCCESS`` marker. Partitioned sinks use dynamic partition overwrite down to
+the run's id: a retry of a run replaces its own rows, and two runs of one hour
+keep theirs. Silver snapshots and state are never overwritten in place: each
+write makes the next version, and readers take the newest committed one.
 """
 
 from __future__ import annotations
@@ -42,6 +44,13 @@ def committed_children(spark: SparkSession, path: str, prefix: str, committed: b
     return sorted(out)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files of a flat folder."""
+    fs, p = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
@@ -49,30 +58,49 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 # --- partitioned data sinks ----------------------------------------------------
 
+MODES = ("append", "replace", "fail")
+
+
 def _with_run_keys(df: DataFrame, run: RunInfo) -> DataFrame:
-    return df.withColumns({"date": F.lit(run.today_key), "run_key": F.lit(run.run_key)})
+    return df.withColumns({"date": F.lit(run.today_key), "run_key": F.lit(run.run_key), "load_id": F.lit(run.run_id)})
 
 
-def write_bronze(df: DataFrame, root: str, run: RunInfo) -> None:
-    """Append this run's bronze rows (a rerun in the same hour replaces them)."""
+def _write_by_run(df: DataFrame, path: str, run: RunInfo) -> None:
     (_with_run_keys(df, run).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date", "run_key").parquet(f"{root}/bronze"))
-
-
-def read_bronze(spark: SparkSession, root: str) -> DataFrame | None:
-    if not exists(spark, f"{root}/bronze"):
+     .partitionBy("date", "run_key", "load_id").parquet(path))
+
+
+def write_bronze(df: DataFrame, root: str, run: RunInfo, mode: str = "append") -> None:
+    """This run's bronze rows: ``append`` them (a retry of the run replaces what
+    it wrote before), ``replace`` the table by them, or ``fail`` if it exists."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    if mode == "append":
+        _write_by_run(df, f"{root}/bronze", run)
+        return
+    (_with_run_keys(df, run).write.mode("overwrite" if mode == "replace" else "errorifexists")
+     .option("partitionOverwriteMode", "static")
+     .partitionBy("date", "run_key", "load_id").parquet(f"{root}/bronze"))
+
+
+def read_bronze(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame | None:
+    """The bronze table, or None before the first write. With ``schema`` its columns
+    are read from every load that has them, without looking at the files first;
+    without, the columns of all loads are merged."""
+    path = f"{root}/bronze"
+    if not exists(spark, path):
         return None
-    return spark.read.parquet(f"{root}/bronze")
+    if schema:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def write_quarantine(df_error: DataFrame, root: str, run: RunInfo, check_empty: bool = True) -> bool:
     """Raw bad rows plus reason; nothing is written when there are none."""
     if check_empty and df_error.isEmpty():
         return False
-    (_with_run_keys(df_error, run).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date", "run_key").parquet(f"{root}/quarantine"))
+    _write_by_run(df_error, f"{root}/quarantine", run)
     return True
 
 
@@ -80,52 +108,94 @@ def quarantine_path(run: RunInfo) -> str:
     return f"quarantine/date={run.today_key}/run_key={run.run_key}"
 
 
-# --- silver snapshots -----------------------------------------------------------
+# --- versions: silver, state, parked rows ------------------------------------------
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    return [int(v) for v in committed_children(spark, path, "v")]
+
+
+def _next_version(spark: SparkSession, path: str) -> str:
+    """The number follows every existing version folder, committed or not, so a
+    write that died half-way never blocks (or is mistaken for) the next one."""
+    every = [int(v) for v in committed_children(spark, path, "v", committed=False)]
+    return f"{path}/v={(max(every) + 1) if every else 1:010d}"
+
+
+def _newest(spark: SparkSession, path: str) -> str | None:
+    vs = versions(spark, path)
+    return f"{path}/v={vs[-1]:010d}" if vs else None
+
 
 def silver_versions(spark: SparkSession, root: str) -> list[int]:
-    return [int(v) for v in committed_children(spark, f"{root}/silver", "v")]
+    return versions(spark, f"{root}/silver")
 
 
 def read_silver(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """Newest committed silver snapshot, or an empty table of ``schema``."""
-    vs = silver_versions(spark, root)
-    if not vs:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/silver/v={vs[-1]:010d}")
+    path = _newest(spark, f"{root}/silver")
+    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
 
 
 def write_silver(df: DataFrame, root: str, spark: SparkSession) -> int:
-    """Write the next silver version; the previous one stays readable.
+    """Write the next silver version; the previous one stays readable."""
+    path = _next_version(spark, f"{root}/silver")
+    df.write.mode("errorifexists").parquet(path)
+    return int(path.rsplit("=", 1)[1])
+
+
+def save_as_table(df: DataFrame, name: str, mode: str = "fail") -> None:
+    """``df`` as a table of the session's catalog (modes as for bronze)."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    df.write.mode({"append": "append", "replace": "overwrite", "fail": "errorifexists"}[mode]).saveAsTable(name)
 
-    The number follows every existing version folder, committed or not, so a
-    write that died half-way never blocks (or is mistaken for) the next one.
-    """
-    every = [int(v) for v in committed_children(spark, f"{root}/silver", "v", committed=False)]
-    nxt = (max(every) + 1) if every else 1
-    df.write.mode("errorifexists").parquet(f"{root}/silver/v={nxt:010d}")
-    return nxt
 
+def write_state(df: DataFrame, root: str, name: str) -> None:
+    df.write.mode("errorifexists").json(_next_version(df.sparkSession, f"{root}/state/{name}"))
 
-# --- state (JSON lines, one folder per run) ------------------------------------
 
-def write_state(df: DataFrame, root: str, name: str, run: RunInfo) -> None:
-    df.write.mode("overwrite").json(f"{root}/state/{name}/run_key={run.run_key}")
+def has_state(spark: SparkSession, root: str, name: str) -> bool:
+    return bool(versions(spark, f"{root}/state/{name}"))
 
 
 def read_state(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """Latest committed state of ``name``, or an empty table."""
-    keys = committed_children(spark, f"{root}/state/{name}", "run_key")
-    if not keys:
+    """Latest committed state of ``name``, or an empty table. A damaged line fails
+    the read: it must not be taken for "nothing known"."""
+    path = _newest(spark, f"{root}/state/{name}")
+    if path is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(f"{root}/state/{name}/run_key={keys[-1]}")
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def write_batch(df: DataFrame, root: str, name: str, epoch: int) -> None:
+    """What a micro-batch leaves for the next ones; a retry of the batch replaces it."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{name}/v={epoch:010d}")
+
+
+def read_batch(spark: SparkSession, root: str, name: str, epoch: int, schema: str) -> DataFrame:
+    """What the newest micro-batch before ``epoch`` left."""
+    before = [v for v in versions(spark, f"{root}/{name}") if v < epoch]
+    return (spark.read.schema(schema).parquet(f"{root}/{name}/v={before[-1]:010d}") if before
+            else spark.createDataFrame([], schema))
 
 
 def write_fixes(df: DataFrame, root: str, run: RunInfo) -> None:
-    df.write.mode("overwrite").json(f"{root}/fixes/date={run.today_key}/run_key={run.run_key}")
+    df.write.mode("overwrite").json(f"{root}/fixes/date={run.today_key}/run_key={run.run_key}/load_id={run.run_id}")
+
+
+def read_fixes(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """All fix records, with the run's keys."""
+    if not exists(spark, f"{root}/fixes"):
+        return spark.createDataFrame([], schema + ", date string, run_key string, load_id string")
+    return spark.read.schema(schema + ", date string, run_key string, load_id string").option("mode", "FAILFAST").json(f"{root}/fixes")
 
 
 # --- single-document JSON (the source system's state format) -------------------
 
+#: Rows of the largest state table written as one document.
+DOCUMENT_ROWS = 100_000
+
+
 def read_document(spark: SparkSession, path: str, key: str, item_schema: str) -> DataFrame:
     """Rows of ``{"<key>": [ {...}, ... ]}`` documents, with ``_ord`` = position.
 
@@ -134,16 +204,18 @@ def read_document(spark: SparkSession, path: str, key: str, item_schema: str) ->
     """
     if not exists(spark, path):
         return spark.createDataFrame([], item_schema + ", _ord int")
-    doc = spark.read.schema(f"`{key}` array<struct<{_struct_fields(item_schema)}>>").json(path, multiLine=True)
+    doc = spark.read.schema(f"`{key}` array<struct<{_struct_fields(item_schema)}>>").option("mode", "FAILFAST").json(path, multiLine=True)
     return doc.select(F.posexplode(key).alias("_ord", "r")).select("r.*", "_ord")
 
 
 def document_column(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row with the JSON text of ``{"<key>": [rows sorted by order]}``.
 
-    For small state only (the watermark table has one row per source); the
-    caller checks the size before using it.
+    The document form holds a whole state table in one row, so it is for state
+    that one row can hold: more than ``DOCUMENT_ROWS`` rows fail the job.
     """
+    df = df.join(F.broadcast(df.agg(F.count(F.lit(1)).alias("_n"))))  # one row
+    df = df.filter(F.when(F.col("_n") > DOCUMENT_ROWS, F.raise_error(F.lit("too many rows for one document"))).otherwise(F.lit(True))).drop("_n")
     rows = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order],
                                                 *[F.col(c) for c in df.columns if c not in order])))
     return df.agg(F.to_json(F.struct(rows.alias(key))).alias("value"))
@@ -180,26 +252,35 @@ def read_silver_by_day(spark: SparkSession, root: str, schema: str) -> DataFrame
     return spark.read.schema(schema).parquet(path)
 
 
+def within_days(table: DataFrame, days: DataFrame) -> DataFrame:
+    """``table`` in the range of ``days`` and without a day: a filter that prunes
+    partitions (a NULL-safe join cannot)."""
+    first, last = days.agg(F.min("tanggal"), F.max("tanggal")).first()
+    inside = F.col("tanggal").isNull()
+    return table.filter(inside if first is None else inside | F.col("tanggal").between(F.lit(first), F.lit(last)))
+
+
 def upsert_silver_by_day(spark: SparkSession, root: str, source: DataFrame, schema: str,
                          null_safe_keys: bool = False) -> int:
     """MERGE ``source`` into the day-partitioned silver table, rewriting only the
     days the source touches (dynamic partition overwrite).
 
-    The touched days are a small set (one per business day in the source); the
-    target is cut to them by a semi join, which prunes partitions at the scan.
+    The touched days are a small set (one per business day in the source). The scan
+    of the target is pruned to their range, and a semi join takes the days.
     The merged days are staged through ``checkpoint()`` first, because the
     overwrite replaces partitions of the table the merge reads. Returns the
     number of touched days.
     """
     from alloy.operators import silver as S
-    from alloy.operators.common import small
+    from alloy.operators.common import measured, small
     from alloy.plans.pipeline import cut
 
-    days = source.select("tanggal").distinct()
-    target = read_silver_by_day(spark, root, schema)
+    days = measured(source.select("tanggal").distinct(), "days")  # a row a day
+    target = within_days(read_silver_by_day(spark, root, schema), days)
     touched = target.join(small(days.withColumnRenamed("tanggal", "_d")),
                           F.col("tanggal").eqNullSafe(F.col("_d")), "left_semi")
     merged = cut(S.upsert(touched, source, null_safe_keys=null_safe_keys), "checkpoint")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Rows of one day go to few tasks and so to few files; Spark splits a large day.
+    (merged.hint("rebalance", "tanggal").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("tanggal").parquet(f"{root}/silver_by_day"))
     return days.count()

@@ -20,8 +20,9 @@ k = props.$.k (tried top-down):
 * CTR: e%71=0 'IDR'; e%3=0 k || ',5%'; e%3=1 k || '.5%'; else k.
 * Other numeric columns: fixed formulas over e, n, k (see ``_numeric_value``).
 
-Two runs: run 1 keeps d < 2024-01-16; run 2 keeps every row and doubles n
-where e%10=0. On four (sheet, date) pairs the corruption rules of Tanggal,
+Run 0 keeps every row, for queries that need no state. Two runs for those that
+do: run 1 keeps d < 2024-01-16; run 2 keeps every row and doubles n where
+e%10=0. On four (sheet, date) pairs the corruption rules of Tanggal,
 GMV and CTR are replaced by a schedule (corrupt means GMV = '12,5%'):
 
   sheet_2 2024-01-05: run 1 all corrupt, run 2 all clean (resolved, recovered)
@@ -29,6 +30,8 @@ GMV and CTR are replaced by a schedule (corrupt means GMV = '12,5%'):
   sheet_0 2024-01-09: run 1 odd e corrupt, run 2 all clean (count differs)
   sheet_3 2024-01-11: run 1 all corrupt, run 2 rows absent (stays open)
 
+Run 0 has run 1's schedule.
+
 Sheets differ in layout: sheet_1 repeats a header, sheet_2 has an empty
 header, sheet_3 lacks ``Nama Panggilan``, sheet_4 lists columns in reverse.
 """
@@ -55,7 +58,7 @@ SPECIAL_PAIRS = [
     ("sheet_3", "2024-01-11", "all", "absent"),
 ]
 RUN1_END = "2024-01-16"
-RUN_SNAPSHOTS = {1: ("2024-01-16 00:00:00", "run-1"), 2: ("2024-02-01 00:00:00", "run-2")}
+RUN_SNAPSHOTS = {0: ("2024-02-01 00:00:00", "run-all"), 1: ("2024-01-16 00:00:00", "run-1"), 2: ("2024-02-01 00:00:00", "run-2")}
 
 
 @dataclass(frozen=True)
@@ -116,7 +119,7 @@ def base_select(dl: Dialect, run: int) -> tuple[list[str], str]:
     """First projection over ``events`` (derived scalars used by the rules) and
     the CASE branches naming each row's special-pair mode."""
     modes = " ".join(
-        f"WHEN u % 5 = {int(sh[-1])} AND d = DATE '{day}' THEN '{m1 if run == 1 else m2}'"
+        f"WHEN u % 5 = {int(sh[-1])} AND d = DATE '{day}' THEN '{m2 if run == 2 else m1}'"
         for sh, day, m1, m2 in SPECIAL_PAIRS
     )
     n_expr = "CAST(floor(value * 1000) AS BIGINT)"
@@ -194,7 +197,7 @@ def raw_select(dl: Dialect, run: int) -> tuple[list[str], list[str], str]:
         f"'key_' || {s('least(u % 5, 3)')} AS creds",
         "e + 3 AS row_no",
     ] + [f"{cols[c]} AS {q(c)}" for c in FIXTURE_COLS]
-    filt = f"d < DATE '{RUN1_END}'" if run == 1 else f"{sp} <> 'absent'"
+    filt = {0: "true", 1: f"d < DATE '{RUN1_END}'", 2: f"{sp} <> 'absent'"}[run]
     return base, proj, filt
 
 
@@ -323,7 +326,7 @@ def landed_grid(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
         # Land as several files (like many uploads), so reads are parallel.
         n = max(2 * spark.sparkContext.defaultParallelism, 2)
         (raw_grid(load_events(spark, sf_dir), run)
-         .repartition(n, "sheet_name", "row_no")
+         .coalesce(n)
          .write.parquet(path))
         _LANDED[key] = path
     return spark.read.schema(GRID_SCHEMA).parquet(path)

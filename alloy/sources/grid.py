@@ -1,17 +1,21 @@
 """Landed raw grids -> raw frame (every cell text, tagged with its source).
 
 A landed worksheet is stored as rows ``(sheet_name, creds, row_no, cells)``:
-the header sits on grid row 2 and data starts on row 3. The header rows are the
-only thing read to the driver (one short array per sheet, a bounded and
-size-checked collect: this *is* the schema). Each data row then looks up its
-sheet's column positions in a literal map, so there is no join, no shuffle and
-no skew however rows are spread over sheets.
+the header sits on grid row 2 and data starts on row 3. The headers are a small
+table of their own, one row per sheet, from the same landing or from an earlier
+one; each data row finds its sheet's column positions by a join with it, a
+broadcast join behind the size check. Only the distinct column names come to the
+driver: they are the schema of the result.
 
 Semantics kept from the source system:
 * a repeated header name keeps its first column;
 * a column with an empty header is not loaded;
 * sheets are unioned by name, a column absent from a sheet is NULL;
 * ``sheet_name`` / ``creds`` tag every row; ``row_no`` is kept for ordering.
+
+A data row whose sheet has no header, or a sheet with two different headers in
+one landing, fails the job when its cells are read; ``split_headerless`` sets
+such rows aside before.
 """
 
 from __future__ import annotations
@@ -19,10 +23,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from alloy.constants import FIRST_DATA_ROW, HEADER_ROW
+from alloy.operators.common import measured, small
 
 GRID_SCHEMA = "sheet_name string, creds string, row_no bigint, cells array<string>"
-# Above this many sheets the header map is joined instead of inlined.
-MAX_INLINE_SHEETS = 10_000
+HEADER_SCHEMA = "sheet_name string, header array<string>, n_headers bigint"
 
 
 def read_grid(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -31,66 +35,50 @@ def read_grid(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return reader.parquet(path) if fmt == "parquet" else reader.format(fmt).load(path)
 
 
-def collect_headers(grid: DataFrame, max_sheets: int = 1_000_000) -> dict[str, list[str]]:
-    """Header row per sheet. Bounded: fails clearly past ``max_sheets`` sheets."""
-    rows = (grid.filter(F.col("row_no") == HEADER_ROW)
-            .select("sheet_name", "cells")
-            .limit(max_sheets + 1).collect())
-    if len(rows) > max_sheets:
-        raise ValueError(f"more than {max_sheets} header rows; the raw schema is unbounded")
-    out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: r["sheet_name"]):
-        if r["sheet_name"] in out:
-            raise ValueError(f"sheet {r['sheet_name']!r} has two header rows")
-        out[r["sheet_name"]] = [c if c is not None else "" for c in (r["cells"] or [])]
-    return out
-
-
-def column_positions(headers: dict[str, list[str]]) -> tuple[list[str], dict[str, list[int | None]]]:
-    """Union of names (first seen order) and, per sheet, each name's first position."""
-    names: list[str] = []
-    for hdr in headers.values():
-        for h in hdr:
-            if h != "" and h not in names:
-                names.append(h)
-    pos = {}
-    for sheet, hdr in headers.items():
-        first = {}
-        for i, h in enumerate(hdr):
-            first.setdefault(h, i)
-        pos[sheet] = [first.get(n) for n in names]
-    return names, pos
-
-
-def grid_to_frame(grid: DataFrame, headers: dict[str, list[str]] | None = None,
-                  column_order: list[str] | None = None) -> DataFrame:
-    """Promote headers and project every data row to named text columns."""
-    headers = headers if headers is not None else collect_headers(grid)
-    names, pos = column_positions(headers)
-    if column_order:
-        idx = {n: i for i, n in enumerate(names)}
-        names = [c for c in column_order if c in idx] + [c for c in names if c not in column_order]
-        pos = {s: [p[idx[n]] for n in names] for s, p in pos.items()}
+def headers_of(grid: DataFrame) -> DataFrame:
+    """``(sheet_name, header, n_headers)``: the header cells of every sheet and how
+    many different header rows it has."""
+    rows = grid.filter(F.col("row_no") == HEADER_ROW).select(
+        "sheet_name", F.transform(F.coalesce("cells", F.array().cast("array<string>")),
+                                  lambda c: F.coalesce(c, F.lit(""))).alias("header"))
+    return rows.distinct().groupBy("sheet_name").agg(F.min("header").alias("header"), F.count(F.lit(1)).alias("n_headers"))
+
+
+def known_headers(earlier: DataFrame, grid: DataFrame) -> DataFrame:
+    """The headers of a landing, and ``earlier`` ones of sheets that it does not bring again."""
+    here = headers_of(grid)
+    return here.unionByName(earlier.join(small(here.select("sheet_name")), "sheet_name", "left_anti"))
+
+
+def split_headerless(grid: DataFrame, headers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose sheet has a header, data rows whose sheet has none)."""
+    names = small(measured(headers.select("sheet_name").distinct(), "header-sheets"))
     data = grid.filter(F.col("row_no") >= FIRST_DATA_ROW)
+    return grid.join(names, "sheet_name", "left_semi"), data.join(names, "sheet_name", "left_anti")
 
-    if len(headers) <= MAX_INLINE_SHEETS:
-        kv = []
-        for sheet, p in pos.items():
-            kv += [F.lit(sheet), F.array(*[F.lit(x).cast("int") for x in p])]
-        lookup = F.element_at(F.create_map(*kv), F.col("sheet_name")) if kv else F.lit(None)
-        data = data.withColumn("_pos", lookup)
-    else:
-        spark = grid.sparkSession
-        table = spark.createDataFrame([(s, p) for s, p in pos.items()], "sheet_name string, _pos array<int>")
-        data = data.join(table, "sheet_name", "left")
-
-    cells = [F.get(F.col("cells"), F.get(F.col("_pos"), i)).alias(n) for i, n in enumerate(names)]
-    return data.select("sheet_name", "creds", "row_no", *cells)
+
+def column_names(headers: DataFrame, column_order: list[str] | None = None) -> list[str]:
+    """The distinct header names: those of ``column_order`` first, in its order,
+    then the others by the first sheet and position that has them."""
+    cells = headers.select("sheet_name", F.posexplode("header").alias("position", "name")).filter("name <> ''")
+    seen = cells.groupBy("name").agg(F.min(F.struct("sheet_name", "position")).alias("at")).orderBy("at").select("name").collect()
+    names = [r["name"] for r in seen]  # one row per column of the result
+    wanted = [c for c in column_order or [] if c in names]
+    return wanted + [c for c in names if c not in wanted]
 
 
-def union_frames(frames: list[DataFrame]) -> DataFrame:
-    """Union by name; a column missing from a frame is NULL."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+def grid_to_frame(grid: DataFrame, headers: DataFrame | None = None,
+                  column_order: list[str] | None = None) -> DataFrame:
+    """Promote headers and project every data row to named text columns."""
+    headers = measured(headers_of(grid) if headers is None else headers, "headers")
+    names = column_names(headers, column_order)
+    wanted = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    # Where each name stands first in the sheet's header; NULL where it does not.
+    found = F.transform(wanted, lambda n: F.nullif(F.array_position("header", n), F.lit(0).cast("long")))
+    places = headers.select("sheet_name", F.when(F.col("n_headers") > 1, F.raise_error(F.concat(
+        F.lit("two different header rows in sheet "), "sheet_name"))).otherwise(found).alias("_pos"))
+    data = grid.filter(F.col("row_no") >= FIRST_DATA_ROW).join(small(places), "sheet_name", "left")
+    pos = F.coalesce("_pos", F.raise_error(F.concat(F.lit("no header row for sheet "), F.coalesce("sheet_name", F.lit("NULL")))))
+    data = data.withColumn("_pos", pos.cast("array<bigint>"))
+    cells = [F.get(F.col("cells"), (F.get(F.col("_pos"), i) - 1).cast("int")).alias(n) for i, n in enumerate(names)]
+    return data.select("sheet_name", "creds", "row_no", *cells)

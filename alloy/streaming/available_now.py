@@ -1,40 +1,73 @@
 """Incremental runs driven by Structured Streaming.
 
 Landed grid files arrive in a folder. A file stream with ``availableNow``
-processes everything that has landed, one file per micro-batch, and each
-micro-batch runs the batch pipeline through ``foreachBatch``. The streaming
-checkpoint records which files are done, so a restarted job neither skips nor
-repeats a landed file; the pipeline's own writes are idempotent per run key.
-The per-source watermark is persisted state of the pipeline (not a streaming
-event-time watermark): a source's mark is a processed business date.
+processes everything that has landed, and each micro-batch runs the batch
+pipeline through ``foreachBatch``. The streaming checkpoint records which files
+are done, so a restarted job neither skips nor repeats a landed file.
+
+A sheet may land as several files, so its header can come in another
+micro-batch than its rows. The headers seen so far are state; rows that come
+before their sheet's header are parked and join the first batch that knows it.
+
+A batch that is retried runs under the run id and time of its first attempt
+(state ``runs``), so it replaces its own rows and no others; a batch that was
+finished (state ``batches``) is not run again. The per-source
+watermark is persisted state of the pipeline (not a streaming event-time
+watermark): a source's mark is a processed business date.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from alloy.constants import FIRST_DATA_ROW
 from alloy.operators.bronze import RunInfo
-from alloy.plans.pipeline import RunResult, run_pipeline
-from alloy.sources.grid import GRID_SCHEMA, grid_to_frame
+from alloy.plans.pipeline import RunResult, cut, run_pipeline
+from alloy.sinks import store
+from alloy.sources import grid as G
+
+RUNS_SCHEMA = "epoch bigint, run_id string, snapshot_ts string"
+
+
+def run_of_epoch(spark: SparkSession, root: str, epoch: int) -> RunInfo:
+    """The run of a micro-batch: the recorded one if the batch was tried before."""
+    known = store.read_state(spark, root, "runs", RUNS_SCHEMA).filter(F.col("epoch") == epoch).first()
+    if known:
+        return RunInfo.at(known["snapshot_ts"], known["run_id"])
+    run = RunInfo.now(f"epoch-{epoch}")
+    # Only the last batch can be retried, so one record is enough.
+    store.write_state(spark.createDataFrame([(epoch, run.run_id, run.now_iso)], RUNS_SCHEMA), root, "runs")
+    return run
 
 
 def run_available_now(spark: SparkSession, landing_dir: str, root: str, registry: DataFrame,
                       checkpoint: str, run_for_batch: Callable[[int], RunInfo] | None = None,
                       column_order: list[str] | None = None, files_per_batch: int = 1,
-                      watermark_mode: str = "retain") -> list[RunResult]:
-    """Process every landed grid file not yet processed, then stop."""
+                      watermark_mode: str = "retain", **options) -> list[RunResult]:
+    """Process every landed grid file not yet processed, then stop. ``options`` go
+    to ``run_pipeline``."""
     results: list[RunResult] = []
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        run = run_for_batch(epoch_id) if run_for_batch else RunInfo.now()
-        raw = grid_to_frame(batch, column_order=column_order)
-        results.append(run_pipeline(batch.sparkSession, raw, root, run, registry, watermark_mode))
+        session = batch.sparkSession
+        done = store.read_state(session, root, "batches", "epoch bigint").agg(F.max("epoch")).first()[0]
+        if done is not None and epoch_id <= done:
+            return  # finished before the stream could note it
+        run = run_for_batch(epoch_id) if run_for_batch else run_of_epoch(session, root, epoch_id)
+        parked = store.read_batch(session, root, "parked", epoch_id, G.GRID_SCHEMA)
+        here = cut(batch.unionByName(parked), "checkpoint")
+        headers = cut(G.known_headers(store.read_batch(session, root, "headers", epoch_id, G.HEADER_SCHEMA), here), "checkpoint")
+        ready, waiting = G.split_headerless(here, headers)
+        if not ready.filter(F.col("row_no") >= FIRST_DATA_ROW).isEmpty():
+            raw = G.grid_to_frame(ready, headers, column_order)
+            results.append(run_pipeline(session, raw, root, run, registry, watermark_mode, **options))
+        store.write_batch(headers, root, "headers", epoch_id)
+        store.write_batch(waiting, root, "parked", epoch_id)
+        store.write_state(session.createDataFrame([(epoch_id,)], "epoch bigint"), root, "batches")
 
-    stream = (spark.readStream.schema(GRID_SCHEMA)
+    stream = (spark.readStream.schema(G.GRID_SCHEMA)
               .option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing_dir))
     query = (stream.writeStream.foreachBatch(on_batch)

@@ -28,10 +28,34 @@ def test_grid_headers_first_wins_empty_dropped_union(spark):
     assert (got["b"]["X"], got["b"]["Y"], got["b"]["Z"]) == (None, "y", "z")
 
 
-def test_grid_header_bound(spark):
-    grid = spark.createDataFrame([("a", "k", 2, ["X"]), ("b", "k", 2, ["X"])], G.GRID_SCHEMA)
+def test_grid_headers_missing_or_two(spark):
+    rows = [("a", "k", 2, ["X"]), ("b", "k", 3, ["1"])]
+    grid = spark.createDataFrame(rows, G.GRID_SCHEMA)
+    ready, parked = G.split_headerless(grid, G.headers_of(grid))
+    assert [r["sheet_name"] for r in ready.collect()] == ["a"] and [r["sheet_name"] for r in parked.collect()] == ["b"]
+    with pytest.raises(Exception, match="no header row for sheet b"):
+        G.grid_to_frame(grid).collect()
+    two = spark.createDataFrame([("a", "k", 2, ["X"]), ("a", "k", 2, ["Y"]), ("a", "k", 3, ["1"])], G.GRID_SCHEMA)
+    with pytest.raises(Exception, match="two different header rows in sheet a"):
+        G.grid_to_frame(two).collect()
+    again = spark.createDataFrame([("a", "k", 2, ["X"]), ("a", "k", 2, ["X"]), ("a", "k", 3, ["1"])], G.GRID_SCHEMA)
+    assert [r["X"] for r in G.grid_to_frame(again).collect()] == ["1"]
+
+
+def test_extreme_ratio_hash(spark):
+    from alloy.functions import hash_text
+
+    df = spark.createDataFrame([(0.125,), (1e-7,), (9999999999999.99,), (1e300,), (None,)], "x double")
+    assert [r[0] for r in df.select(hash_text(F.col("x"), "double")).collect()] == [
+        "0.125000000000", "0.000000100000", "9999999999999.99", "huge", None]
+
+
+def test_duplicate_source_keys_are_refused(spark):
+    day = dt.date(2024, 1, 5)
+    row = (day, "A", "U", 10, "10:00:00", 1, "h1")
+    S.require_unique(_silver_rows(spark, [row]))
     with pytest.raises(ValueError):
-        G.collect_headers(grid, max_sheets=1)
+        S.require_unique(_silver_rows(spark, [row, row]))
 
 
 def _raw(spark, rows):
@@ -84,10 +108,12 @@ def test_bronze_watermark_dedup(spark):
     wm = spark.createDataFrame([("k1", "2024-01-05")], "creds string, last_processed_date string")
     b, mx = B.build_bronze(valid, RUN, wm)
     kept = sorted(r["row_no"] for r in b.collect())
-    assert kept == [4, 5, 7]  # day 2024-01-05 (even at 10:00) is not after the mark
+    assert kept == [3, 4, 5, 7]  # 2024-01-05 10:00 is after the mark, the start of that day
     assert {r["creds"]: r["last_processed_date"] for r in mx.collect()} == {"k1": "2024-01-06"}
     first = B.dedup_first(b)
-    assert sorted(r["row_no"] for r in first.collect()) == [4, 7]
+    assert len(first.collect()) == len({r["row_hash_raw"] for r in b.collect()})
+    by_day, _ = B.build_bronze(valid, RUN, wm, by_day=True)
+    assert sorted(r["row_no"] for r in by_day.collect()) == [4, 5, 7]
     row = b.filter("row_no = 4").first()
     assert row["pukul_live"] == 11 and row["run_id"] == "run-x"
     assert "gmv_live_rp" not in b.columns
@@ -164,8 +190,9 @@ def test_upsert_null_safe_keys_updates_unkeyed_rows(spark):
 def test_latest_split_by_time(spark):
     d = dt.datetime
     rows = [
-        ("s", "k", 3, d(2024, 1, 5), "SHOP", "U", None, "10:00", d(2024, 1, 16), "run-1", "a"),
+        ("s", "k", 3, d(2024, 1, 5), "SHOP", "U", None, "9:30", d(2024, 1, 16), "run-1", "a"),
         ("s", "k", 4, d(2024, 1, 5), "SHOP", "U", None, "11:00", d(2024, 1, 16), "run-1", "b"),
+        ("s", "k", 5, d(2024, 1, 5), "SHOP", "U", None, "09:30", d(2024, 1, 16), "run-1", "c"),  # as row 3
     ]
     b = spark.createDataFrame(rows, "sheet_name string, creds string, row_no bigint, tanggal timestamp_ntz, "
                                     "toko string, id_kreator string, pukul_live int, waktu_live string, "

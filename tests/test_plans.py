@@ -25,7 +25,7 @@ def _grid(spark):
 
 def test_header_promotion_has_no_shuffle(spark):
     plan = _plan(G.grid_to_frame(_grid(spark)))
-    assert "Exchange" not in plan and "Join" not in plan
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 def _bronze(spark):
@@ -43,19 +43,26 @@ def test_dedup_and_latest_aggregate_before_the_shuffle(spark):
         assert "Window" not in plan
 
 
-def test_watermark_lookup_needs_no_join(spark):
-    """Watermarks (one row per source) are applied as a literal map: the data is
-    neither joined nor shuffled, whatever the size estimate of the state says."""
+def test_watermark_lookup_does_not_shuffle_the_rows(spark):
+    """One row per source is broadcast behind the size check."""
     valid = _bronze(spark).drop("path", "row_hash_raw", "snapshot_ts", "run_id", "pukul_live")
     valid = valid.withColumnRenamed("tanggal", "Tanggal")
     wm = spark.createDataFrame([("k", "2024-01-01")], "creds string, last_processed_date string")
     b, _ = B.build_bronze(valid, B.RunInfo.at("2024-01-16 00:00:00", "r"), wm)
     plan = _plan(b)
-    assert "Join" not in plan and "Exchange" not in plan
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_recovered_split_needs_no_join(spark):
-    """Recovered keys are applied as a literal key set on the valid rows."""
+def test_a_large_side_is_not_broadcast(spark, monkeypatch):
+    from alloy.operators import common
+
+    monkeypatch.setattr(common, "BROADCAST_MAX_BYTES", 1)
+    df = common.measured(spark.range(1000), "large")
+    assert common.small(df, common.BROADCAST_MAX_BYTES) is df
+
+
+def test_recovered_split_does_not_shuffle_the_rows(spark):
+    """Recovered keys are broadcast behind the size check."""
     from alloy.operators import state as ST
 
     valid = spark.createDataFrame([("s", "k", dt.datetime(2024, 1, 5), i) for i in range(50)],
@@ -65,7 +72,7 @@ def test_recovered_split_needs_no_join(spark):
     recovered, regular = ST.split_recovered(valid, resolved, counts)
     assert recovered.count() == 50 and regular.count() == 0
     plan = _plan(regular)
-    assert "Join" not in plan and "Exchange" not in plan
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
@@ -79,6 +86,19 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<sheet_name:string,row_no:bigint,cells:array<string>>" in plan
 
 
+def test_touched_days_prune_silver_partitions(spark):
+    """A by-day merge reads the partitions in the range of its source's days only."""
+    from alloy.session import scratch_path
+    from alloy.sinks import store
+
+    path = scratch_path(spark, "by-day")
+    spark.range(40).selectExpr("id", "date_add(date'2024-01-01', CAST(id AS int)) AS tanggal").write.partitionBy("tanggal").parquet(path)
+    days = spark.sql("SELECT date'2024-01-05' AS tanggal")
+    df = store.within_days(spark.read.parquet(path), days)
+    assert df.count() == 1
+    assert "PartitionFilters: [(isnull(tanggal" in _plan(df)
+
+
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")
 def test_stream_available_now_matches_batch(spark):
     """Two landed files through the availableNow stream give the two-run silver table."""

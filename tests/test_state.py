@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from alloy.operators import state as ST
 
-REG = [("matz", "KEY_M", 0), ("riwa", "KEY_R", 1), ("riwa_ajwa", "KEY_R", 2)]
+REG = [("north", "KEY_N", 0), ("south", "KEY_S", 1), ("south_two", "KEY_S", 2)]
 
 
 def _reg(spark):
@@ -13,28 +13,28 @@ def _reg(spark):
 
 def test_load_watermarks_old_format_and_shared_key(spark):
     recs = spark.createDataFrame([
-        (None, "matz", "2024-01-10T08:00:00", "x"),     # old format -> registry key
-        ("KEY_R", "riwa", "2024-01-12", "x"),
-        ("KEY_R", "riwa_ajwa", " 2024-01-14 ", "x"),    # shared key: greatest date wins
+        (None, "north", "2024-01-10T08:00:00", "x"),     # old format -> registry key
+        ("KEY_S", "south", "2024-01-12", "x"),
+        ("KEY_S", "south_two", " 2024-01-14 ", "x"),    # shared key: greatest date wins
         (None, "unknown", "2024-01-01", "x"),           # untranslatable: keyed by its name
     ], ST.WATERMARK_SCHEMA)
     got = {r["creds"]: r["last_processed_date"] for r in ST.load_watermarks(recs, _reg(spark)).collect()}
-    assert got == {"KEY_M": "2024-01-10", "KEY_R": "2024-01-14", "unknown": "2024-01-01"}
+    assert got == {"KEY_N": "2024-01-10", "KEY_S": "2024-01-14", "unknown": "2024-01-01"}
 
 
 def test_rewrite_watermarks_modes(spark):
     prev = spark.createDataFrame([
-        ("KEY_M", "matz", "2024-01-10", "t0"),
+        ("KEY_N", "north", "2024-01-10", "t0"),
         ("KEY_X", "gone", "2024-01-09", "t0"),
     ], ST.WATERMARK_SCHEMA).withColumn("_ord", F.monotonically_increasing_id())
-    new = spark.createDataFrame([("KEY_R", "2024-01-20")], "creds string, last_processed_date string")
+    new = spark.createDataFrame([("KEY_S", "2024-01-20")], "creds string, last_processed_date string")
     rep = [r.asDict() for r in ST.rewrite_watermarks(prev, new, _reg(spark), "NOW", "replace").collect()]
     # only this run's sources; the shared key takes the last registered name
-    assert rep == [{"creds": "KEY_R", "sheet_name": "riwa_ajwa", "last_processed_date": "2024-01-20",
+    assert rep == [{"creds": "KEY_S", "sheet_name": "south_two", "last_processed_date": "2024-01-20",
                     "updated_at": "NOW"}]
     ret = {r["creds"]: r.asDict() for r in ST.rewrite_watermarks(prev, new, _reg(spark), "NOW", "retain").collect()}
-    assert set(ret) == {"KEY_M", "KEY_R", "KEY_X"}
-    assert ret["KEY_M"]["last_processed_date"] == "2024-01-10" and ret["KEY_M"]["updated_at"] == "t0"
+    assert set(ret) == {"KEY_N", "KEY_S", "KEY_X"}
+    assert ret["KEY_N"]["last_processed_date"] == "2024-01-10" and ret["KEY_N"]["updated_at"] == "t0"
     assert ret["KEY_X"]["sheet_name"] == "gone"
 
 
@@ -76,30 +76,50 @@ def test_recovery_report_counts(spark):
                    "recovery_absent": 1}
 
 
-def test_lookup_fallbacks_agree_with_inline(spark, monkeypatch):
-    """Past the inline bounds, the join fallbacks give the same rows."""
+def test_lookups_by_join(spark):
+    """Watermarks compare timestamps (or days); recovered keys are NULL-safe."""
     import datetime as dt
 
     from alloy.operators import bronze as B
 
     d = dt.datetime
     valid = spark.createDataFrame(
-        [("s", "k1", i, d(2024, 1, 4 + i % 3), "2024/01/05/10:00", "t", "u") for i in range(12)]
+        [("s", "k1", i, d(2024, 1, 4 + i % 3, i % 2), "2024/01/05/10:00", "t", "u") for i in range(12)]
         + [("s", None, 99, d(2024, 1, 1), "2024/01/01/10:00", "t", "u")],
         "sheet_name string, creds string, row_no bigint, Tanggal timestamp_ntz, `Waktu Live` string, "
         "Toko string, `ID Kreator` string")
     wm = spark.createDataFrame([("k1", "2024-01-04")], "creds string, last_processed_date string")
     run = B.RunInfo.at("2024-01-16 00:00:00", "r")
-    inline = sorted(r["row_no"] for r in B.build_bronze(valid, run, wm)[0].collect())
-    monkeypatch.setattr(B, "MAX_INLINE_WATERMARKS", 0)
-    joined = sorted(r["row_no"] for r in B.build_bronze(valid, run, wm)[0].collect())
-    assert inline == joined and 99 in inline and 0 not in inline
+    by_time = sorted(r["row_no"] for r in B.build_bronze(valid, run, wm)[0].collect())
+    by_day = sorted(r["row_no"] for r in B.build_bronze(valid, run, wm, by_day=True)[0].collect())
+    assert 3 in by_time and 9 in by_time and 0 not in by_time and 99 in by_time  # 01:00 on the marked day is after it
+    assert by_day == [i for i in by_time if i not in (3, 9)]
 
     resolved = _entries(spark, [("s", "k1", "2024-01-05", 4, "open")])
-    counts = ST.valid_counts(valid)
-    rec_inline, reg_inline = ST.split_recovered(valid, resolved, counts)
-    monkeypatch.setattr(ST, "MAX_INLINE_KEYS", 0)
-    rec_join, reg_join = ST.split_recovered(valid, resolved, counts)
-    assert sorted(r["row_no"] for r in rec_inline.collect()) == sorted(r["row_no"] for r in rec_join.collect())
-    assert sorted(r["row_no"] for r in reg_inline.collect()) == sorted(r["row_no"] for r in reg_join.collect())
-    assert rec_inline.count() == 4
+    recovered, regular = ST.split_recovered(valid, resolved, ST.valid_counts(valid))
+    assert sorted(r["row_no"] for r in recovered.collect()) == [1, 4, 7, 10]
+    assert regular.count() == 9
+
+
+def test_damaged_state_fails(spark, tmp_path):
+    import pytest
+
+    from alloy.sinks import store
+
+    root = str(tmp_path)
+    spark.createDataFrame([("{broken",)], "value string").write.text(f"{root}/state/watermark/v=0000000001")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA).collect()
+
+
+def test_many_sources_plan_alike(spark):
+    """The plan holds no literal for each source, so it does not grow with them."""
+    from alloy.operators import bronze as B
+
+    rows = spark.createDataFrame([("k1",)], "creds string").selectExpr("creds", "timestamp_ntz'2024-01-05' AS tanggal")
+
+    def plan(n):
+        wm = spark.range(n).selectExpr("concat('k', id) AS creds", "'2024-01-04' AS last_processed_date")
+        return B.watermark_filter(rows, wm)._jdf.queryExecution().optimizedPlan().toString()
+
+    assert abs(len(plan(10)) - len(plan(100_000))) < 50
