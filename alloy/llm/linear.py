@@ -55,16 +55,22 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
-def fit(rows: list[np.ndarray], target: np.ndarray, extra: np.ndarray, epochs: int = 8, rate: float = 0.3,
-        l1: float = 3e-4, batch: int = 256, seed: int = 7) -> np.ndarray:
+def fit(rows: list[np.ndarray], target: np.ndarray, extra: np.ndarray, epochs: int = 8, steps: int = 600,
+        rate: float = 0.3, penalty: float = 0.03, seed: int = 7) -> np.ndarray:
     """Weights: DIMS cells, one for each column of ``extra``, the bias. ``target``
-    may be a probability. Without rows, or with one class, only the bias speaks."""
+    may be a probability. Without rows, or with one class, only the bias speaks.
+
+    A small sample is passed over more often, for ``steps`` steps at least, and
+    its soft threshold is higher (``penalty`` over the root of its size)."""
     n, k = len(rows), extra.shape[1]
     w = np.zeros(DIMS + k + 1)
     share = (float(np.sum(target)) + 0.5) / (n + 1.0)
     w[-1] = np.log(share / (1.0 - share))
     if n == 0 or np.ptp(target) == 0:
         return w
+    batch = max(16, min(256, n // 40))
+    epochs = max(epochs, -(-steps * batch // n))
+    l1 = penalty / np.sqrt(n)
     squares = np.full_like(w, 1e-6)
     rng = np.random.default_rng(seed)
     for epoch in range(epochs):

@@ -122,7 +122,9 @@ def _folded(anchor, content, doc, start, stop) -> pa.RecordBatch:
     order = np.lexsort((start, doc, content ^ (anchor << 1)))
     anchor, content, doc, start, stop = anchor[order], content[order], doc[order], start[order], stop[order]
     first = np.append(True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1]))
-    covered = _covers(doc[~first], start[~first], stop[~first])
+    lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+    later = (doc != doc[lead]) | (start != start[lead])  # a repeated row is not a later string
+    covered = _covers(doc[later], start[later], stop[later])
     at = (start[first] << _AT) | (stop[first] - start[first] - LENGTH)
     n = covered.num_rows
     return pa.RecordBatch.from_arrays([
@@ -155,7 +157,7 @@ def _found(doc, start, stop, anchor=None) -> pa.RecordBatch:
 def _fold_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over rows of _FOLD by anchor, bytes, doc, at: covered ranges (no anchor) and,
     for anchors with several different pieces, the first row of each."""
-    last = None  # anchor, bytes of the row before
+    last = lead = None  # anchor and bytes of the row before; doc and at of the first row with them
     held = None  # the last first row (anchor, doc, at) and whether its anchor has had another
     for batch in batches:
         if not batch.num_rows:
@@ -172,7 +174,12 @@ def _fold_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (anchor[-1], content[-1])
         start = at >> _AT
         stop = start + LENGTH + (at & ((1 << _AT) - 1))
-        rest = _covers(doc[~first], start[~first], stop[~first])
+        place = np.maximum.accumulate(np.where(first, np.arange(len(first)), -1))
+        lead = lead or (doc[0], at[0])
+        later = ((doc != np.where(place < 0, lead[0], doc[place])) | (at != np.where(place < 0, lead[1], at[place])))
+        if place[-1] >= 0:
+            lead = (doc[place[-1]], at[place[-1]])
+        rest = _covers(doc[later], start[later], stop[later])
         if rest.num_rows:
             yield _found(*(rest.column(i).to_numpy() for i in range(3)))
         a, d, s, e = anchor[first], doc[first], start[first], stop[first]
@@ -275,9 +282,12 @@ def _collections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     doc: list[int] = []
     start: list[int] = []
     texts: list[bytes] = []
-    held, last = 0, None
+    held, last, row = 0, None, None
     for batch in batches:
         for a, d, s, piece in zip(*(c.to_pylist() for c in batch.columns)):
+            if row == (a, d, s):
+                continue  # of a repeated row
+            row = (a, d, s)
             if a != last and held >= COLLECTION_BYTES:
                 yield _cover_collection(doc, start, texts)
                 doc, start, texts, held = [], [], [], 0
