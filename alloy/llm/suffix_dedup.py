@@ -323,14 +323,19 @@ def _piece_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (doc, text, pieces): rows of _FOLD for each single string."""
+    """From (doc, start, piece): rows of _FOLD for each single string."""
     digest = xxhash.xxh3_128_intdigest
     for batch in batches:
-        for doc, text, found in zip(*(c.to_pylist() for c in batch.columns)):
-            data = text.encode()
-            at = np.concatenate([np.arange(p["start"], p["stop"] - LENGTH + 1) for p in found])
-            both = np.array([divmod(digest(data[s:s + LENGTH]), 1 << 64) for s in at.tolist()], dtype=np.uint64).view(np.int64)
-            yield _folded(both[:, 0].copy(), both[:, 1].copy(), np.full(len(at), doc, dtype=np.int64), at, at + LENGTH)
+        doc, at, both = [], [], []
+        for d, s, piece in zip(*(c.to_pylist() for c in batch.columns)):
+            for i in range(len(piece) - LENGTH + 1):
+                doc.append(d)
+                at.append(s + i)
+                both.append(divmod(digest(piece[i:i + LENGTH]), 1 << 64))
+        if at:
+            keys = np.array(both, dtype=np.uint64).view(np.int64)
+            start = np.array(at, dtype=np.int64)
+            yield _folded(keys[:, 0].copy(), keys[:, 1].copy(), np.array(doc, dtype=np.int64), start, start + LENGTH)
 
 
 def _fold(rows: DataFrame) -> DataFrame:
@@ -348,17 +353,14 @@ def covered(docs: DataFrame) -> DataFrame:
     large = written(several.groupBy("anchor").agg(F.sum(F.col("stop") - F.col("start")).alias("held"))
                     .filter(F.col("held") > COLLECTION_BYTES).select("anchor"), "suffix-large")
 
-    def with_text(part: DataFrame) -> DataFrame:
-        listed = part.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "stop")).alias("pieces"))  # one document's own
-        once = texts.select(F.col("doc_id").alias("doc"), "text")
-        return listed.join(once, "doc").select("doc", "text", "pieces")
-
-    pieces_ = with_text(several.join(large, "anchor", "left_anti")).mapInArrow(_cut_pieces, "anchor long, doc long, start long, piece binary")
-    dealt = pieces_.repartition("anchor").sortWithinPartitions("anchor", "doc", "start")
+    listed = several.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "stop")).alias("pieces"))  # one document's own
+    once = texts.select(F.col("doc_id").alias("doc"), "text")
+    cut = listed.join(once, "doc").select("doc", "text", "pieces").mapInArrow(_cut_pieces, "anchor long, doc long, start long, piece binary")
+    cut = written(cut, "suffix-bytes")  # read by both ways below
+    dealt = cut.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "doc", "start")
     ranges = ranges.unionByName(written(dealt.mapInArrow(_collections, _COVER), "suffix-covered"))
-    if not large.isEmpty():
-        strings = with_text(several.join(large, "anchor", "left_semi")).mapInArrow(_cut_strings, _FOLD)
-        ranges = ranges.unionByName(_fold(strings).filter("anchor IS NULL").select("doc", "start", "stop"))
+    strings = cut.join(large, "anchor", "left_semi").select("doc", "start", "piece").mapInArrow(_cut_strings, _FOLD)
+    ranges = ranges.unionByName(_fold(strings).filter("anchor IS NULL").select("doc", "start", "stop"))
     return ranges
 
 
