@@ -27,8 +27,8 @@ _DMY4 = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
 _DMY2 = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"
 _SERIAL = r"^[0-9]{3,6}$"
 # Explicit ISO date-time forms accepted by the generic fallback:
-# yyyy-MM-dd HH:mm:ss, yyyy-MM-dd'T'HH:mm:ss, yyyy-MM-dd HH:mm
-_ISO_DATETIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2})?$"
+# yyyy-MM-dd HH:mm:ss, yyyy-MM-dd'T'HH:mm:ss, both with a fraction, yyyy-MM-dd HH:mm
+_ISO_DATETIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?$"
 _HHMM = r"^[0-9]{1,2}:[0-9]{1,2}$"
 
 

@@ -165,6 +165,11 @@ def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
     return _SCENARIOS[key]
 
 
+def forget_scenarios() -> None:
+    """Let later queries start from the landed tables again."""
+    _SCENARIOS.clear()
+
+
 def _qpath(run: B.RunInfo) -> str:
     from alloy.sinks.store import quarantine_path
 

@@ -70,7 +70,7 @@ def parse_date(c: str) -> str:
         f"CASE WHEN regexp_full_match({sn}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}}') THEN try_strptime({sn}, '%d/%m/%y') END, "
         f"CASE WHEN regexp_full_match({s}, '[0-9]{{3,6}}') AND TRY_CAST({s} AS INTEGER) <= 106751 "
         f"THEN CAST(DATE '1899-12-30' + TRY_CAST({s} AS INTEGER) AS TIMESTAMP) END, "
-        f"CASE WHEN regexp_full_match({s}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[ T][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}})?') "
+        f"CASE WHEN regexp_full_match({s}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[ T][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]{{1,6}})?)?') "
         f"THEN TRY_CAST({s} AS TIMESTAMP) END)"
     )
 
