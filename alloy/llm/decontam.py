@@ -184,7 +184,9 @@ class Items:
                     item_id, item = self.items[n]
                     most = int(self.max_edit * len(item))
                     low = max(0, start - most)
-                    d, end = distance_to_part(item, joined[t][low:start + len(item) + most], most)
+                    part_of = joined[t][low:start + len(item) + most]
+                    at_once = part_of.find(item)  # a verbatim copy needs no distance
+                    d, end = (0, at_once + len(item)) if at_once >= 0 else distance_to_part(item, part_of, most)
                     if d <= most and (d,) < best.get((t, item_id), (most + 1,)):
                         best[(t, item_id)] = (d, max(0, low + end - len(item)), low + end)
         return [(t, item_id, *found) for (t, item_id), found in sorted(best.items())]
