@@ -105,6 +105,8 @@ class Items:
             for i in range(len(w) - size + 1):
                 self.seeds[seed(w[i:i + size])].append((n, at))
                 at += len(w[i]) + 1
+        self.bits = np.zeros(1 << 20, dtype=bool)
+        self.bits[[s >> 44 for s in self.seeds]] = True
         self.lengths = sorted({len(t) for _, t in self.items})
         self.samples = {}
         self.tables: dict[int, list[dict[bytes, list[int]]]] = {}
@@ -149,7 +151,7 @@ class Items:
         opened: dict[tuple[int, int], None] = {}
         starts = None
         for size in self.sizes:
-            for i in seed_hits(words, size, self.seeds):
+            for i in seed_hits(words, size, self.seeds, self.bits):
                 if starts is None:
                     starts = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words])))
                 for n, before in self.seeds[seed(words[i:i + size])]:
@@ -215,9 +217,9 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
-def seed_hits(words: list[str], size: int, seeds: dict) -> list[int]:
-    """Places where a run of ``size`` words is a seed. A table of 2 ** 20 bits rules
-    most runs out before the exact look-up."""
+def seed_hits(words: list[str], size: int, seeds: dict, bits: np.ndarray) -> list[int]:
+    """Places where a run of ``size`` words is a seed. ``bits`` (2 ** 20 of them, by
+    the seeds' first bits) rule most runs out before the exact look-up."""
     n = len(words) - size + 1
     if n <= 0:
         return []
@@ -225,20 +227,7 @@ def seed_hits(words: list[str], size: int, seeds: dict) -> list[int]:
     h = np.zeros(n, dtype=np.uint64)
     for j in range(size):
         h = h * np.uint64(0x9E3779B97F4A7C15) + w[j:n + j]
-    return [i for i in np.flatnonzero(_seed_bits(seeds)[(h >> np.uint64(44)).astype(np.int64)]).tolist() if int(h[i]) in seeds]
-
-
-def _seed_bits(seeds: dict) -> np.ndarray:
-    bits = _BITS.get(id(seeds))
-    if bits is None:
-        bits = np.zeros(1 << 20, dtype=bool)
-        bits[[s >> 44 for s in seeds]] = True
-        _BITS.clear()
-        _BITS[id(seeds)] = bits
-    return bits
-
-
-_BITS: dict[int, np.ndarray] = {}
+    return [i for i in np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)]).tolist() if int(h[i]) in seeds]
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:

@@ -250,3 +250,10 @@ def test_items_that_share_a_document(spark):
     found = by_id(decontam.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).filter("item_id = 2"))
     assert found[7].distance == 0
     assert decontam.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).count() == 3
+
+
+def test_blocks_of_one_worker_do_not_share_tables(monkeypatch):
+    monkeypatch.setattr(decontam, "id", lambda x: 1, raising=False)  # a new block may lie where a freed one lay
+    for i in range(3):
+        text = sentence(12, 70_000 + i)
+        assert [x[:3] for x in decontam.Items([(i, text)], 0.2).leaks([f"{sentence(9, i)} {text}"])] == [(0, i, 0)]
