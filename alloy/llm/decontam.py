@@ -1,30 +1,30 @@
-"""Benchmark decontamination (operator 1): CGK embedding and bit-sampling LSH.
-
-An item leaks into a document if some part of the document, about as long as the
-item, is within ``max_edit`` times the item's length of it by edit distance,
-both in lower case with single spaces between words.
-
-* Windows. Item-sized windows of the document are opened wherever it shares a
-  run of ``SEED_WORDS`` words with an item of the block (shorter items: all
-  their words), so that the run lies in the window where it lies in the item.
-  All runs of all documents are looked up; a window's place is exact up to the
-  edits before the run.
-* Embedding. A window and the items are embedded by the same random walk (CGK):
-  a step writes the current byte and moves on or stays, as random bits for the
-  step and the byte say. Edit distance thereby becomes Hamming distance.
-* LSH. Each of ``REPEATS`` repetitions samples ``SAMPLED`` positions of one of
-  ``WALKS`` embeddings; a window meets every item with which it agrees in all
-  sampled positions of some repetition. At a Hamming distance of half the
-  positions, 1 - (1 - 2 ** -SAMPLED) ** REPEATS = 95 % of such pairs meet; pairs
-  within the threshold differ in fewer (a test measures their recall).
-* Verification. The exact edit distance of the item to the best part of the
-  window and its surroundings decides (bit-parallel, one step a character).
+"""Benchmark decontamination (operator 1): pigeonhole seeds and exact edit distance.
+
+An item leaks into a document if some part of the document is within ``max_edit``
+times the item's length of it by edit distance, both in lower case with single
+spaces between words. Every such pair is found, at every length of the item,
+with or without spaces: each step below only drops what cannot be within reach.
+
+* Seeds. An item of k allowed edits is cut into nodes of b allowed edits (b = 7,
+  3, 1 or 0), k // (b + 1) + 1 of them, so that one node at least has no more than
+  b. A node of b edits is cut into halves of (b - 1) / 2, one of which has no more,
+  down to leaves without an edit. All leaves are looked up at every character.
+* Nodes. From a leaf's hit the halves are checked upwards, by the exact edit
+  distance of a node to the text around the hit (bit-parallel, all hits at once).
+  Characters count as equal here if they are of one class of 63, which only lets
+  more pass.
+* Verification. The exact edit distance of the item to the text around what is
+  left decides (bit-parallel, one step a character).
+
+The dealt CGK walks and bit sampling are not used: they lose pairs within reach.
 
 Items are taken in blocks of at most ``BLOCK_BYTES`` of text; a block is what
 each task holds, so memory is bounded for any number of items, and the documents
-are read once a block (the usual benchmark is one block).
+are read once a block (the usual benchmark is one block). The hits grow with the
+text of the block.
 
 Defined cases: null or empty item texts, or items without words, leak nowhere;
+items of fewer characters than one edit needs leak verbatim, also inside words;
 null or empty documents hold nothing; a null doc_id is reported with a null;
 equal documents are reported each; equal items all; an empty table on either
 side gives no rows; extra columns are ignored (``drop_leaks`` keeps them).
@@ -39,16 +39,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from alloy.llm.common import id_text, slices, written
 
 MAX_EDIT = 0.2
-SEED_WORDS = 3
-WALKS, REPEATS, SAMPLED = 6, 96, 5
 BLOCK_BYTES = 4 << 20
-_WORDS = 400_000
+#: Characters of a seed at most; of text, and hits, that are looked at at a time.
+_SEED, _CHARS, _HITS = 8, 1 << 19, 1 << 18
+_BITS = 20
+_STEP = 32
+_NODE = 64  # characters of a node whose distance is taken before the item's
+_PAD = 2 * _NODE
 
 
 def words_of(text: str) -> list[str]:
@@ -84,150 +86,232 @@ def distance_to_part(item: str, text: str, most: int) -> tuple[int, int]:
     return best, end
 
 
+def allowed(length: int, max_edit: float) -> int:
+    return int(max_edit * length)
+
+
+def cut_up(start: int, stop: int, parts: int) -> list[tuple[int, int]]:
+    """``parts`` runs of nearly equal length."""
+    n = stop - start
+    return [(start + n * i // parts, start + n * (i + 1) // parts) for i in range(parts)]
+
+
+def node_edits(length: int, most: int) -> int:
+    """The allowed edits of an item's nodes: the most that leave leaves of four
+    characters, or else leaves as long as can be."""
+    leaf = {b: length // ((most // (b + 1) + 1) * (b + 1)) for b in (7, 3, 1, 0) if b <= most}
+    return max(leaf, key=lambda b: (min(4, leaf[b]), b))
+
+
 class Items:
-    """A block of items, ready for search: seeds, embeddings, LSH tables."""
+    """A block of items, ready for search: classes of characters, leaves, nodes."""
 
     def __init__(self, rows: list[tuple[int, str]], max_edit: float):
-        rng = np.random.default_rng(811)
         self.max_edit = max_edit
         self.items = [(item_id, " ".join(w)) for item_id, text in rows if (w := words_of(text))]
-        self.longest = max((len(t.encode()) for _, t in self.items), default=0)
-        self.steps = 3 * self.longest
-        # walk, step, byte -> 0 or 1 place on
-        self.moves = rng.integers(0, 2, (WALKS, max(1, self.steps), 256), dtype=np.uint8)
-        self.seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.sizes: set[int] = set()
+        codes = _codes("".join(t for _, t in self.items))
+        self.classes = np.zeros(0x110000, dtype=np.uint8)  # 0: in no item
+        seen, n = np.unique(codes, return_counts=True)
+        self.classes[seen[np.argsort(-n, kind="stable")]] = np.arange(len(seen)) % 63 + 1
+        self.text = np.concatenate((self.classes[codes], np.zeros(_NODE, dtype=np.uint8)))
+        # A leaf: item, its place in the item, its nodes (place in ``text``, length) upwards.
+        leaves: list[tuple[int, ...]] = []
+        keys: dict[int, list[int]] = defaultdict(list)
+        at = 0
         for n, (_, text) in enumerate(self.items):
-            w = text.split(" ")
-            size = min(SEED_WORDS, len(w))
-            self.sizes.add(size)
-            at = 0
-            for i in range(len(w) - size + 1):
-                self.seeds[seed(w[i:i + size])].append((n, at))
-                at += len(w[i]) + 1
-        self.bits = np.zeros(1 << 20, dtype=bool)
-        self.bits[[s >> 44 for s in self.seeds]] = True
-        self.lengths = sorted({len(t) for _, t in self.items})
-        self.samples = {}
-        self.tables: dict[int, list[dict[bytes, list[int]]]] = {}
-        embedded = self.embed([t.encode() for _, t in self.items])
-        for length in self.lengths:
-            members = [n for n, (_, t) in enumerate(self.items) if len(t) == length]
-            self.samples[length] = rng.integers(0, 3 * length, (REPEATS, SAMPLED))
-            tables: list[dict[bytes, list[int]]] = [defaultdict(list) for _ in range(REPEATS)]
-            for r, key in enumerate(self.keys(embedded[:, members], length)):
-                for n, k in zip(members, key):
-                    tables[r][k].append(n)
-            self.tables[length] = tables
-
-    def embed(self, texts: list[bytes]) -> np.ndarray:
-        """(WALKS, texts, steps) bytes; 0 after a text's end."""
-        m, steps = len(texts), self.steps
-        size = max((len(t) for t in texts), default=0)
-        grid = np.zeros((m, size + 1), dtype=np.uint8)
-        for i, t in enumerate(texts):
-            grid[i, :len(t)] = np.frombuffer(t, dtype=np.uint8)
-        out = np.empty((WALKS, m, steps), dtype=np.uint8)
-        row = np.arange(m)
-        for k in range(WALKS):
-            at = np.zeros(m, dtype=np.int64)
-            for j in range(steps):
-                c = grid[row, at]
-                out[k, :, j] = c
-                at = np.minimum(at + self.moves[k, j][c], size)
+            most = allowed(len(text), max_edit)
+            b = node_edits(len(text), most)
+            level = [(p, ()) for p in cut_up(0, len(text), most // (b + 1) + 1)]
+            while b:
+                level = [(h, ((p[0], p[1] - p[0]), *up)) for p, up in level for h in cut_up(*p, 2)]
+                b = (b - 1) // 2
+            for (start, stop), up in level:
+                nodes = [x for first, size in up for x in (at + first, size)]
+                keys[min(_SEED, stop - start)].append(len(leaves))
+                leaves.append((n, start, *nodes, *[0] * (6 - len(nodes)), stop))
+            at += len(text)
+        self.leaves = np.array(leaves, dtype=np.int64).reshape(-1, 9).T.copy()
+        self.starts = np.concatenate(([0], np.cumsum([len(t) for _, t in self.items]))).astype(np.int64)
+        self.pairs = self.beside()
+        # Seed size -> bits, first entry and number of entries by slot, leaf of each entry.
+        self.tables = {}
+        for size, which in sorted(keys.items()):
+            ids = np.array(which)
+            slots = _slots(_keys(self.text, size)[self.starts[self.leaves[0, ids]] + self.leaves[1, ids]])
+            order = np.argsort(slots, kind="stable")
+            count = np.bincount(slots, minlength=1 << _BITS)
+            self.tables[size] = count > 0, (np.cumsum(count) - count).astype(np.int32), count.astype(np.int32), ids[order]
+
+    def classes_of(self, text: str) -> np.ndarray:
+        codes = _codes(text)
+        return np.concatenate([self.classes[codes[i:i + _CHARS]] for i in range(0, max(1, len(codes)), _CHARS)])
+
+    def hits(self, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, leaves) of the leaves found in ``text`` (classes), in runs."""
+        for size, (bits, first, count, ids) in self.tables.items():
+            for low in range(0, len(text) - size + 1, _CHARS):
+                slots = _slots(_keys(text[low:low + _CHARS + size - 1], size))
+                places = np.flatnonzero(bits[slots])
+                slots = slots[places]
+                ends = np.cumsum(count[slots])
+                cuts = np.unique(np.searchsorted(ends, np.arange(_HITS, ends[-1], _HITS))) if len(ends) else []
+                for here in np.split(np.arange(len(places)), cuts):
+                    n = count[slots[here]]
+                    entry = np.repeat(first[slots[here]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    yield np.repeat(places[here] + low, n), ids[entry]
+
+    def beside(self) -> tuple[np.ndarray, ...]:
+        """Of each leaf, its other half as read away from the leaf: direction, place of
+        the first character as seen from the leaf's, place and key of the first two,
+        of the two after those, the four, and whether it is too short to be looked at."""
+        item, start, node, size, stop = self.leaves[[0, 1, 2, 3, 8]]
+        at = self.starts[item] + start
+        right = at == node
+        side = np.where(right, 1, -1)
+        first = np.where(right, stop - start, -1)
+        short = (size == 0) | (np.where(right, node + size - at - first, at - node) < 4)
+        read = [self.text[np.clip(at + first + side * x, 0, len(self.text) - 1)] for x in range(4)]
+        wide = [x.astype(np.uint16) for x in read]
+        near, far = (np.where(right, x << 6 | y, y << 6 | x).astype(np.uint16) for x, y in (wide[:2], wide[2:]))
+        outer = first - (side < 0)  # on the left, a pair's first place is its outer one
+        return side, first, outer, near, outer + 2 * side, far, read, short, bool(short.any())
+
+    def half_near(self, text: np.ndarray, two: np.ndarray, place: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """Whether the other half may be within one edit: its first two characters are
+        there, and one of the next two about where it belongs; or the next two are,
+        moved by one at most, and what the one edit leaves of the first two."""
+        side, first, near_at, near, far_at, far, (a, b, c, e), short, any_short = self.pairs
+        keep = two[place + near_at[leaf]] == near[leaf]
+        i = np.flatnonzero(keep)
+        at, d, x, y = place[i] + first[leaf[i]], side[leaf[i]], c[leaf[i]], e[leaf[i]]
+        third, fourth = text[at + 2 * d], text[at + 3 * d]
+        keep[i] = (third == x) | (third == y) | (fourth == y) | (text[at + 4 * d] == y)
+        at, key = place + far_at[leaf], far[leaf]
+        for move in (-1, 0, 1):
+            i = np.flatnonzero(two[at + move] == key)
+            which, d = leaf[i], side[leaf[i]]
+            x, y, to = a[which], b[which], place[i] + first[which]
+            left = np.where(move * d < 0, (text[to] == x) | (text[to] == y),
+                            np.where(move * d > 0, text[to + 2 * d] == y, (text[to] == x) | (text[to + d] == y)))
+            keep[i[left]] = True
+        return keep | short[leaf] if any_short else keep
+
+    def near(self, text: np.ndarray, place: np.ndarray, node: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+        """Whether the nodes (place in ``self.text``, length) are within ``most`` edits
+        of a part of ``text`` that starts up to ``most`` from ``place``."""
+        out = np.empty(len(place), dtype=bool)
+        for low in range(0, len(place), 1 << 15):
+            part = slice(low, low + (1 << 15))
+            out[part] = self._near(text, place[part], node[part], size[part], most)
         return out
 
-    def keys(self, embedded: np.ndarray, length: int) -> list[list[bytes]]:
-        """For each repetition, each text's sampled symbols."""
-        found = []
-        for r, places in enumerate(self.samples[length]):
-            picked = np.ascontiguousarray(embedded[r % WALKS][:, places])
-            found.append([bytes(x) for x in picked])
+    def _near(self, text: np.ndarray, place: np.ndarray, node: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+        longest = int(size.max(initial=0))
+        word = np.uint16 if longest <= 16 else np.uint32 if longest <= 32 else np.uint64
+        one = word(1)
+        nodes, at, row = np.unique(node, return_index=True, return_inverse=True)
+        sizes = size[at]
+        masks = np.zeros((len(nodes), 64), dtype=word)
+        every = np.arange(len(nodes))
+        for i in range(longest):
+            masks[every, self.text[nodes + i]] |= np.where(i < sizes, word(1 << i), word(0))
+        masks[:, 0] = 0
+        masks, row = masks.ravel(), row * 64
+        top = (size - 1).astype(word)
+        up, down = np.full(len(node), -1, dtype=np.int64).astype(word), np.zeros(len(node), dtype=word)
+        score = size.astype(np.int16)
+        found = score <= most
+        first = place - most
+        for j in range(longest + 2 * most):
+            eq = masks[row + text[first + j]]
+            x = eq | down
+            d = (((x & up) + up) ^ up) | x
+            h_up = down | ~(d | up)
+            h_down = up & d
+            score += (h_up >> top & one).astype(np.int16)
+            score -= (h_down >> top & one).astype(np.int16)
+            h_up <<= one
+            h_down <<= one
+            up = h_down | ~(d | h_up)
+            down = h_up & d
+            found |= score <= most
         return found
 
-    def windows(self, words: list[str]) -> dict[tuple[int, int], None]:
-        """(place of the window's start in characters, length) of the windows that
-        seeds open; ``words`` are joined by single spaces."""
-        opened: dict[tuple[int, int], None] = {}
-        starts = None
-        for size in self.sizes:
-            for i in seed_hits(words, size, self.seeds, self.bits):
-                if starts is None:
-                    starts = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words])))
-                for n, before in self.seeds[seed(words[i:i + size])]:
-                    opened[(max(0, int(starts[i]) - before), len(self.items[n][1]))] = None
-        return opened
+    def candidates(self, text: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows (place of a hit, item, place where it would start) of the leaves whose
+        nodes are near; starts are rounded down to ``_STEP`` and given once a run."""
+        padded = np.concatenate((np.zeros(_PAD, dtype=np.uint8), text, np.zeros(2 * _PAD, dtype=np.uint8)))
+        two = padded[:-1].astype(np.uint16) << 6 | padded[1:]
+        for place, leaf in self.hits(text):
+            keep = self.half_near(padded, two, place + _PAD, leaf)
+            place, leaf = place[keep], leaf[keep]
+            for level, most in enumerate((1, 3, 7)):
+                node, size = self.leaves[2 + 2 * level][leaf], self.leaves[3 + 2 * level][leaf]
+                taken = (size > 0) & (size <= _NODE)
+                keep = ~taken
+                which = leaf[taken]
+                at = place[taken] - self.leaves[1][which] + node[taken] - self.starts[self.leaves[0][which]]
+                keep[taken] = self.near(padded, at + _PAD, node[taken], size[taken], most)
+                place, leaf = place[keep], leaf[keep]
+            if len(leaf):
+                yield np.stack((place, self.leaves[0][leaf], (place - self.leaves[1][leaf]) // _STEP * _STEP))
 
     def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text number, item_id, distance, start, end) of the best leak of each item
         in each text; start and end count characters of the normalised text."""
-        opened: list[tuple[int, int, int]] = []  # text, start, length
-        joined: dict[int, str] = {}
-        for t, text in enumerate(texts):
-            words = words_of(text)
-            found = self.windows(words)
-            if found:
-                joined[t] = " ".join(words)
-                opened += [(t, start, length) for start, length in found]
+        joined = [" ".join(words_of(text)) for text in texts]
+        first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in joined]))).astype(np.int64)
+        found: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for place, item, start in self.candidates(self.classes_of("\n".join(joined))):
+            text = np.searchsorted(first, place, "right") - 1
+            for t, n, s in np.unique(np.stack((text, item, start)), axis=1).T.tolist():
+                found[t, n].add(s - int(first[t]))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for at in range(0, len(opened), 1000):
-            part = opened[at:at + 1000]
-            embedded = self.embed([joined[t][start:start + length].encode() for t, start, length in part])
-            by_length: dict[int, list[int]] = defaultdict(list)
-            for i, (_, _, length) in enumerate(part):
-                by_length[length].append(i)
-            met: list[set[int]] = [set() for _ in part]
-            for length, group in by_length.items():
-                for table, key in zip(self.tables[length], self.keys(embedded[:, group], length)):
-                    for i, k in zip(group, key):
-                        met[i].update(table.get(k, ()))
-            for (t, start, _), found in zip(part, met):
-                for n in found:
-                    item_id, item = self.items[n]
-                    most = int(self.max_edit * len(item))
-                    low = max(0, start - most)
-                    part_of = joined[t][low:start + len(item) + most]
-                    at_once = part_of.find(item)  # a verbatim copy needs no distance
-                    d, end = (0, at_once + len(item)) if at_once >= 0 else distance_to_part(item, part_of, most)
-                    if d <= most and (d,) < best.get((t, item_id), (most + 1,)):
-                        best[(t, item_id)] = (d, max(0, low + end - len(item)), low + end)
-        return [(t, item_id, *found) for (t, item_id), found in sorted(best.items())]
-
-
-def seed(words: list[str]) -> int:
-    """A number of 63 bits for a run of words, as ``seed_hits`` makes it."""
-    h = 0
-    for w in words:
-        h = (h * 0x9E3779B97F4A7C15 + _word(w)) & 0xFFFFFFFFFFFFFFFF
-    return h
-
-
-def _word(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode())
-
-
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _WORDS:
-            self.clear()
-        self[word] = h = _word(word)
-        return h
-
-
-_HASHES = _Hashes()
-
-
-def seed_hits(words: list[str], size: int, seeds: dict, bits: np.ndarray) -> list[int]:
-    """Places where a run of ``size`` words is a seed. ``bits`` (2 ** 20 of them, by
-    the seeds' first bits) rule most runs out before the exact look-up."""
-    n = len(words) - size + 1
-    if n <= 0:
-        return []
-    w = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
-    h = np.zeros(n, dtype=np.uint64)
-    for j in range(size):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + w[j:n + j]
-    return [i for i in np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)]).tolist() if int(h[i]) in seeds]
+        for (t, n), starts in found.items():
+            item_id, wanted = self.items[n]
+            d, end = self.best_part(wanted, joined[t], sorted(starts))
+            most = allowed(len(wanted), self.max_edit)
+            if d <= most and d < best.get((t, item_id), (most + 1,))[0]:
+                best[t, item_id] = (d, max(0, end - len(wanted)), end)
+        return [(t, item_id, *x) for (t, item_id), x in sorted(best.items())]
+
+    def best_part(self, item: str, text: str, starts: list[int]) -> tuple[int, int]:
+        """(least distance, end of the part) near any of the ``starts``, in order."""
+        most = allowed(len(item), self.max_edit)
+        at = text.find(item)  # a verbatim copy needs no distance
+        if at >= 0:
+            return 0, at + len(item)
+        best = most + 1, -1
+        runs: list[list[int]] = []
+        for s in starts:
+            low, high = max(0, s - most), min(len(text), s + _STEP + len(item) + most)
+            if runs and low <= runs[-1][1]:
+                runs[-1][1] = max(high, runs[-1][1])
+            else:
+                runs.append([low, high])
+        for low, high in runs:
+            d, end = distance_to_part(item, text[low:high], most)
+            if d < best[0]:
+                best = d, low + end
+        return best
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def _keys(text: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` classes from each place on as one number."""
+    n = max(0, len(text) - size + 1)
+    keys = text[:n].astype(np.uint64)
+    for j in range(1, size):
+        keys <<= np.uint64(6)
+        keys |= text[j:n + j]
+    return keys
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:

@@ -257,3 +257,47 @@ def test_blocks_of_one_worker_do_not_share_tables(monkeypatch):
     for i in range(3):
         text = sentence(12, 70_000 + i)
         assert [x[:3] for x in decontam.Items([(i, text)], 0.2).leaks([f"{sentence(9, i)} {text}"])] == [(0, i, 0)]
+
+
+def _char_edits(text, n, alphabet, r):
+    chars = list(text)
+    for _ in range(n):
+        i = r.randrange(len(chars) + 1)
+        if r.random() < 0.3 or i == len(chars):
+            chars.insert(i, r.choice(alphabet))
+        elif r.random() < 0.5:
+            chars[i] = r.choice(alphabet)
+        else:
+            del chars[i]
+    return "".join(chars)
+
+
+@pytest.mark.parametrize("alphabet", ["aeinorst  ", "ab", "aeinorst", "".join(map(chr, range(0x4E00, 0x4F00)))])
+def test_every_leak_within_the_edits_is_found(alphabet):
+    r = random.Random(21)
+    for share in (0, 0.06, 0.12, 0.2):
+        items = [(n, "x".join(r.choice(alphabet) for _ in range((n + 1) // 2))) for n in (1, 3, 5, 9, 11, 15, 21, 33, 81, 121, 233, 395)]
+        texts = []
+        for _, item in items:
+            host = "".join(r.choice(alphabet) for _ in range(150))
+            at = r.choice((0, 70, 150))
+            texts.append(host[:at] + _char_edits(item, int(share * len(item)), alphabet, r) + host[at:])
+        expected = {}
+        for t, text in enumerate(texts):
+            for n, item in items:
+                item = " ".join(decontam.words_of(item))
+                d, _ = decontam.distance_to_part(item, " ".join(decontam.words_of(text)), int(0.2 * len(item)))
+                if d <= int(0.2 * len(item)):
+                    expected[t, n] = d
+        assert {x[:2]: x[2] for x in decontam.Items(items, 0.2).leaks(texts)} == expected
+        assert len(expected) >= len(items)
+
+
+def test_leaks_that_share_no_run_of_words():
+    item = sentence(60, 7)
+    typos = " ".join(w[:-1] + "q" if i % 3 == 0 else w for i, w in enumerate(item.split()))
+    texts = [f"{sentence(20, 8)} {typos} {sentence(20, 9)}", sentence(5, 8) + item.replace(" ", ""), "(Quantum, computing!)", "x" * 50_000]
+    items = [(1, item), (2, "quantum computing"), (3, "x" * 300), (4, item.replace(" ", ""))]
+    found = {x[:2]: x[2] for x in decontam.Items(items, 0.2).leaks(texts)}
+    assert {(0, 1), (1, 1), (1, 4), (2, 2), (3, 3)} <= set(found)
+    assert found[1, 4] == found[3, 3] == 0 and found[2, 2] == 1
