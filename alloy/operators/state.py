@@ -21,6 +21,7 @@ from alloy.functions import error_date_key
 from alloy.operators.common import measured, small
 
 WATERMARK_SCHEMA = "creds string, sheet_name string, last_processed_date string, updated_at string"
+DATES_SCHEMA = "creds string, last_processed_date string"
 MANIFEST_SCHEMA = ("sheet_name string, creds string, error_date string, affected_columns array<string>, "
                    "n_rows bigint, reported_at string, path string, status string")
 FIX_SCHEMA = ("sheet_name string, creds string, error_date string, affected_columns array<string>, "

@@ -122,7 +122,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
                  decimal_comma: bool = False, silver_layout: str = "snapshot",
                  keep: str = "checkpoint", split_sessions_by_time: bool = False,
                  null_safe_keys: bool = False, watermark_by_day: bool = False,
-                 bronze_mode: str = "append") -> RunResult:
+                 bronze_mode: str = "append", marks_version: int | None = None) -> RunResult:
     """Execute one run against the tables under ``root``.
 
     ``silver_layout="snapshot"`` writes each merge as a new full version;
@@ -135,6 +135,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     of executors without recomputation, and cuts the lineage) or ``persist``
     (executor memory and disk). ``watermark_by_day`` compares days, not
     timestamps, with the watermark. ``bronze_mode``: append, replace or fail.
+    ``marks_version`` runs a part of a landing: rows meet that version of the
+    watermarks, and the run's greatest dates wait in state ``landed_dates`` until
+    the landing is over (``advance_watermarks``).
     ``split_sessions_by_time`` keeps hour-less sessions of one shop/creator/day
     apart by their time text; ``null_safe_keys`` lets NULL merge-key parts match.
     Both default to the source system's behaviour.
@@ -147,7 +150,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         timings[name] = round(now - clock[0], 3)
         clock[0] = now
 
-    wm_records = store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA)
+    wm_records = store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA, marks_version)
     watermarks = ST.load_watermarks(wm_records, registry)
     has_manifest = store.has_state(spark, root, "manifest")
     prev_manifest = store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA)
@@ -200,7 +203,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     lap("manifest")
 
     watermark_written = False
-    if n_bronze:
+    if n_bronze and marks_version is not None:
+        waiting = store.read_state(spark, root, "landed_dates", ST.DATES_SCHEMA)
+        store.write_state(waiting.unionByName(st.max_dates).groupBy("creds").agg(F.max("last_processed_date").alias("last_processed_date")),
+                          root, "landed_dates")
+    elif n_bronze:
         new_wm = ST.rewrite_watermarks(wm_records, st.max_dates, registry, run.now_iso, watermark_mode)
         store.write_state(new_wm, root, "watermark")
         watermark_written = True
@@ -211,3 +218,15 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     for df in (bronze, st.counts, st.flagged, st.remaining, st.resolved):
         df.unpersist()
     return result
+
+
+def advance_watermarks(spark: SparkSession, root: str, registry: DataFrame, now_iso: str, mode: str = "retain") -> bool:
+    """The end of a landing: the dates that its runs left become the watermarks.
+    Done again after a failure half-way, it writes the same marks."""
+    waiting = store.read_state(spark, root, "landed_dates", ST.DATES_SCHEMA)
+    if waiting.isEmpty():
+        return False
+    records = store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA)
+    store.write_state(ST.rewrite_watermarks(records, waiting, registry, now_iso, mode), root, "watermark")
+    store.write_state(spark.createDataFrame([], ST.DATES_SCHEMA), root, "landed_dates")
+    return True

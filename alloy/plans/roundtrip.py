@@ -157,25 +157,16 @@ def empty_run(spark, sf_dir):
 
 @register("stream_available_now", _SILVER_TWO_RUNS)
 def stream_available_now(spark, sf_dir):
-    """Both runs landed as files, consumed by an availableNow file stream with one
-    micro-batch a run; the final silver table."""
-    from alloy.operators.bronze import RunInfo
-
+    """Both runs landed as files, one after the other, each consumed by an availableNow
+    file stream in one micro-batch; the final silver table."""
     sc = scenario(spark, sf_dir)
     landing = scratch_path(spark, "landing")
-    files = {}
-    for run in (1, 2):
-        before = len(files.get(1, []))
-        FX.landed_grid(spark, sf_dir, run).write.mode("append").parquet(landing)
-        files[run] = store.data_files(spark, landing)[before:]
     root = scratch_path(spark, "stream-tables")
     checkpoint = scratch_path(spark, "stream-checkpoint")
-    # A batch takes as many files as the first run has; the second has its own batch.
-    runs = iter((sc.run1, sc.run2))
-    seen = {}
-    run_available_now(spark, landing, root, sc.registry, checkpoint,
-                      run_for_batch=lambda epoch: seen.setdefault(epoch, next(runs, None) or RunInfo.now()),
-                      column_order=FX.FIXTURE_COLS, files_per_batch=len(files[1]), incremental_silver=False)
+    for run, info in ((1, sc.run1), (2, sc.run2)):
+        FX.landed_grid(spark, sf_dir, run).write.mode("append").parquet(landing)
+        run_available_now(spark, landing, root, sc.registry, checkpoint, run_for_batch=lambda epoch: info,
+                          column_order=FX.FIXTURE_COLS, files_per_batch=len(store.data_files(spark, landing)), incremental_silver=False)
     return store.read_silver(spark, root, S.SILVER_SCHEMA)
 
 
@@ -183,11 +174,10 @@ def stream_available_now(spark, sf_dir):
 def stream_many_files(spark, sf_dir):
     """A landing of many files, several a micro-batch, with the stream's own run ids and
     sheets whose header comes in another file: bronze has the content of every valid
-    row. Marks would hide what a later batch brings of an earlier day, so the rows
-    name no source here (and load in full)."""
+    row of every source, though a later batch brings rows of earlier days."""
     sc = scenario(spark, sf_dir)
     landing = scratch_path(spark, "landing-many")
-    FX.landed_grid(spark, sf_dir, 0).withColumn("creds", F.lit(None).cast("string")).write.parquet(landing)
+    FX.landed_grid(spark, sf_dir, 0).write.parquet(landing)
     root = scratch_path(spark, "stream-many")
     run_available_now(spark, landing, root, sc.registry, scratch_path(spark, "stream-many-checkpoint"),
                       column_order=FX.FIXTURE_COLS, files_per_batch=8)

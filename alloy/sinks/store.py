@@ -158,10 +158,16 @@ def has_state(spark: SparkSession, root: str, name: str) -> bool:
     return bool(versions(spark, f"{root}/state/{name}"))
 
 
-def read_state(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """Latest committed state of ``name``, or an empty table. A damaged line fails
-    the read: it must not be taken for "nothing known"."""
-    path = _newest(spark, f"{root}/state/{name}")
+def state_version(spark: SparkSession, root: str, name: str) -> int:
+    """Number of the latest committed state of ``name``; 0 if there is none."""
+    return max(versions(spark, f"{root}/state/{name}"), default=0)
+
+
+def read_state(spark: SparkSession, root: str, name: str, schema: str, version: int | None = None) -> DataFrame:
+    """Latest committed state of ``name`` (or an earlier ``version`` of it), or an empty
+    table. A damaged line fails the read: it must not be taken for "nothing known"."""
+    base = f"{root}/state/{name}"
+    path = _newest(spark, base) if version is None else f"{base}/v={version:010d}" if version else None
     if path is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

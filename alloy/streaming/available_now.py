@@ -14,6 +14,11 @@ A batch that is retried runs under the run id and time of its first attempt
 finished (state ``batches``) is not run again. The per-source
 watermark is persisted state of the pipeline (not a streaming event-time
 watermark): a source's mark is a processed business date.
+
+A landing is what one call finds. All its micro-batches meet the marks from before
+it, however its files are dealt to them, and the marks move on after its last one
+(a landing that failed half-way goes on with its old marks). A parked row keeps the
+version of the marks of its own landing and meets those when its header comes.
 """
 
 from __future__ import annotations
@@ -24,10 +29,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from alloy.constants import FIRST_DATA_ROW
 from alloy.operators.bronze import RunInfo
-from alloy.plans.pipeline import RunResult, cut, run_pipeline
+from alloy.plans.pipeline import RunResult, advance_watermarks, cut, run_pipeline
 from alloy.sinks import store
 from alloy.sources import grid as G
 
+PARKED_SCHEMA = f"{G.GRID_SCHEMA}, marks bigint"
 RUNS_SCHEMA = "epoch bigint, run_id string, snapshot_ts string"
 
 
@@ -49,6 +55,8 @@ def run_available_now(spark: SparkSession, landing_dir: str, root: str, registry
     """Process every landed grid file not yet processed, then stop. ``options`` go
     to ``run_pipeline``."""
     results: list[RunResult] = []
+    now_iso = RunInfo.now().now_iso
+    marks = store.state_version(spark, root, "watermark")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
@@ -56,13 +64,18 @@ def run_available_now(spark: SparkSession, landing_dir: str, root: str, registry
         if done is not None and epoch_id <= done:
             return  # finished before the stream could note it
         run = run_for_batch(epoch_id) if run_for_batch else run_of_epoch(session, root, epoch_id)
-        parked = store.read_batch(session, root, "parked", epoch_id, G.GRID_SCHEMA)
-        here = cut(batch.unionByName(parked), "checkpoint")
+        nonlocal now_iso
+        now_iso = run.now_iso
+        parked = store.read_batch(session, root, "parked", epoch_id, PARKED_SCHEMA).fillna(marks, "marks")
+        here = cut(batch.withColumn("marks", F.lit(marks).cast("long")).unionByName(parked), "checkpoint")
         headers = cut(G.known_headers(store.read_batch(session, root, "headers", epoch_id, G.HEADER_SCHEMA), here), "checkpoint")
         ready, waiting = G.split_headerless(here, headers)
-        if not ready.filter(F.col("row_no") >= FIRST_DATA_ROW).isEmpty():
-            raw = G.grid_to_frame(ready, headers, column_order)
-            results.append(run_pipeline(session, raw, root, run, registry, watermark_mode, **options))
+        # One version, and one more for each earlier landing whose rows were parked till now.
+        found = ready.filter(F.col("row_no") >= FIRST_DATA_ROW).select("marks").distinct().orderBy("marks").collect()
+        for version in [r["marks"] for r in found]:
+            raw = G.grid_to_frame(ready.filter(F.col("marks") == version).drop("marks"), headers, column_order)
+            part = run if version == marks else RunInfo(run.snapshot_ts, f"{run.run_id}-parked-{version}")
+            results.append(run_pipeline(session, raw, root, part, registry, watermark_mode, marks_version=version, **options))
         store.write_batch(headers, root, "headers", epoch_id)
         store.write_batch(waiting, root, "parked", epoch_id)
         store.write_state(session.createDataFrame([(epoch_id,)], "epoch bigint"), root, "batches")
@@ -75,4 +88,5 @@ def run_available_now(spark: SparkSession, landing_dir: str, root: str, registry
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+    advance_watermarks(spark, root, registry, now_iso, watermark_mode)
     return results
