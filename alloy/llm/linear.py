@@ -35,7 +35,7 @@ class Cells(dict):
         parts = [word] + [f"{n} {word[:n]}" for n in STEMS if len(word) > n] if word else []
         cells = tuple(zlib.crc32(x.encode()) % DIMS for x in parts)
         if self.shapes:
-            shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token[:64])
+            shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
             shape = re.sub(r"(.)\1+", r"\1\1", shape)
             cells += (zlib.crc32(("shape " + shape).encode()) % DIMS,)
         self[token] = cells

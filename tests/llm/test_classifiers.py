@@ -100,3 +100,10 @@ def test_quality_odd_rows(spark):
     scored = quality.score_quality(odd_docs(spark)).collect()
     assert len(scored) == len(odd_rows()) and all(0.0 <= r.score <= 1.0 for r in scored)
     assert quality.score_quality(no_docs(spark)).count() == 0
+
+
+def test_a_shape_is_of_the_whole_token():
+    cells = linear.Cells(shapes=True)
+    start = "aB3-" * 16
+    assert cells[start + "xxxx"][-1] != cells[start + "7777"][-1]
+    assert cells[start + "xxxx"][-1] == cells[start + "yyyyyyy"][-1]
