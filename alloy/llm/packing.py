@@ -15,13 +15,16 @@ and the rest waits its turn.
 
 Defined cases: null or empty text is the end token alone; a null doc_id stays
 null; equal rows are packed each for itself; an empty table gives no pieces;
-extra columns are ignored. Special-token strings in a text are ordinary text.
+extra columns are ignored. A special token's string in a text is that token, as the
+JSON file says.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import json
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,24 +37,30 @@ SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, se
           "offset long, sequence_tokens long, sequence_cost double")
 
 
-def rank_encoder(rank_file: str, json_file: str):
-    """text -> token ids. The rank file and the JSON file hold one vocabulary; the
-    ranks are several times faster, the JSON file serves texts on which their
-    splitter gives up (very long runs of white space)."""
+def rank_encoding(rank_file: str):
+    """The byte-level BPE of a rank file; it knows no special tokens."""
     import base64
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(rank_file, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f)}
-    fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def rank_encoder(rank_file: str, json_file: str, fast_of=lambda encoding: encoding.encode_ordinary):
+    """text -> token ids, special tokens' strings being plain text. The rank file and
+    the JSON file hold one vocabulary; the ranks are several times faster, the JSON
+    file serves texts on which their splitter gives up (very long runs of white space)."""
+    from tokenizers import Tokenizer
+
+    fast = fast_of(rank_encoding(rank_file))
     slow: list = []
 
     def encode(text: str) -> list[int]:
         try:
-            return fast.encode_ordinary(text)
+            return fast(text)
         except (KeyboardInterrupt, SystemExit):
             raise
         except BaseException:  # the Rust side panics with a BaseException
@@ -63,6 +72,25 @@ def rank_encoder(rank_file: str, json_file: str):
     return encode
 
 
+def with_specials(encode: Callable[[str], list[int]], json_file: str) -> Callable[[str], list[int]]:
+    """``encode`` on the parts of a text between the strings of the special tokens
+    that the JSON file names, and these tokens' ids."""
+    with open(json_file, encoding="utf-8") as f:
+        specials = json.load(f)["added_tokens"]
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in specials):
+        raise ValueError("special tokens that reach beyond their string are not supported")
+    ids = {t["content"]: t["id"] for t in specials}
+    cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(ids, key=len, reverse=True)) + ")")
+
+    def encoded(text: str) -> list[int]:
+        out: list[int] = []
+        for i, part in enumerate(cut.split(text) if ids else [text]):
+            out += [ids[part]] if i % 2 else encode(part) if part else []
+        return out
+
+    return encoded
+
+
 def default_tokenizer() -> tuple[str, str]:
     """Places of the public vocabulary as ranks and as JSON (on each machine)."""
     import public_tokenizers
@@ -110,7 +138,8 @@ def pack(docs: DataFrame, seq_len: int = 1024, linear: float = 1.0, quadratic: f
         raise ValueError("seq_len must be a power of two")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = rank_encoder(*(tokenizer or default_tokenizer()))
+        files = tokenizer or default_tokenizer()
+        encode = with_specials(rank_encoder(*files), files[1])
         names = [f.split()[0] for f in SCHEMA.split(", ")]
         types = [pa.binary() if n == "ids" else pa.float64() if n == "sequence_cost" else pa.int64() for n in names]
         base = TaskContext.get().partitionId() << 40
