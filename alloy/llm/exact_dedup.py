@@ -126,11 +126,16 @@ def mark(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def keep_exact(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``docs`` (all its columns) without the copies: one row of each group of
-    equal texts. Rows that agree in doc_id and text are all kept."""
-    index, _ = build_index(docs, capacity)
-    norm = normalised(F.coalesce(F.col("row.text"), F.lit("")))
-    rows = docs.select(F.struct("*").alias("row")).select(
-        "row", F.xxhash64(norm).alias("key"), F.sha2(F.encode(norm, "utf-8"), 256).alias("text_sha256"))
-    kept = rows.join(index.select("key", "text_sha256", "keep_id"), ["key", "text_sha256"])
-    return kept.filter(F.col("row.doc_id").cast("long").eqNullSafe(F.col("keep_id"))).select("row.*")
+    """``docs`` (all its columns) without the copies: one row of each group of equal
+    texts, that which ``mark`` keeps. Of several such rows (they share its doc_id, or
+    all have none) the longest original stays, then the first by a number that rows
+    get, and that is written, before the index is built."""
+    rows = written(docs.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "dedup-rows")
+    numbered = rows.select("n", F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("row.text"), F.lit("")).alias("text"))
+    index, _ = build_index(numbered, capacity)
+    norm = normalised(F.col("text"))
+    keyed = numbered.select("n", "doc_id", F.char_length("text").alias("n_points"), F.xxhash64(norm).alias("key"),
+                            F.sha2(F.encode(norm, "utf-8"), 256).alias("text_sha256"))
+    found = keyed.join(index.select("key", "text_sha256", "keep_id"), ["key", "text_sha256"]).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    stays = found.groupBy("key", "text_sha256").agg(F.min_by("n", F.struct(-F.col("n_points"), "n")).alias("n")).select("n")
+    return rows.join(stays, "n", "left_semi").select("row.*")

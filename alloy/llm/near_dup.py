@@ -32,8 +32,8 @@ of sketches.
 Defined cases: null text is empty; a text without words has no shingles and is
 linked with nothing; with fewer than five words the whole sequence is the one
 shingle; rows that share a doc_id are one node; a row without doc_id is linked
-with nothing and stays; equal rows share all; an empty table gives no rows;
-extra columns are ignored (``drop_near`` keeps them).
+with nothing; equal rows share all; an empty table gives no rows; extra columns
+are ignored (``drop_near`` keeps them, and takes every row as a node).
 """
 
 from __future__ import annotations
@@ -351,6 +351,14 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def drop_near(docs: DataFrame) -> DataFrame:
-    """``docs`` (all its columns) with one document of each group."""
-    dropped = classes(docs).filter("not kept").select(F.col("doc_id").alias("_near_id")).distinct()
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_near_id"), "left_anti")
+    """``docs`` (all its columns) with one row of each group: that of the smallest
+    doc_id. Here every row is a node of its own, also one without a doc_id or with one
+    that others have, so repeated rows are reduced to one."""
+    rows = written(docs.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "near-rows")
+    groups = classes(rows.select(F.col("n").alias("doc_id"), F.col("row.text").alias("text")))
+    groups = written(groups.select(F.col("doc_id").alias("n"), F.col("component_id").alias("component")), "near-groups")
+    several = groups.filter("n != component").select("component").distinct()
+    members = groups.join(several, "component").join(rows.select("n", F.col("row.doc_id").cast("long").alias("doc_id")), "n")
+    stays = members.groupBy("component").agg(F.min_by("n", F.struct(F.col("doc_id").isNull(), "doc_id", "n")).alias("stays"))
+    dropped = members.join(stays, "component").filter("n != stays").select("n")
+    return rows.join(dropped, "n", "left_anti").select("row.*")

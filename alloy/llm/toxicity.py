@@ -129,7 +129,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = linear.Cells(False)
         for batch in batches:
-            keep = [probabilities(t or "", known, weights)[-1] <= threshold for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for part in slices(batch, at):
+                keep = [probabilities(t or "", known, weights)[-1] <= threshold for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)

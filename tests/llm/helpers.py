@@ -4,7 +4,8 @@ import random
 
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Extra columns named like the operators' own.
-CLASHING = "key long, norm string, row string, node long, component string, ids string, spans string, kept string, fold string"
+CLASHING = ("key long, norm string, row string, node long, component string, ids string, spans string, kept string, fold string, "
+            "_near_id long, n long, n_points long, keep_id long, class long, band long, mark long, pair long, links long")
 
 random.seed(11)
 WORDS = ["".join(random.choice("aeioulnrst") for _ in range(random.randint(2, 8))) for _ in range(400)]
