@@ -47,10 +47,10 @@ MAX_EDIT = 0.2
 BLOCK_BYTES = 4 << 20
 #: Characters of a seed at most; of text, and hits, that are looked at at a time.
 _SEED, _CHARS, _HITS = 8, 1 << 19, 1 << 18
-_BITS = 20
 _STEP = 32
 _NODE = 64  # characters of a node whose distance is taken before the item's
 _PAD = 2 * _NODE
+_WINDOW = 16  # characters of a window whose set of classes is known; a power of two
 
 
 def words_of(text: str) -> list[str]:
@@ -132,33 +132,59 @@ class Items:
             at += len(text)
         self.leaves = np.array(leaves, dtype=np.int64).reshape(-1, 9).T.copy()
         self.starts = np.concatenate(([0], np.cumsum([len(t) for _, t in self.items]))).astype(np.int64)
-        self.pairs = self.beside()
-        # Seed size -> bits, first entry and number of entries by slot, leaf of each entry.
-        self.tables = {}
-        for size, which in sorted(keys.items()):
-            ids = np.array(which)
-            slots = _slots(_keys(self.text, size)[self.starts[self.leaves[0, ids]] + self.leaves[1, ids]])
+        self.pairs, self.partners = self.beside(), self.partner()
+        # By seed size and place of a pair beside the seed (None: the seed alone): a
+        # table of those that some leaf needs, and the leaves by slot.
+        self.tables = {size: self.tables_of(np.array(which), size) for size, which in sorted(keys.items())}
+
+    def tables_of(self, leaves: np.ndarray, size: int) -> dict[int | None, tuple[np.ndarray, ...]]:
+        side, first, near_at, near, far_at, far, _, short, _ = self.pairs
+        seeds = _seeds(self.text, size)[self.starts[self.leaves[0, leaves]] + self.leaves[1, leaves]]
+        wanted: dict[int | None, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+        if short[leaves].any():
+            wanted[None].append((seeds[short[leaves]], leaves[short[leaves]]))
+        for at, pair, move in ((near_at, near, 0), (far_at, far, -1), (far_at, far, 0), (far_at, far, 1)):
+            for place in np.unique(at[leaves] + move).tolist():
+                here = ~short[leaves] & (at[leaves] + move == place)
+                if here.any():
+                    which = leaves[here]
+                    wanted[place].append((seeds[here] ^ _spread(pair[which]), which))
+        out = {}
+        for place, parts in wanted.items():
+            mixed, which = (np.concatenate(x) for x in zip(*parts))
+            bits = np.uint32(min(20, max(12, len(which).bit_length() + 5)))
+            slots = _slots(mixed, bits)
             order = np.argsort(slots, kind="stable")
-            count = np.bincount(slots, minlength=1 << _BITS)
-            self.tables[size] = count > 0, (np.cumsum(count) - count).astype(np.int32), count.astype(np.int32), ids[order]
+            count = np.bincount(slots, minlength=1 << int(bits)).astype(np.int32)
+            out[place] = bits, count > 0, np.cumsum(count, dtype=np.int32) - count, count, which[order]
+        return out
 
     def classes_of(self, text: str) -> np.ndarray:
         codes = _codes(text)
         return np.concatenate([self.classes[codes[i:i + _CHARS]] for i in range(0, max(1, len(codes)), _CHARS)])
 
-    def hits(self, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(places, leaves) of the leaves found in ``text`` (classes), in runs."""
-        for size, (bits, first, count, ids) in self.tables.items():
-            for low in range(0, len(text) - size + 1, _CHARS):
-                slots = _slots(_keys(text[low:low + _CHARS + size - 1], size))
-                places = np.flatnonzero(bits[slots])
-                slots = slots[places]
-                ends = np.cumsum(count[slots])
-                cuts = np.unique(np.searchsorted(ends, np.arange(_HITS, ends[-1], _HITS))) if len(ends) else []
-                for here in np.split(np.arange(len(places)), cuts):
-                    n = count[slots[here]]
-                    entry = np.repeat(first[slots[here]] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    yield np.repeat(places[here] + low, n), ids[entry]
+    def hits(self, padded: np.ndarray, two: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, leaves) of the leaves found in a text (``padded`` classes, their
+        pairs), in runs; those whose other half is out of reach by every pair that it
+        could show are left out here, before they are counted out one by one."""
+        spread = _spread(two)
+        length = len(padded) - 3 * _PAD
+        for size, tables in self.tables.items():
+            for low in range(0, length - size + 1, _CHARS):
+                n = min(_CHARS, length - size + 1 - low)
+                at = _PAD + low
+                seeds = _seeds(padded[at:at + n + size - 1], size)
+                for beside, (bits, taken, first, count, ids) in tables.items():
+                    slots = _slots(seeds if beside is None else seeds ^ spread[at + beside:at + beside + n], bits)
+                    places = np.flatnonzero(taken[slots])
+                    slots = slots[places]
+                    many = count[slots]
+                    ends = np.cumsum(many)
+                    cuts = np.unique(np.searchsorted(ends, np.arange(_HITS, ends[-1], _HITS))) if len(ends) else []
+                    for here in np.split(np.arange(len(places)), cuts) if len(cuts) else [slice(None)]:
+                        n_here = many[here]
+                        entry = np.repeat(first[slots[here]] - np.cumsum(n_here) + n_here, n_here) + np.arange(n_here.sum())
+                        yield np.repeat(places[here] + low, n_here), ids[entry]
 
     def beside(self) -> tuple[np.ndarray, ...]:
         """Of each leaf, its other half as read away from the leaf: direction, place of
@@ -196,6 +222,26 @@ class Items:
             keep[i[left]] = True
         return keep | short[leaf] if any_short else keep
 
+    def partner(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each leaf, where the other half of its node of three edits begins as seen
+        from the leaf, and the set of that half's classes; no set where there is no such
+        node, or where the half is too long for a window."""
+        item, start, node, size, upper, length = self.leaves[:6]
+        right = node == upper  # the leaf's own half is the left one
+        begin, n = np.where(right, node + size, upper), length - size
+        able = (length > 0) & (n <= _WINDOW - 6)
+        sets = np.zeros(len(item), dtype=np.uint64)
+        for j in range(_WINDOW - 6):
+            c = self.text[np.minimum(begin + j, len(self.text) - 1)]
+            sets |= np.where(able & (j < n), np.uint64(1) << c.astype(np.uint64), np.uint64(0))
+        return begin - self.starts[item] - start, sets
+
+    def partner_near(self, windows: np.ndarray, place: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """Whether no more than three classes of the other half of a leaf's node of three
+        edits are absent from the text about it: an edit takes away one at most."""
+        away, sets = self.partners
+        return np.bitwise_count(sets[leaf] & ~windows[place + away[leaf] - 3]) <= 3
+
     def near(self, text: np.ndarray, place: np.ndarray, node: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
         """Whether the nodes (place in ``self.text``, length) are within ``most`` edits
         of a part of ``text`` that starts up to ``most`` from ``place``."""
@@ -242,19 +288,39 @@ class Items:
         nodes are near; starts are rounded down to ``_STEP`` and given once a run."""
         padded = np.concatenate((np.zeros(_PAD, dtype=np.uint8), text, np.zeros(2 * _PAD, dtype=np.uint8)))
         two = padded[:-1].astype(np.uint16) << 6 | padded[1:]
-        for place, leaf in self.hits(text):
+        windows = np.uint64(1) << padded.astype(np.uint64)  # the classes of the next _WINDOW characters
+        width = 1
+        while width < _WINDOW:
+            windows[:-width] |= windows[width:].copy()
+            width *= 2
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for place, leaf in self.hits(padded, two):
             keep = self.half_near(padded, two, place + _PAD, leaf)
             place, leaf = place[keep], leaf[keep]
-            for level, most in enumerate((1, 3, 7)):
-                node, size = self.leaves[2 + 2 * level][leaf], self.leaves[3 + 2 * level][leaf]
-                taken = (size > 0) & (size <= _NODE)
-                keep = ~taken
-                which = leaf[taken]
-                at = place[taken] - self.leaves[1][which] + node[taken] - self.starts[self.leaves[0][which]]
-                keep[taken] = self.near(padded, at + _PAD, node[taken], size[taken], most)
-                place, leaf = place[keep], leaf[keep]
-            if len(leaf):
-                yield np.stack((place, self.leaves[0][leaf], (place - self.leaves[1][leaf]) // _STEP * _STEP))
+            keep = self.partner_near(windows, place + _PAD, leaf)
+            held.append((place[keep], leaf[keep]))
+            if sum(len(p) for p, _ in held) >= _HITS // 2:
+                yield from self.checked(padded, held)
+                held = []
+        yield from self.checked(padded, held)
+
+    def checked(self, padded: np.ndarray, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
+        if not held:
+            return
+        place, leaf = (np.concatenate(x) for x in zip(*held))
+        for level, most in enumerate((1, 3, 7)):
+            node, size = self.leaves[2 + 2 * level][leaf], self.leaves[3 + 2 * level][leaf]
+            taken = np.flatnonzero((size > 0) & (size <= _NODE))
+            which = leaf[taken]
+            at = place[taken] - self.leaves[1][which] + node[taken] - self.starts[self.leaves[0][which]]
+            # Leaves that put a node at one place are looked at once, and one of them goes on.
+            _, once = np.unique(at * len(self.text) + node[taken], return_index=True)
+            taken, at = taken[once], at[once]
+            keep = (size == 0) | (size > _NODE)
+            keep[taken] = self.near(padded, at + _PAD, node[taken], size[taken], most)
+            place, leaf = place[keep], leaf[keep]
+        if len(leaf):
+            yield np.stack((place, self.leaves[0][leaf], (place - self.leaves[1][leaf]) // _STEP * _STEP))
 
     def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text number, item_id, distance, start, end) of the best leak of each item
@@ -300,18 +366,22 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def _keys(text: np.ndarray, size: int) -> np.ndarray:
-    """The ``size`` classes from each place on as one number."""
+def _seeds(text: np.ndarray, size: int) -> np.ndarray:
+    """32 bits of a hash of the ``size`` classes from each place on."""
     n = max(0, len(text) - size + 1)
     keys = text[:n].astype(np.uint64)
     for j in range(1, size):
         keys <<= np.uint64(6)
         keys |= text[j:n + j]
-    return keys
+    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
+
+
+def _spread(pair: np.ndarray) -> np.ndarray:
+    return pair.astype(np.uint32) * np.uint32(0x85EBCA6B)
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)
+def _slots(mixed: np.ndarray, bits: np.uint32) -> np.ndarray:
+    return (mixed * np.uint32(0x9E3779B1)) >> (np.uint32(32) - bits)
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
