@@ -108,9 +108,8 @@ FROM n JOIN r ON r.a = n.doc_id LEFT JOIN l ON l.a = n.doc_id GROUP BY n.doc_id,
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's groups of tokens of two tokenizers and the weight of their links."""
-    found = token_alignment.align(table(spark, sf_dir, "documents"))
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+    return token_alignment.align(table(spark, sf_dir, "documents"), said=digest).withColumnRenamed("groups", "groups_sha256")
 
 
 #: Labels of every seventh vector move on by one.

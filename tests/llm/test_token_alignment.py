@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from alloy.llm import queries, token_alignment
@@ -104,5 +105,8 @@ def test_gallop():
     r = random.Random(5)
     for _ in range(500):
         a, b = (sorted(r.sample(range(60), r.randint(0, 40))) for _ in range(2))
-        i, j = token_alignment.gallop(a, b)
+        i, j = token_alignment.gallop(np.array(a, dtype=np.int64), np.array(b, dtype=np.int64))
         assert [a[x] for x in i] == [b[x] for x in j] == sorted(set(a) & set(b))
+    a, b = (np.unique(np.random.default_rng(k).integers(0, 90_000, n)) for k, n in ((1, 9_000), (2, 60_000)))
+    i, j = token_alignment.gallop(a, b)
+    assert (a[i] == b[j]).all() and (a[i] == np.intersect1d(a, b)).all()
