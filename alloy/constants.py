@@ -77,6 +77,10 @@ SERIAL_MAX_DAYS = 106751
 # Two-digit years: 69..99 -> 19yy, 00..68 -> 20yy.
 TWO_DIGIT_YEAR_PIVOT = 69
 
+# Names of months in dates that spell them.
+ENGLISH_MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+                  "November", "December"]
+
 # Error-manifest literal values.
 INVALID_DATE = "INVALID_DATE"
 STATUS_OPEN = "open"

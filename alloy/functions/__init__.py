@@ -2,6 +2,7 @@
 
 from alloy.functions.dates import (
     error_date_key,
+    generic_date,
     parse_hhmm,
     parse_mixed_date,
     session_hour,
@@ -11,6 +12,7 @@ from alloy.functions.dates import (
 from alloy.functions.hashing import clean_row_hash, hash_text, raw_row_hash
 from alloy.functions.numbers import (
     canonical_number_text,
+    checked_number_fill,
     is_integral,
     locale_number,
     locale_number_fill,
@@ -33,7 +35,7 @@ from alloy.functions.text import (
 )
 
 __all__ = [
-    "canon", "canonical_number_text", "clean_row_hash", "error_date_key", "has_content",
+    "canon", "canonical_number_text", "checked_number_fill", "clean_row_hash", "error_date_key", "generic_date", "has_content",
     "hash_text", "is_blank_cell", "is_integral", "locale_number", "locale_number_fill",
     "locale_number_text", "not_blank_or_null", "numeric_corrupt", "parse_hhmm",
     "parse_mixed_date", "percent_corrupt", "percent_ratio", "raw_row_hash", "round_to_long",

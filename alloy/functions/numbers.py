@@ -9,13 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from alloy.constants import NUMERIC_ALLOWED, PERCENT_ALLOWED, WS_CLASS
+from alloy.constants import NUMERIC_ALLOWED, PERCENT_ALLOWED, WHITESPACE, WS_CLASS
 from alloy.functions.text import _c, has_content, ustrip  # noqa: F401
 
 MONEY = "decimal(38,9)"
 NUMERIC_CORRUPT_RE = f"(?s)[^{NUMERIC_ALLOWED}{WS_CLASS}]|^[^0-9]*$|,.*,"
 
 
+# The usual good cell, in ASCII: tried first, since most cells are one and the
+# whole classes (all of Unicode's white space) are several times slower.
+_FINE_NUMBER = r"\A(?=[^0-9]*+[0-9])[0-9.Rp# -]*+(?:,[0-9.Rp# -]*+)?\z"
+_FINE_PERCENT = r"\A[0-9.,%# -]*+\z"
+
+
 def locale_number_text(col: Column | str) -> Column:
     """Keep digits , . ; delete '.' (thousands); turn ',' into '.'.
 
@@ -37,6 +43,12 @@ def locale_number_fill(col: Column | str, fill: int = 0, dtype: str = MONEY) ->
     return F.coalesce(locale_number_text(col).try_cast(dtype), F.lit(fill).cast(dtype))
 
 
+def checked_number_fill(col: Column | str, fill: int = 0, dtype: str = MONEY) -> Column:
+    """``locale_number_fill`` of a cell that is not corrupt: it has no other characters
+    than a number's, or no content, so one pass of ``translate`` cleans it."""
+    return F.coalesce(F.translate(_c(col), ",.Rp#-" + WHITESPACE, ".").try_cast(dtype), F.lit(fill).cast(dtype))
+
+
 def numeric_corrupt(col: Column | str) -> Column:
     """A numeric cell holds content and either has a forbidden character or
     does not coerce to a number after cleaning (``######`` strips to nothing)."""
@@ -44,13 +56,13 @@ def numeric_corrupt(col: Column | str) -> Column:
     # Cleaning keeps digits and separators, deletes '.', turns ',' into '.';
     # that text is a number exactly when the cell has a digit and at most one
     # ','. So "forbidden character, or no digit, or two commas" is one regex.
-    return has_content(c) & c.rlike(NUMERIC_CORRUPT_RE)
+    return c.isNotNull() & ~c.rlike(_FINE_NUMBER) & c.rlike(NUMERIC_CORRUPT_RE) & has_content(c)
 
 
 def percent_corrupt(col: Column | str) -> Column:
     """A percentage cell holds content and a character outside digits . , % # - and whitespace."""
     c = _c(col)
-    return has_content(c) & c.rlike(f"[^{PERCENT_ALLOWED}{WS_CLASS}]")
+    return c.isNotNull() & ~c.rlike(_FINE_PERCENT) & c.rlike(f"[^{PERCENT_ALLOWED}{WS_CLASS}]") & has_content(c)
 
 
 # A plain decimal literal, optionally signed; what a FLOAT64 cast accepts from

@@ -21,10 +21,16 @@ TAGS = ("sheet_name", "creds", "row_no")
 
 @dataclass(frozen=True)
 class RunInfo:
-    """Literals fixed once per run on the driver (never per-row functions)."""
+    """Literals fixed once per run on the driver (never per-row functions). ``part``
+    tells the loads of one run apart, where it comes in several."""
 
     snapshot_ts: datetime
     run_id: str
+    part: str = ""
+
+    @property
+    def load_id(self) -> str:
+        return self.run_id + self.part
 
     @property
     def today_key(self) -> str:
@@ -114,7 +120,7 @@ def build_bronze(valid: DataFrame, run: RunInfo, watermarks: DataFrame | None =
     return df, mx
 
 
-def dedup_first(df: DataFrame, key: str = "row_hash_raw", order=("path", "sheet_name", "row_no")) -> DataFrame:
+def dedup_first(df: DataFrame, key=("row_hash_raw",), order=("path", "sheet_name", "row_no")) -> DataFrame:
     """Keep the first row per ``key`` by ``order`` (regular before recovered;
     ``sheet_name`` + ``row_no`` identify a source row, so the order is total).
 
@@ -122,9 +128,9 @@ def dedup_first(df: DataFrame, key: str = "row_hash_raw", order=("path", "sheet_
     duplicates inside each map task, so a key holding a third of all rows never
     lands whole on one reducer.
     """
-    cols = [c for c in df.columns if c != key]
+    cols = [c for c in df.columns if c not in key]
     order_cols = [c for c in order if c in df.columns]
-    picked = df.groupBy(key).agg(
+    picked = df.groupBy(*key).agg(
         F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]),
                  F.struct(*[F.col(f"`{c}`") for c in order_cols])).alias("_r"))
-    return picked.select(*[F.col(f"_r.`{c}`").alias(c) if c != key else F.col(key) for c in df.columns])
+    return picked.select(*[F.col(f"_r.`{c}`").alias(c) if c not in key else F.col(c) for c in df.columns])

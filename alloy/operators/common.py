@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from alloy.session import scratch_path
 
@@ -35,3 +37,18 @@ def measured(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_DATE_LIKE = ("timestamp_ntz", "timestamp", "date")
+
+
+def observed(df: DataFrame, name: str, columns: list[Column]) -> tuple[DataFrame, dict]:
+    """``measured(df)`` and the aggregates ``columns`` over it, gathered while it is
+    written: they cost no pass and no job of their own. Timestamps come as datetimes."""
+    types = dict(df.select(*columns).dtypes)
+    dates = [n for n, t in types.items() if t in _DATE_LIKE]
+    names = list(types)
+    seen = Observation()
+    kept = measured(df.observe(seen, *[c.cast("string").alias(n) if n in dates else c for n, c in zip(names, columns)]), name)
+    values = dict(seen.get)
+    return kept, {n: datetime.fromisoformat(v) if n in dates and (v := values[n]) is not None else values[n] for n in names}

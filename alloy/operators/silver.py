@@ -163,6 +163,8 @@ def silver_source(bronze: DataFrame, decimal_comma: bool = False, split_by_time:
 
 
 def _merge_key(df: DataFrame) -> Column:
+    if "_mk" in df.columns:  # stored, as the layout by match key does
+        return F.col("_mk")
     return F.coalesce(F.concat(F.lit("H"), F.col("pukul_live").cast("string")),
                       F.concat(F.lit("T"), F.col("waktu_live_time")))
 
@@ -183,8 +185,8 @@ def upsert(target: DataFrame, source: DataFrame, with_action: bool = False,
     unique on the NULL-safe key (the source by its session dedup), so this adds
     no hot key either.
     """
-    t = target.select(*SILVER_COLS).withColumn("_mk", _merge_key(target)).withColumn("_present", F.lit(True))
-    s = source.select(*SILVER_COLS).withColumn("_mk", _merge_key(source)).withColumn("_present", F.lit(True))
+    t = target.select(*SILVER_COLS, _merge_key(target).alias("_mk"))
+    s = source.select(*SILVER_COLS, _merge_key(source).alias("_mk"))
     if null_safe_keys:
         empty = F.lit(False)
         t_keyed, t_loose = t, t.filter(empty)
@@ -193,8 +195,19 @@ def upsert(target: DataFrame, source: DataFrame, with_action: bool = False,
         t_keyed, t_loose = t.filter(_keyed(t)), t.filter(~_keyed(t))
         s_keyed, s_loose = s.filter(_keyed(s)), s.filter(~_keyed(s))
 
-    ta = t_keyed.select(*[F.col(c).alias(f"t_{c}") for c in t.columns])
-    sa = s_keyed.select(*[F.col(c).alias(f"s_{c}") for c in s.columns])
+    merged = match_keyed(t_keyed, s_keyed, null_safe_keys, "_action")
+    loose = (t_loose.select(*SILVER_COLS, F.lit("retain").alias("_action"))
+             .unionByName(s_loose.select(*SILVER_COLS, F.lit("insert").alias("_action"))))
+    out = merged.unionByName(loose)
+    return out if with_action else out.drop("_action")
+
+
+def match_keyed(t: DataFrame, s: DataFrame, null_safe_keys: bool = False, *extra: str) -> DataFrame:
+    """Keyed rows of MERGE(t, s), both with ``_mk``; ``extra``: ``_mk`` or ``_action``
+    beside the silver columns (without any: ``_mk``)."""
+    present = F.lit(True).alias("_present")
+    ta = t.select(*SILVER_COLS, "_mk", present).select(*[F.col(c).alias(f"t_{c}") for c in (*SILVER_COLS, "_mk", "_present")])
+    sa = s.select(*SILVER_COLS, "_mk", present).select(*[F.col(c).alias(f"s_{c}") for c in (*SILVER_COLS, "_mk", "_present")])
     if null_safe_keys:
         cond = [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in MATCH_KEYS]
     else:
@@ -208,12 +221,15 @@ def upsert(target: DataFrame, source: DataFrame, with_action: bool = False,
               .when(~s_present, F.lit("retain"))
               .when(take_s, F.lit("update"))
               .otherwise(F.lit("keep")))
-    merged = j.select(*[F.when(take_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
-                        for c in SILVER_COLS], action.alias("_action"))
-    loose = (t_loose.select(*SILVER_COLS, F.lit("retain").alias("_action"))
-             .unionByName(s_loose.select(*SILVER_COLS, F.lit("insert").alias("_action"))))
-    out = merged.unionByName(loose)
-    return out if with_action else out.drop("_action")
+    columns = (*SILVER_COLS, *(extra or ("_mk",)))
+    return j.select(*[action.alias(c) if c == "_action" else F.when(take_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
+                      for c in columns])
+
+
+def split_keyed(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with a whole match key, with it as ``_mk``; rows that no merge can match)."""
+    known = silver.select(*SILVER_COLS, _merge_key(silver).alias("_mk"))
+    return known.filter(_keyed(known)), known.filter(~_keyed(known))
 
 
 def require_unique(source: DataFrame) -> None:
@@ -231,7 +247,7 @@ BRONZE_SCHEMA = (
     "kreator string, nama_panggilan string, waktu_live string, pukul_live int, "
     + ", ".join(f"{src} {'string' if k == 'ratio' else MONEY}" for _, src, k in TYPED)
     + ", snapshot_ts timestamp, snapshot_date date, run_id string, row_hash_raw string, path int, "
-    "date string, run_key string, load_id string"
+    "date string, run_key string, load_id string, day date"
 )
 
 

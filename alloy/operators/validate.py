@@ -26,18 +26,16 @@ from alloy.constants import (
     DATE_COL,
     NUMERIC_COLS,
     PERCENT_COLS,
-    REASON_DATE,
-    REASON_NUMERIC,
-    REASON_SEP,
 )
 from alloy.functions import (
+    checked_number_fill,
     is_blank_cell,
-    locale_number_fill,
     not_blank_or_null,
     numeric_corrupt,
     parse_mixed_date,
     percent_corrupt,
 )
+from alloy.functions.sql import error_reason
 
 # Columns that are tags or lineage, never data.
 TAG_COLS = ("creds", "sheet_name", "error_reason", "row_no")
@@ -88,14 +86,7 @@ def flag(raw: DataFrame, numeric_cols=NUMERIC_COLS, percent_cols=PERCENT_COLS,
         corrupt.alias("_corrupt"),
         date_error.alias("_date_error"),
         ((corrupt | date_error) & ~F.col("_blank")).alias("_error"),
-    ).withColumn(
-        "error_reason",
-        F.when(F.col("_error"), F.concat_ws(
-            REASON_SEP,
-            F.when(F.col("_corrupt"), F.lit(REASON_NUMERIC)),
-            F.when(F.col("_date_error"), F.lit(REASON_DATE)),
-        )),
-    )
+    ).withColumn("error_reason", error_reason(F.col("_corrupt"), F.col("_date_error"), F.col("_blank")))
 
 
 def raw_columns(flagged: DataFrame) -> list[str]:
@@ -114,7 +105,7 @@ def valid_rows(flagged: DataFrame, numeric_cols=NUMERIC_COLS, date_col: str = DA
     cols = []
     for c in raw_columns(flagged):
         if c in nums:
-            cols.append(locale_number_fill(_q(c)).alias(c))
+            cols.append(checked_number_fill(_q(c)).alias(c))
         elif c == date_col:
             cols.append(F.col("_parsed").alias(c))
         else:
@@ -122,11 +113,11 @@ def valid_rows(flagged: DataFrame, numeric_cols=NUMERIC_COLS, date_col: str = DA
     return flagged.filter(~F.col("_error") & ~F.col("_blank")).select(*cols)
 
 
-def report(flagged: DataFrame) -> DataFrame:
-    """One-row validation report (counters, affected-column mask, date range)."""
+def report_columns() -> list[Column]:
+    """The validation report's aggregates over the flagged frame."""
     err, blank = F.col("_error"), F.col("_blank")
     corrupt_date = F.when(F.col("_corrupt"), F.col("_parsed"))
-    return flagged.agg(
+    return [
         F.coalesce(F.bool_or(err), F.lit(False)).alias("has_changes"),
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~err & ~blank).alias("n_valid_rows"),
@@ -136,7 +127,12 @@ def report(flagged: DataFrame) -> DataFrame:
         F.coalesce(F.bit_or("_bad_mask"), F.lit(0).cast("bigint")).alias("affected_mask"),
         F.min(corrupt_date).alias("first_affected_date"),
         F.max(corrupt_date).alias("last_affected_date"),
-    )
+    ]
+
+
+def report(flagged: DataFrame) -> DataFrame:
+    """One-row validation report (counters, affected-column mask, date range)."""
+    return flagged.agg(*report_columns())
 
 
 def affected_columns(flagged: DataFrame, numeric_cols=NUMERIC_COLS, percent_cols=PERCENT_COLS) -> DataFrame:

@@ -20,6 +20,7 @@ from alloy.operators import bronze as B
 from alloy.operators import silver as S
 from alloy.operators import state as ST
 from alloy.operators import validate as V
+from alloy.operators.common import observed
 from alloy.plans import oracle as O
 from alloy.plans.pipeline import Stages, affected_list, cut, plan_run
 from alloy.session import scratch_path
@@ -324,6 +325,18 @@ def mixed_dates(spark, sf_dir):
         AF.error_date_key(F.col("parsed")).alias("date_key"))
 
 
+@register("mixed_dates_generic", (
+    f"SELECT event_id, text, p AS parsed, coalesce(strftime(p, '%Y-%m-%d'), 'INVALID_DATE') AS date_key, p IS NULL AS is_error "
+    f"FROM (SELECT event_id, {FX.generic_date_sql(FX.DUCK)} AS text, {FX.generic_date_expected()} AS p FROM events)"))
+def mixed_dates_generic(spark, sf_dir):
+    """Dates in every other form (months' names, US order, compact, zones, 12 hours):
+    what can be read is no date error, and reads as the event's own time."""
+    text = F.expr(FX.generic_date_sql(FX.SPARK))
+    flagged = V.flag(FX.load_events(spark, sf_dir).select("event_id", text.alias("Tanggal")), (), ())
+    return flagged.select("event_id", F.col("Tanggal").alias("text"), F.col("_parsed").alias("parsed"),
+                          AF.error_date_key(F.col("_parsed")).alias("date_key"), F.col("_error").alias("is_error"))
+
+
 @register("safe_casts", O.with_ctes(*_RAW0, select=(
     f"SELECT sheet_name, row_no, {O.round_to_long(O.number(O.q(_GMV)))} AS gmv_long, "
     f"{O.round_to_long(O.number(O.q(_HARGA)))} AS harga_long, "
@@ -423,6 +436,14 @@ def validation_report(spark, sf_dir):
     return V.report(scenario(spark, sf_dir).flagged0)
 
 
+@register("validation_report_observed", _REPORT_SQL)
+def validation_report_observed(spark, sf_dir):
+    """The report as a run gets it: observed while the flagged frame is written."""
+    sc = scenario(spark, sf_dir)
+    _, seen = observed(sc.flagged0, "observed-flagged", V.report_columns())
+    return spark.createDataFrame([tuple(seen.values())], V.report(sc.flagged0).schema)
+
+
 def _affected_sql() -> str:
     parts = [f"SELECT {i} AS position, '{c}' AS column_name FROM m WHERE (mask & {1 << i}) <> 0"
              for i, c in enumerate(O.CHECKED)]
@@ -653,8 +674,8 @@ def watermark_load(spark, sf_dir):
 
     sc = scenario(spark, sf_dir)
     path = scratch_path(spark, "watermark-doc")
-    store.document_column(_old_records(sc), "sheets", ["sheet_name"]).coalesce(1).write.text(path)
-    recs = store.read_document(spark, path, "sheets", ST.WATERMARK_SCHEMA)
+    store.write_document(_old_records(sc), path, "sheets", ["sheet_name"])
+    recs = store.read_records(spark, path, "sheets", ST.WATERMARK_SCHEMA, True)
     return ST.load_watermarks(recs, sc.registry)
 
 

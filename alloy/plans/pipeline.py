@@ -27,7 +27,8 @@ from alloy.operators import bronze as B
 from alloy.operators import silver as S
 from alloy.operators import state as ST
 from alloy.operators import validate as V
-from alloy.sinks import store
+from alloy.operators.common import measured, observed
+from alloy.sinks import buckets, store
 
 
 @dataclass
@@ -69,29 +70,32 @@ def affected_list(mask: int, columns: list[str]) -> list[str]:
 def cut(df: DataFrame, how: str | None) -> DataFrame:
     """Keep a frame that several branches read: ``persist`` (memory and local
     disk; a lost block is recomputed from its short lineage) or ``checkpoint``
-    (written to the shared checkpoint folder, lineage cut; planning later
-    queries on it is cheap)."""
+    (a table in the shared checkpoint folder: lineage cut, planning later queries
+    on it is cheap, and each reader scans its own columns only)."""
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if how == "checkpoint":
-        from alloy.session import checkpoint_root
+    return measured(df, "cut") if how == "checkpoint" else df
+
 
-        checkpoint_root(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
+def cut_with(df: DataFrame, how: str | None, columns: list) -> tuple[DataFrame, dict]:
+    """``cut`` and aggregates over the frame: observed while it is written, else a job."""
+    if how == "checkpoint":
+        return observed(df, "cut", columns)
+    df = cut(df, how)
+    return df, df.agg(*columns).first().asDict()
 
 
 def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previous_manifest: DataFrame | None,
              quarantine_rel_path: str, persist: bool | str = True, watermark_by_day: bool = False) -> Stages:
-    """Build every stage of a run as DataFrames over one persisted flagged frame.
+    """Build every stage of a run as DataFrames over one kept flagged frame.
 
-    Persisting matters beyond reuse: the flags become columns of a cached
-    relation, so filters on them are not rewritten into the full expressions
+    Keeping it matters beyond reuse: the flags become columns of a table,
+    so filters on them are not rewritten into the full expressions
     (which Catalyst would otherwise push below the projection and duplicate).
+    The report is observed while the frame is written.
     """
     how = ("persist" if persist is True else None) if isinstance(persist, bool) else persist
-    flagged = cut(V.flag(V.filter_creator_id(raw)), how)
-    rep = V.report(flagged).first().asDict()
+    flagged, rep = cut_with(V.flag(V.filter_creator_id(raw)), how, V.report_columns())
     affected = affected_list(int(rep["affected_mask"] or 0), flagged.columns)
     valid = V.valid_rows(flagged)
     errors = V.error_rows(flagged)
@@ -122,12 +126,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
                  decimal_comma: bool = False, silver_layout: str = "snapshot",
                  keep: str = "checkpoint", split_sessions_by_time: bool = False,
                  null_safe_keys: bool = False, watermark_by_day: bool = False,
-                 bronze_mode: str = "append", marks_version: int | None = None) -> RunResult:
+                 bronze_mode: str = "append", marks_version: int | None = None, state_form: str = "records",
+                 merge: bool = True) -> RunResult:
     """Execute one run against the tables under ``root``.
 
     ``silver_layout="snapshot"`` writes each merge as a new full version;
     ``"by_day"`` keeps silver partitioned by business day and rewrites only the
-    days this run's source touches. ``incremental_silver`` merges only the
+    days this run's source touches; ``"bucketed"`` keeps it bucketed by the match key
+    and merges without moving it. ``incremental_silver`` merges only the
     sessions that the new bronze rows touch, from the days that they hold; without it
     the whole bronze table is merged again, as in the source system. ``keep``
     chooses how the flagged frame is kept for its several readers:
@@ -138,6 +144,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     ``marks_version`` runs a part of a landing: rows meet that version of the
     watermarks, and the run's greatest dates wait in state ``landed_dates`` until
     the landing is over (``advance_watermarks``).
+    ``state_form``: watermarks and manifest are written as ``records`` or each as one
+    ``document``; either is read, and so are an earlier system's documents.
+    Without ``merge`` the bronze rows wait for a ``merge_silver`` of their own.
     ``split_sessions_by_time`` keeps hour-less sessions of one shop/creator/day
     apart by their time text; ``null_safe_keys`` lets NULL merge-key parts match.
     Both default to the source system's behaviour.
@@ -169,26 +178,16 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         store.write_quarantine(st.errors, root, run, check_empty=False)
     lap("quarantine")
 
-    bronze = cut(st.bronze, keep)
-    n_bronze = bronze.count()
+    bronze, counted = cut_with(st.bronze, keep, [F.count(F.lit(1)).alias("n")])
+    n_bronze = counted["n"]
     lap("bronze_build")
     silver_version = None
     if n_bronze:
         store.write_bronze(bronze, root, run, bronze_mode)
         lap("bronze_write")
-        all_bronze = store.read_bronze(spark, root, S.BRONZE_SCHEMA)
-        if incremental_silver:
-            all_bronze = S.restrict_to_sessions(all_bronze, bronze)
-        # Read by several branches of the merge, so it is worked out once.
-        source = cut(S.silver_source(all_bronze.drop("date", "run_key", "load_id"), decimal_comma, split_sessions_by_time), "checkpoint")
-        S.require_unique(source)
-        if silver_layout == "by_day":
-            silver_version = store.upsert_silver_by_day(spark, root, source, S.SILVER_SCHEMA, null_safe_keys)
-        else:
-            target = store.read_silver(spark, root, S.SILVER_SCHEMA)
-            silver_version = store.write_silver(S.upsert(target, source, null_safe_keys=null_safe_keys),
-                                                root, spark)
-        lap("silver_merge")
+        if merge:
+            silver_version = merge_silver(spark, root, bronze, incremental_silver, decimal_comma, silver_layout, split_sessions_by_time, null_safe_keys)
+            lap("silver_merge")
 
     # The manifest is written only when its content changed (ignoring the
     # report time); resolved entries also leave a fix record.
@@ -198,7 +197,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     if changed:
         if recovery["recovery_resolved"]:
             store.write_fixes(ST.fix_records(st.resolved, run.now_iso), root, run)
-        store.write_state(st.remaining, root, "manifest")
+        store.write_state(st.remaining, root, "manifest", state_form, ST.KEYS)
         manifest_written = True
     lap("manifest")
 
@@ -209,7 +208,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
                           root, "landed_dates")
     elif n_bronze:
         new_wm = ST.rewrite_watermarks(wm_records, st.max_dates, registry, run.now_iso, watermark_mode)
-        store.write_state(new_wm, root, "watermark")
+        store.write_state(new_wm, root, "watermark", state_form, ["creds"])
         watermark_written = True
     lap("watermark")
 
@@ -220,6 +219,29 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
     return result
 
 
+def merge_silver(spark: SparkSession, root: str, new_rows: DataFrame, incremental_silver: bool = True, decimal_comma: bool = False,
+                 silver_layout: str = "snapshot", split_sessions_by_time: bool = False, null_safe_keys: bool = False, in_parts: bool = False) -> int:
+    """MERGE bronze into silver after ``new_rows`` were added to it; the options are
+    those of ``run_pipeline``. ``in_parts``: runs came in several loads, each with
+    its own first rows per hash, of which the run's first is taken here."""
+    all_bronze = store.read_bronze(spark, root, S.BRONZE_SCHEMA)
+    if incremental_silver:
+        # A session lies on one day: no other day's bronze is read.
+        all_bronze = S.restrict_to_sessions(store.of_days(all_bronze, store.distinct_days(new_rows, "tanggal")), new_rows)
+    all_bronze = all_bronze.drop(*store.BRONZE_PARTITIONS)
+    if in_parts:
+        all_bronze = B.dedup_first(all_bronze, ("run_id", "row_hash_raw"))
+    # Read by several branches of the merge, so it is worked out once.
+    source = cut(S.silver_source(all_bronze, decimal_comma, split_sessions_by_time), "checkpoint")
+    S.require_unique(source)
+    if silver_layout == "bucketed":
+        return buckets.upsert_bucketed(spark, root, source, null_safe_keys)
+    if silver_layout == "by_day":
+        return store.upsert_silver_by_day(spark, root, source, S.SILVER_SCHEMA, null_safe_keys)
+    target = store.read_silver(spark, root, S.SILVER_SCHEMA)
+    return store.write_silver(S.upsert(target, source, null_safe_keys=null_safe_keys), root, spark)
+
+
 def advance_watermarks(spark: SparkSession, root: str, registry: DataFrame, now_iso: str, mode: str = "retain") -> bool:
     """The end of a landing: the dates that its runs left become the watermarks.
     Done again after a failure half-way, it writes the same marks."""

@@ -7,8 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from alloy.functions import sql
+from alloy.operators import bronze as B
 from alloy.operators import silver as S
 from alloy.operators import state as ST
+from alloy.operators import validate as V
 from alloy.plans import oracle as O
 from alloy.plans.catalog import (
     _ALL,
@@ -19,6 +22,7 @@ from alloy.plans.catalog import (
     _ALL0,
     _SILVER0,
     _SILVER1,
+    _SNAKE_RAW,
     _entries_out,
     _source,
     register,
@@ -26,8 +30,11 @@ from alloy.plans.catalog import (
 )
 from alloy.plans.pipeline import cut, run_pipeline
 from alloy.session import scratch_path
-from alloy.sinks import store
+from alloy.sinks import buckets, store
 from alloy.sources import fixture as FX
+from alloy.sources import grid as G
+from alloy.sources import sheets as SH
+from alloy.streaming import marks as MK
 from alloy.streaming.available_now import run_available_now
 
 _SILVER_TWO_RUNS = O.with_ctes(*_ALL, select=O.upsert(_SILVER1, _S12))
@@ -111,6 +118,59 @@ def pipeline_silver_by_day(spark, sf_dir):
     return store.read_silver_by_day(spark, root, S.SILVER_SCHEMA)
 
 
+@register("by_day_commit_interrupted", O.with_ctes(*_ALL, select=(
+    f"SELECT 'interrupted' AS stage, * FROM ({_SILVER1}) UNION ALL BY NAME SELECT 'finished' AS stage, * FROM ({O.upsert(_SILVER1, _S12)})")))
+def by_day_commit_interrupted(spark, sf_dir):
+    """A merge that dies after it has written some of its days: readers see every old
+    row and no new one; the merge is done again and is seen as a whole."""
+    sc = scenario(spark, sf_dir)
+    root = scratch_path(spark, "by-day-interrupted")
+    store.upsert_silver_by_day(spark, root, sc.source1, S.SILVER_SCHEMA)
+    merged, days = store.merge_days(spark, root, sc.source12, S.SILVER_SCHEMA)
+    done = sorted(d for d in days if d is not None)[: len(days) // 2]
+    store.stage_days(store.of_days(merged, done, "tanggal"), root)  # and here the job is lost
+    before = cut(store.read_silver_by_day(spark, root, S.SILVER_SCHEMA), "checkpoint")
+    store.upsert_silver_by_day(spark, root, sc.source12, S.SILVER_SCHEMA)
+    after = store.read_silver_by_day(spark, root, S.SILVER_SCHEMA)
+    return before.withColumn("stage", F.lit("interrupted")).unionByName(after.withColumn("stage", F.lit("finished")))
+
+
+@register("silver_upsert_bucketed", _SILVER_TWO_RUNS)
+def silver_upsert_bucketed(spark, sf_dir):
+    """Silver bucketed by its match key: the first merge makes the buckets, the second
+    joins them in place and writes the next version bucket by bucket."""
+    sc = scenario(spark, sf_dir)
+    root = scratch_path(spark, "bucketed")
+    buckets.upsert_bucketed(spark, root, sc.source1, buckets=8)
+    buckets.upsert_bucketed(spark, root, sc.source12)
+    return buckets.read_bucketed(spark, root).select(*S.SILVER_COLS)
+
+
+@register("pipeline_silver_bucketed", _SILVER_TWO_RUNS)
+def pipeline_silver_bucketed(spark, sf_dir):
+    """Both runs through the pipeline with bucketed silver."""
+    root = scratch_path(spark, "pipeline-bucketed")
+    _two_runs(spark, sf_dir, root, silver_layout="bucketed", incremental_silver=False)
+    return buckets.read_bucketed(spark, root).select(*S.SILVER_COLS)
+
+
+@register("table_from_frame", O.with_ctes(*_ALL0, select=(
+    f"SELECT 'made' AS part, * FROM ({_SILVER0}) UNION ALL BY NAME SELECT 'filled twice' AS part, tanggal, toko, row_hash_raw FROM ({_SILVER0}) "
+    f"UNION ALL BY NAME SELECT 'filled twice' AS part, tanggal, toko, row_hash_raw FROM ({_SILVER0})")))
+def table_from_frame(spark, sf_dir):
+    """Silver as a table of the catalog, created by DDL and partitioned by day, filled from
+    a frame and read by name; and a typed table with fewer columns filled twice."""
+    sc = scenario(spark, sf_dir)
+    path = scratch_path(spark, "catalog-table")
+    name = "alloy_" + path.rsplit("-", 1)[1]
+    made = buckets.table_from_frame(sc.silver0, f"{name}_silver", ("tanggal",), f"{path}/silver")
+    buckets.create_table(spark, f"{name}_keys", "toko string, row_hash_raw string, kreator string, tanggal date", ("tanggal",), f"{path}/keys")
+    for mode in ("append", "replace", "append"):
+        buckets.fill_table(made.select("tanggal", "row_hash_raw", "toko"), f"{name}_keys", mode)
+    twice = spark.table(f"{name}_keys")
+    return made.withColumn("part", F.lit("made")).unionByName(twice.withColumn("part", F.lit("filled twice")), allowMissingColumns=True)
+
+
 def _incremental_sql() -> str:
     key = (f"{O.upper_trim('toko')} AS _a, {O.upper_trim('id_kreator')} AS _b, "
            "CAST(tanggal AS DATE) AS _c, pukul_live AS _d")
@@ -155,33 +215,89 @@ def empty_run(spark, sf_dir):
     return store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA)
 
 
+_FROM_OLD = ["SELECT 'bronze' AS part, row_hash_raw AS what, path, sheet_name, row_no FROM bronze2",
+             "SELECT 'marks', creds, NULL, max(last_processed_date), NULL FROM (SELECT * FROM maxd1 UNION ALL SELECT * FROM maxd2) GROUP BY creds",
+             "SELECT 'open', coalesce(sheet_name, '') || error_date, NULL, creds, n_rows FROM remaining2"]
+
+
+@register("pipeline_from_old_document", O.with_ctes(*_ALL, select=" UNION ALL ".join(_FROM_OLD)))
+def pipeline_from_old_document(spark, sf_dir):
+    """Run 2 starting from an earlier system's documents: watermarks in the old form
+    (by sheet name, without creds) and the error manifest. Its bronze rows, and the marks
+    and open entries that it writes, as documents again."""
+    sc = scenario(spark, sf_dir)
+    root = scratch_path(spark, "old-document")
+    store.write_document(sc.wm_records1.drop("creds"), f"{root}/state/watermark.json", "sheets", ["sheet_name"])
+    store.write_document(sc.s1.remaining, f"{root}/state/manifest.json", "errors", ST.KEYS)
+    run_pipeline(spark, FX.landed_sheet(spark, sf_dir, 2), root, sc.run2, sc.registry, state_form="document")
+    bronze = store.read_bronze(spark, root, S.BRONZE_SCHEMA)
+    marks = store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA)
+    manifest = store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA)
+    none = F.lit(None)
+    return (bronze.select(F.lit("bronze").alias("part"), F.col("row_hash_raw").alias("what"), "path", "sheet_name", "row_no")
+            .unionByName(marks.select(F.lit("marks").alias("part"), F.col("creds").alias("what"), none.cast("int").alias("path"),
+                                      F.col("last_processed_date").alias("sheet_name"), none.cast("bigint").alias("row_no")))
+            .unionByName(manifest.select(F.lit("open").alias("part"), F.concat(F.coalesce("sheet_name", F.lit("")), "error_date").alias("what"),
+                                         none.cast("int").alias("path"), F.col("creds").alias("sheet_name"), F.col("n_rows").alias("row_no"))))
+
+
+@register("manifest_document_roundtrip", O.with_ctes(*O.base_ctes((0,)), select=f"SELECT {_ENTRY_COLS} FROM entries0"))
+def manifest_document_roundtrip(spark, sf_dir):
+    """The manifest as one document, a record a line, and read back."""
+    sc = scenario(spark, sf_dir)
+    root = scratch_path(spark, "manifest-document")
+    store.write_state(sc.current0, root, "manifest", "document", ST.KEYS)
+    return _entries_out(store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA))
+
+
 @register("stream_available_now", _SILVER_TWO_RUNS)
 def stream_available_now(spark, sf_dir):
     """Both runs landed as files, one after the other, each consumed by an availableNow
-    file stream in one micro-batch; the final silver table."""
+    file stream with its default batches; the final silver table."""
     sc = scenario(spark, sf_dir)
     landing = scratch_path(spark, "landing")
     root = scratch_path(spark, "stream-tables")
     checkpoint = scratch_path(spark, "stream-checkpoint")
     for run, info in ((1, sc.run1), (2, sc.run2)):
         FX.landed_grid(spark, sf_dir, run).write.mode("append").parquet(landing)
-        run_available_now(spark, landing, root, sc.registry, checkpoint, run_for_batch=lambda epoch: info,
-                          column_order=FX.FIXTURE_COLS, files_per_batch=len(store.data_files(spark, landing)), incremental_silver=False)
+        run_available_now(spark, landing, root, sc.registry, checkpoint, run_for_landing=info, column_order=FX.FIXTURE_COLS,
+                          incremental_silver=False)
     return store.read_silver(spark, root, S.SILVER_SCHEMA)
 
 
-@register("stream_many_files", O.with_ctes(*_ALL0, select="SELECT DISTINCT row_hash_raw FROM pre0"))
+@register("stream_many_files", O.with_ctes(*_ALL0, select=_SILVER0))
 def stream_many_files(spark, sf_dir):
-    """A landing of many files, several a micro-batch, with the stream's own run ids and
-    sheets whose header comes in another file: bronze has the content of every valid
-    row of every source, though a later batch brings rows of earlier days."""
+    """A landing of many files, a few a micro-batch, with sheets whose header comes in
+    another file: silver, merged once, is that of one batch over all rows."""
     sc = scenario(spark, sf_dir)
     landing = scratch_path(spark, "landing-many")
     FX.landed_grid(spark, sf_dir, 0).write.parquet(landing)
     root = scratch_path(spark, "stream-many")
-    run_available_now(spark, landing, root, sc.registry, scratch_path(spark, "stream-many-checkpoint"),
-                      column_order=FX.FIXTURE_COLS, files_per_batch=8)
-    return store.read_bronze(spark, root, S.BRONZE_SCHEMA).select("row_hash_raw").distinct()
+    run_available_now(spark, landing, root, sc.registry, scratch_path(spark, "stream-many-checkpoint"), run_for_landing=sc.run0,
+                      column_order=FX.FIXTURE_COLS, files_per_batch=6)
+    return store.read_silver(spark, root, S.SILVER_SCHEMA)
+
+
+@register("stream_keyed_marks", O.with_ctes(*_ALL, select=(
+    "SELECT 'after 1' AS landing, creds, last_processed_date FROM maxd1 UNION ALL SELECT 'after 2', creds, max(last_processed_date) "
+    "FROM (SELECT * FROM maxd1 UNION ALL SELECT * FROM maxd2) GROUP BY creds UNION ALL SELECT 'within 2', creds, last_processed_date FROM maxd1")))
+def stream_keyed_marks(spark, sf_dir):
+    """The marks as keyed state of a stream: after the first landing, and, with the stream
+    restarted from its checkpoint, within the second and after it."""
+    sc = scenario(spark, sf_dir)
+    landing = scratch_path(spark, "landing-marks")
+    checkpoint = scratch_path(spark, "marks-checkpoint")
+    out = None
+    for number, run, info in ((1, 1, sc.run1), (2, 2, sc.run2)):
+        FX.landed_grid(spark, sf_dir, run).write.mode("append").parquet(landing)
+        headers = G.headers_of(spark.read.schema(G.GRID_SCHEMA).parquet(landing))
+        raw = G.grid_to_frame(spark.readStream.schema(G.GRID_SCHEMA).parquet(landing), headers, FX.FIXTURE_COLS)
+        rows, _ = B.build_bronze(V.valid_rows(V.flag(V.filter_creator_id(raw))), info)
+        MK.advance(rows.select("creds", "tanggal"), number, checkpoint)
+        for name, at in ((f"within {number}", number), (f"after {number}", number + 1)):
+            part = cut(MK.read_marks(spark, checkpoint, at).withColumn("landing", F.lit(name)), "checkpoint")
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("bronze_append_modes", O.with_ctes(*_ALL, select=(
@@ -233,11 +349,11 @@ def bronze_new_column(spark, sf_dir):
     sc = scenario(spark, sf_dir)
     root = scratch_path(spark, "new-column")
     store.write_bronze(sc.s1.bronze.drop("nama_panggilan"), root, sc.run1)
-    first = _source(store.read_bronze(spark, root, S.BRONZE_SCHEMA).drop("date", "run_key", "load_id"))
+    first = _source(store.read_bronze(spark, root, S.BRONZE_SCHEMA).drop(*store.BRONZE_PARTITIONS))
     # Kept before the table grows: Spark takes two scans of one path for the same.
     silver = cut(S.upsert(S.empty_silver(spark), first), "checkpoint")
     store.write_bronze(sc.s2.bronze, root, sc.run2)
-    both = _source(store.read_bronze(spark, root, S.BRONZE_SCHEMA).drop("date", "run_key", "load_id"))
+    both = _source(store.read_bronze(spark, root, S.BRONZE_SCHEMA).drop(*store.BRONZE_PARTITIONS))
     return S.upsert(silver, both)
 
 
@@ -245,8 +361,6 @@ def bronze_new_column(spark, sf_dir):
     f"SELECT sheet_name, creds, row_no, {O.q('Nama Panggilan')} AS nama_panggilan, {O.q('Komentar')} AS komentar FROM raw0")))
 def grid_headers_apart(spark, sf_dir):
     """Headers landed before and apart from their rows: no cell is lost."""
-    from alloy.sources import grid as G
-
     grid = FX.landed_grid(spark, sf_dir, 0)
     before = G.headers_of(grid.filter(F.col("row_no") <= 2))
     rows = grid.filter(F.col("row_no") > 2)
@@ -255,6 +369,40 @@ def grid_headers_apart(spark, sf_dir):
                       F.col("Komentar").alias("komentar"))
 
 
+@register("sheet_source_scan", O.with_ctes(O.raw_cte(0), select=f"SELECT {_SNAKE_RAW} FROM raw0"))
+def sheet_source_scan(spark, sf_dir):
+    """The grid landed as a folder of JSON lines a worksheet, read by the sheet data source."""
+    path = scratch_path(spark, "worksheets")
+    FX.landed_grid(spark, sf_dir, 0).write.partitionBy("sheet_name", "creds").json(path)
+    return B.snake_rename(SH.read_sheets(spark, path, FX.FIXTURE_COLS))
+
+
+_SQL_HASH = [O.canon(O.q(c)) for c in ("Waktu Live", "Toko", "ID Kreator")]
+_SQL_DAY = f"CAST({O.parse_date(O.q('Tanggal'))} AS DATE)"
+
+
+@register("sql_surface", O.with_ctes(*_F0, select=(
+    f"SELECT sheet_name, row_no, {_SQL_HASH[1]} AS toko, sha256(concat_ws('||', {', '.join(_SQL_HASH)})) AS hash, "
+    f"{O.blank_cell(O.q('CTR'))} AS ctr_blank, {O.has_content(O.q('CTR'))} AS ctr_content, {O.percent_corrupt(O.q('CTR'))} AS ctr_corrupt, "
+    f"{O.numeric_corrupt(O.q('GMV yang didapat dari LIVE (Rp)'))} AS gmv_corrupt, {O.number(O.q('GMV yang didapat dari LIVE (Rp)'))} AS gmv, "
+    f"{O.percent_ratio(O.q('CTR'))} AS ctr, error_reason, {O.parse_date(O.q('Tanggal'))} AS parsed, "
+    f"{O.session_hour(O.q('Waktu Live'))} AS hour, CASE WHEN d IS NOT NULL AND t IS NOT NULL THEN d + CAST(t AS TIME) END AS starts "
+    f"FROM (SELECT *, {_SQL_DAY} AS d, {O.parse_hhmm(O.q('Waktu Live'))} AS t FROM flag0)")))
+def sql_surface(spark, sf_dir):
+    """The functions called in SQL text, over the flagged rows as a view."""
+    sql.register(spark)
+    scenario(spark, sf_dir).flagged_table0.createOrReplaceTempView("alloy_flagged")
+    gmv = "`GMV yang didapat dari LIVE (Rp)`"
+    return spark.sql(f"""
+        SELECT sheet_name, row_no, alloy_canon(Toko) AS toko, alloy_raw_hash(array(`Waktu Live`, Toko, `ID Kreator`)) AS hash,
+               alloy_is_blank(CTR) AS ctr_blank, alloy_has_content(CTR) AS ctr_content, alloy_percent_corrupt(CTR) AS ctr_corrupt,
+               alloy_numeric_corrupt({gmv}) AS gmv_corrupt, alloy_number({gmv}) AS gmv, alloy_percent_ratio(CTR) AS ctr,
+               alloy_error_reason(_corrupt, _date_error, _blank) AS error_reason, alloy_parse_date(Tanggal) AS parsed,
+               alloy_session_hour(`Waktu Live`) AS hour,
+               alloy_session_start(CAST(alloy_parse_date(Tanggal) AS DATE), alloy_parse_hhmm(`Waktu Live`)) AS starts
+        FROM alloy_flagged""")
+
+
 @register("fixes_roundtrip", O.with_ctes(*_ALL, select=(
     "SELECT sheet_name, creds, error_date, affected_columns, '2024-02-01T00:00:00' AS resolved_at, path, "
     "'fixed' AS status, '2024020100' AS run_key FROM resolved2")))

@@ -235,6 +235,59 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, "events"))
 
 
+# --- dates in other forms -----------------------------------------------------
+
+#: Of each form: Spark's and DuckDB's format, what follows, and what it keeps of the
+#: event's time: a unit, or how it is read where day and month cannot be told apart.
+GENERIC_FORMS = [
+    ("d MMM yyyy", "%-d %b %Y", "", "day"),
+    ("dd MMMM yyyy", "%d %B %Y", "", "day"),
+    ("MMMM d, yyyy", "%B %-d, %Y", "", "day"),
+    ("EEEE, MMMM d, yyyy", "%A, %B %-d, %Y", "", "day"),
+    ("d-MMM-yy", "%-d-%b-%y", "", "day"),
+    ("yyyy-MMM-dd", "%Y-%b-%d", "", "day"),
+    ("MMM yyyy", "%b %Y", "", "month"),
+    ("yyyy-MM", "%Y-%m", "", "month"),
+    ("yyyyMMdd", "%Y%m%d", "", "day"),
+    ("yyyyMMdd'T'HHmmss", "%Y%m%dT%H%M%S", "Z", "second"),
+    ("yyyyMMddHHmmss", "%Y%m%d%H%M%S", "", "second"),
+    ("yyyy-MM-dd'T'HH:mm:ss", "%Y-%m-%dT%H:%M:%S", "Z", "second"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", "%Y-%m-%dT%H:%M:%S.%g", "+07:00", "millisecond"),
+    ("yyyy-MM-dd HH:mm", "%Y-%m-%d %H:%M", " +0700", "minute"),
+    ("yyyy/MM/dd HH:mm:ss", "%Y/%m/%d %H:%M:%S", "", "second"),
+    ("EEE, dd MMM yyyy HH:mm:ss", "%a, %d %b %Y %H:%M:%S", " GMT", "second"),
+    ("MMM d yyyy hh:mm a", "%b %-d %Y %I:%M %p", "", "minute"),
+    ("d MMMM yyyy h:mm:ss a", "%-d %B %Y %-I:%M:%S %p", "", "second"),
+    ("M/d/yyyy", "%-m/%-d/%Y", "", "day first"),
+    ("MM-dd-yy", "%m-%d-%y", "", "day first"),
+    ("MM/dd/yyyy hh:mm:ss a", "%m/%d/%Y %I:%M:%S %p", "", "second"),
+    ("dd.MM.yyyy HH:mm", "%d.%m.%Y %H:%M", "", "month first"),
+    ("MMMM d'th at' HH", "%B %-dth at %H", "", "never"),
+    ("yyyy-MM-dd", "%Y-%m-%d", " 25:61", "never"),
+    ("yyyy-'13'-dd", "%Y-13-%d", "", "never"),
+]
+
+
+def generic_date_sql(dl: Dialect) -> str:
+    """The text of event e: its time in form e % number of forms."""
+    spark = dl.name == "spark"
+    whens = []
+    for i, (a, b, tail, _) in enumerate(GENERIC_FORMS):
+        text = "date_format(ts, '" + a.replace("'", "\\'") + "')" if spark else f"strftime(ts, '{b}')"
+        whens.append(f"WHEN {i} THEN {text} || '{tail}'")
+    return f"CASE event_id % {len(GENERIC_FORMS)} {' '.join(whens)} END"
+
+
+def generic_date_expected() -> str:
+    """DuckDB SQL of what the text of an event says, worked out from the event's time."""
+    swapped = "make_timestamp(year(ts), day(ts), month(ts), {}, {}, 0.0)"
+    says = {"day first": f"CASE WHEN day(ts) <= 12 THEN {swapped.format(0, 0)} ELSE date_trunc('day', ts) END",
+            "month first": f"CASE WHEN day(ts) <= 12 THEN {swapped.format('hour(ts)', 'minute(ts)')} ELSE date_trunc('minute', ts) END",
+            "never": "NULL"}
+    whens = [f"WHEN {i} THEN {says.get(kept) or f'date_trunc({chr(39)}{kept}{chr(39)}, ts)'}" for i, (*_, kept) in enumerate(GENERIC_FORMS)]
+    return f"CAST(CASE event_id % {len(GENERIC_FORMS)} {' '.join(whens)} END AS TIMESTAMP)"
+
+
 # --- grid form -------------------------------------------------------------
 
 def sheet_headers() -> dict[str, list[str]]:

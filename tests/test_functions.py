@@ -131,3 +131,51 @@ def test_snake_case():
 def test_snake_case_col_matches_python(spark):
     names = ["Nilai barang dagangan bruto (LIVE) (Rp)", "Harga Rata-Rata (Rp)", "CTR", "Pesanan SKU (LIVE)"]
     assert _eval(spark, names, AF.snake_case_col) == [AF.snake_case(n) for n in names]
+
+
+@pytest.mark.parametrize("text,parsed", [
+    ("15 Jan 2024", dt.datetime(2024, 1, 15)), ("January 15th, 2024", dt.datetime(2024, 1, 15)), ("15-SEPT-24", dt.datetime(2024, 9, 15)),
+    ("Mon, 15 Jan 2024 10:30:05 GMT", dt.datetime(2024, 1, 15, 10, 30, 5)), ("2024-01-15T10:30:00Z", dt.datetime(2024, 1, 15, 10, 30)),
+    ("2024-01-15T23:30:00.1234567+07:00", dt.datetime(2024, 1, 15, 23, 30, 0, 123456)), ("2024-01-15 10:30 -0330", dt.datetime(2024, 1, 15, 10, 30)),
+    ("01/31/2024", dt.datetime(2024, 1, 31)), ("1-31-99", dt.datetime(1999, 1, 31)), ("02/01/2024", dt.datetime(2024, 1, 2)),
+    ("01/02/2024 10:30", dt.datetime(2024, 1, 2, 10, 30)), ("13/02/2024 10:30", dt.datetime(2024, 2, 13, 10, 30)),
+    ("20240115", dt.datetime(2024, 1, 15)), ("20240115T103005Z", dt.datetime(2024, 1, 15, 10, 30, 5)), ("20240115103005", dt.datetime(2024, 1, 15, 10, 30, 5)),
+    ("Jan 15 2024 12:05 am", dt.datetime(2024, 1, 15, 0, 5)), ("Jan 15 2024, 12:05 P.M.", dt.datetime(2024, 1, 15, 12, 5)),
+    ("may 2024", dt.datetime(2024, 5, 1)), ("2024-05", dt.datetime(2024, 5, 1)), ("2024 Dec 24", dt.datetime(2024, 12, 24)),
+    ("31/02/2024", None), ("2024-13-01", None), ("Jan 32 2024", None), ("15 Foo 2024", None), ("Jan 15 2024 13:05 pm", None),
+    ("2024-01-15 25:00", None), ("12345678", None), ("10:30", None), ("2024", dt.datetime(1905, 7, 16)), ("around noon", None),
+    ("15", None), ("1,5", None), ("", None), ("-", None), (None, None),
+])
+def test_generic_dates(spark, text, parsed):
+    assert _eval(spark, [text], AF.parse_mixed_date) == [parsed]
+
+
+def test_quick_cell_tests_equal_the_whole_ones(spark):
+    import random
+
+    from alloy.constants import PERCENT_ALLOWED, WS_CLASS
+    from alloy.functions.numbers import NUMERIC_CORRUPT_RE
+
+    r = random.Random(4)
+    cells = ["".join(r.choice("0123456789.,Rp#- \t\n\u00a0\u2003x%+") for _ in range(r.randint(0, 7))) for _ in range(4000)]
+    cells += ["n/a", "NaN", " none ", "-", "5\n", "\n", "1,\n2", None]
+    df = spark.createDataFrame([(c,) for c in cells], "x string")
+    x = F.col("x")
+    fine = AF.has_content(x) & x.rlike(NUMERIC_CORRUPT_RE)
+    percent = AF.has_content(x) & x.rlike(f"[^{PERCENT_ALLOWED}{WS_CLASS}]")
+    same = df.select(x, AF.numeric_corrupt(x).eqNullSafe(fine).alias("a"), AF.percent_corrupt(x).eqNullSafe(percent).alias("b"),
+                     (AF.numeric_corrupt(x) | AF.checked_number_fill(x).eqNullSafe(AF.locale_number_fill(x))).alias("c"))
+    assert same.filter("NOT a OR NOT b OR NOT c").collect() == []
+
+
+def test_sql_functions_are_inlined(spark):
+    from alloy.functions import sql
+
+    assert len(sql.register(spark)) == 13
+    df = spark.sql("SELECT alloy_canon(' ab ') AS a, alloy_error_reason(true, true, false) AS b, alloy_raw_hash(array(' x', NULL)) AS c, "
+                   "alloy_session_start(DATE'2024-01-05', alloy_parse_hhmm('9:30')) AS d, alloy_is_blank(' - ') AS e")
+    row = df.first()
+    assert row.a == "AB" and row.b == "numeric_mixed|date_unparsable" and row.d == dt.datetime(2024, 1, 5, 9, 30) and row.e
+    assert row.c == spark.sql("SELECT sha2('X||', 256) AS h").first().h
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "alloy_" not in plan and "UDF" not in plan

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,17 +87,98 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<sheet_name:string,row_no:bigint,cells:array<string>>" in plan
 
 
-def test_touched_days_prune_silver_partitions(spark):
-    """A by-day merge reads the partitions in the range of its source's days only."""
+def _files_read(df):
+    """Files that the scans of ``df`` read when it runs."""
+    df = df.select("*")  # a plan of its own: a scan counts its files once
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.getClass().getSimpleName() else plan
+    total, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.metrics().contains("numFiles"):
+            total += node.metrics().apply("numFiles").value()
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        if "QueryStage" in node.getClass().getSimpleName():
+            todo.append(node.plan())
+    return total
+
+
+def test_by_day_merge_reads_touched_days_only(spark):
     from alloy.session import scratch_path
     from alloy.sinks import store
 
-    path = scratch_path(spark, "by-day")
-    spark.range(40).selectExpr("id", "date_add(date'2024-01-01', CAST(id AS int)) AS tanggal").write.partitionBy("tanggal").parquet(path)
-    days = spark.sql("SELECT date'2024-01-05' AS tanggal")
-    df = store.within_days(spark.read.parquet(path), days)
-    assert df.count() == 1
-    assert "PartitionFilters: [(isnull(tanggal" in _plan(df)
+    root = scratch_path(spark, "by-day")
+    days = spark.range(40).selectExpr("id", "IF(id = 39, NULL, date_add(date'2024-01-01', CAST(id AS int))) AS tanggal")
+    store.commit_days(spark, root, store.stage_days(days, root), store.distinct_days(days, "tanggal"))
+    whole = store.read_silver_by_day(spark, root, "id bigint, tanggal date")
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, days.collect()), key=str)
+    one = store.read_silver_by_day(spark, root, "id bigint, tanggal date", store.distinct_days(days.filter("id IN (4, 39)"), "tanggal"))
+    assert sorted(r["id"] for r in one.collect()) == [4, 39]
+    assert _files_read(one) == 2
+
+
+def test_bronze_scan_reads_touched_days_only(spark):
+    from alloy.operators import bronze as B
+    from alloy.session import scratch_path
+    from alloy.sinks import store
+
+    root = scratch_path(spark, "bronze-days")
+    rows = spark.range(30).selectExpr("id", "IF(id = 29, NULL, timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(CAST(id AS int))) AS tanggal")
+    store.write_bronze(rows, root, B.RunInfo.at("2024-02-01 00:00:00", "r"))
+    schema = "id bigint, tanggal timestamp_ntz, date string, run_key string, load_id string, day date"
+    some = store.of_days(store.read_bronze(spark, root, schema), store.distinct_days(rows.filter("id IN (2, 7, 29)"), "tanggal"))
+    assert sorted(r["id"] for r in some.collect()) == [2, 7, 29]
+    assert _files_read(some) == 3
+
+
+def test_bucketed_merge_does_not_move_silver(spark):
+    """The target's side of the merge has no exchange, and each bucket is one file."""
+    from alloy.session import scratch_path
+    from alloy.sinks import buckets, store
+
+    root = scratch_path(spark, "bucketed-plan")
+
+    def source(n, tag):
+        cols = {"tanggal": "date_add(date'2024-01-01', CAST(id % 3 AS int))", "toko": "concat('s', id)", "id_kreator": "concat('c', id % 7)", "pukul_live": "IF(id % 5 = 4, NULL, 1L)",
+                "row_hash_clean": f"'{tag}'"}
+        types = dict(x.strip().split(" ", 1) for x in re.split(r",(?![^(]*[)])", S.SILVER_SCHEMA))
+        return spark.range(n).selectExpr(*[f"CAST({cols.get(c, 'NULL')} AS {types[c]}) AS {c}" for c in S.SILVER_COLS])
+
+    buckets.upsert_bucketed(spark, root, source(100, "a"), buckets=4)
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        keyed, _ = buckets.merged(spark, root, source(60, "b"))
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        buckets.upsert_bucketed(spark, root, source(60, "b"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    assert len(store.data_files(spark, f"{root}/silver_buckets/v=0000000002/keyed")) == 4
+    got = buckets.read_bucketed(spark, root)
+    assert sorted((r["row_hash_clean"], r["n"]) for r in got.groupBy("row_hash_clean").agg(F.count("*").alias("n")).collect()) == [("a", 52), ("b", 60)]
+
+
+def test_observed_report_takes_no_job(spark):
+    """A run's report comes with the write of the flagged frame."""
+    from alloy.operators import validate as V
+    from alloy.operators.common import measured, observed
+
+    raw = spark.range(50).selectExpr("IF(id % 7 = 0, 'x', '2024-01-15') AS Tanggal", "CAST(id AS string) AS Komentar")
+    flagged = V.flag(raw, ("Komentar",), ())
+
+    def jobs(name, action):
+        spark.sparkContext.setJobGroup(name, name)
+        out = action()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    (kept, seen), with_report = jobs("observed", lambda: observed(flagged, "flagged", V.report_columns()))
+    _, without = jobs("kept", lambda: measured(flagged, "flagged"))
+    assert with_report == without
+    assert seen == V.report(kept).first().asDict()
 
 
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver test data not present")

@@ -112,6 +112,51 @@ def test_damaged_state_fails(spark, tmp_path):
         store.read_state(spark, root, "watermark", ST.WATERMARK_SCHEMA).collect()
 
 
+def test_state_documents_in_all_forms(spark, tmp_path):
+    import json
+
+    from alloy.sinks import store
+
+    old = {"sheets": [{"sheet_name": "a", "last_processed_date": 20240105}, {"creds": "k", "sheet_name": "b", "last_processed_date": "2024-01-07"}]}
+    for i, text in enumerate((json.dumps(old), json.dumps(old, indent=2))):
+        (tmp_path / f"{i}").mkdir()
+        (tmp_path / f"{i}" / "watermark.json").write_text(text)
+        got = store.read_records(spark, str(tmp_path / f"{i}" / "watermark.json"), "sheets", ST.WATERMARK_SCHEMA, True).orderBy("_ord").collect()
+        assert [(r.creds, r.sheet_name, r.last_processed_date, r._ord) for r in got] == [(None, "a", "20240105", 0), ("k", "b", "2024-01-07", 1)]
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "x.json").write_text("\n".join(json.dumps(r) for r in old["sheets"]) + "\n\n")
+    got = store.read_records(spark, str(lines), "sheets", ST.WATERMARK_SCHEMA, False).collect()
+    assert sorted((r.creds or "", r.sheet_name) for r in got) == [("", "a"), ("k", "b")]
+
+
+def test_damaged_documents_fail(spark, tmp_path):
+    import pytest
+
+    from alloy.sinks import store
+
+    for i, text in enumerate(('{"sheets": [', '{"rows": []}', '{"sheets": [5]}', '{"sheets": {"a": 1}}', '{"errors": [], "x": 1}',
+                              '{"sheets": [{"creds": "k"}, null]}')):
+        path = tmp_path / str(i)
+        path.mkdir()
+        (path / "watermark.json").write_text(text)
+        with pytest.raises(Exception, match="(?i)malformed|document without|no object|cast"):
+            print(store.read_records(spark, str(path / "watermark.json"), "sheets", ST.WATERMARK_SCHEMA, True).collect())
+
+
+def test_document_of_many_records(spark, tmp_path):
+    """No cap: each record is a row of its own till it is written."""
+    from alloy.sinks import store
+
+    path = str(tmp_path / "manifest")
+    rows = spark.range(120_000).selectExpr("concat('s', id) AS sheet_name", "'k' AS creds", "'2024-01-05' AS error_date", "array('a') AS affected_columns",
+                                           "id AS n_rows", "CAST(NULL AS string) AS reported_at", "'p' AS path", "'open' AS status")
+    store.write_document(rows, path, "errors", ["sheet_name"])
+    got = store.read_records(spark, path, "errors", ST.MANIFEST_SCHEMA, True)
+    assert got.agg({"n_rows": "sum"}).first()[0] == 120_000 * 119_999 // 2
+    assert got.filter("_ord = 1").first().sheet_name == "s1"
+
+
 def test_many_sources_plan_alike(spark):
     """The plan holds no literal for each source, so it does not grow with them."""
     from alloy.operators import bronze as B

@@ -53,7 +53,7 @@ def test_later_files_of_a_landing_may_bring_earlier_days(spark):
     _land(spark, landing, [row(6, "2024-01-05")])
     # Parked: the sheet's header comes with the next landing.
     _land(spark, landing, [row(3, "2024-01-07", "t")])
-    results = run_available_now(spark, landing, root, registry, checkpoint)
+    results = run_available_now(spark, landing, root, registry, checkpoint, files_per_batch=1)
     assert len(results) == 3
     assert _bronze(spark, root) == [("s", 3), ("s", 4), ("s", 5), ("s", 6)]
     assert _marks(spark, root) == ["2024-01-20"]
@@ -62,3 +62,35 @@ def test_later_files_of_a_landing_may_bring_earlier_days(spark):
     run_available_now(spark, landing, root, registry, checkpoint)
     assert _bronze(spark, root) == [("s", 3), ("s", 4), ("s", 5), ("s", 6), ("t", 3), ("t", 5)]
     assert _marks(spark, root) == ["2024-01-25"]
+    assert len(store.silver_versions(spark, root)) == 2  # one merge a landing
+    silver = store.read_silver(spark, root, S.SILVER_SCHEMA)
+    assert sorted(r["id_kreator"] for r in silver.select("id_kreator").collect()) == ["ID3", "ID3", "ID4", "ID5", "ID5", "ID6"]
+    assert store.read_state(spark, root, "unmerged", "load_id string").isEmpty()
+
+
+def test_a_landing_that_fails_goes_on_as_one_run(spark, monkeypatch):
+    """The second micro-batch dies: its retry adds what is missing, under the same run."""
+    from alloy.streaming import available_now as AN
+
+    header, row = _case(spark)
+    registry, landing, root, checkpoint = _state(spark)
+    _land(spark, landing, [("s", "k", 2, header), row(3, "2024-01-20")])
+    _land(spark, landing, [row(4, "2024-01-10")])
+    run, calls = AN.run_pipeline, []
+
+    def dies(*args, **kw):
+        calls.append(1)
+        out = run(*args, **kw)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return out
+
+    monkeypatch.setattr(AN, "run_pipeline", dies)
+    with pytest.raises(Exception, match="lost"):
+        run_available_now(spark, landing, root, registry, checkpoint, files_per_batch=1)
+    assert store.silver_versions(spark, root) == []
+    run_available_now(spark, landing, root, registry, checkpoint, files_per_batch=1)
+    assert _bronze(spark, root) == [("s", 3), ("s", 4)]
+    assert store.read_bronze(spark, root, S.BRONZE_SCHEMA).select("run_id").distinct().count() == 1
+    assert store.read_silver(spark, root, S.SILVER_SCHEMA).count() == 2
+    assert _marks(spark, root) == ["2024-01-20"]
