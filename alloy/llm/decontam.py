@@ -46,7 +46,7 @@ from alloy.llm.common import id_text, slices, written
 MAX_EDIT = 0.2
 BLOCK_BYTES = 4 << 20
 #: Characters of a seed at most; of text, and hits, that are looked at at a time.
-_SEED, _CHARS, _HITS = 8, 1 << 19, 1 << 18
+_SEED, _CHARS, _HITS = 8, 1 << 20, 1 << 18
 _STEP = 32
 _NODE = 64  # characters of a node whose distance is taken before the item's
 _PAD = 2 * _NODE
@@ -174,10 +174,12 @@ class Items:
                 n = min(_CHARS, length - size + 1 - low)
                 at = _PAD + low
                 seeds = _seeds(padded[at:at + n + size - 1], size)
+                mixed, at_slot = np.empty(n, dtype=np.uint32), np.empty(n, dtype=np.intp)
                 for beside, (bits, taken, first, count, ids) in tables.items():
-                    slots = _slots(seeds if beside is None else seeds ^ spread[at + beside:at + beside + n], bits)
-                    places = np.flatnonzero(taken[slots])
-                    slots = slots[places]
+                    np.copyto(mixed, seeds) if beside is None else np.bitwise_xor(seeds, spread[at + beside:at + beside + n], out=mixed)
+                    np.copyto(at_slot, _slots(mixed, bits, mixed))
+                    places = np.flatnonzero(taken.take(at_slot, mode="clip"))
+                    slots = at_slot[places]
                     many = count[slots]
                     ends = np.cumsum(many)
                     cuts = np.unique(np.searchsorted(ends, np.arange(_HITS, ends[-1], _HITS))) if len(ends) else []
@@ -380,8 +382,9 @@ def _spread(pair: np.ndarray) -> np.ndarray:
     return pair.astype(np.uint32) * np.uint32(0x85EBCA6B)
 
 
-def _slots(mixed: np.ndarray, bits: np.uint32) -> np.ndarray:
-    return (mixed * np.uint32(0x9E3779B1)) >> (np.uint32(32) - bits)
+def _slots(mixed: np.ndarray, bits: np.uint32, out: np.ndarray | None = None) -> np.ndarray:
+    out = np.multiply(mixed, np.uint32(0x9E3779B1), out=out)
+    return np.right_shift(out, np.uint32(32) - bits, out=out)
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
