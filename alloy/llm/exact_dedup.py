@@ -12,7 +12,9 @@ return) is deleted. The index has one entry for each distinct text, keyed by a
   doubling looks one more key bit at the overfull buckets alone. A bucket at
   ``MAX_DEPTH`` keeps its overflow as a chain.
 * Bucket files are written to the shared folder by ranges of the key, each
-  range owned by one task; every document looks its key up there.
+  range owned by one task. Every document finds its bucket by the directory, at
+  the one depth at which that has its prefix, and its entry in the bucket's chain
+  by key and the SHA-256 of its bytes.
 
 DataFrame functions only; nothing but counts comes to the driver.
 
@@ -35,8 +37,8 @@ from alloy.llm.common import id_text, written
 SPACES = " \t\n\x0b\x0c\r"
 #: Bits of a key that a directory can use.
 MAX_DEPTH = 48
-#: Entries that a bucket holds before it is split.
-CAPACITY = 4096
+#: Entries that a bucket holds before it is split; buckets of a directory that is broadcast.
+CAPACITY, SMALL_DIRECTORY = 4096, 1 << 20
 # rank = code points * 10^20 + (2^63 - doc_id), or - 1 without an id
 _SHIFT, _TOP, _ONE, _NONE = (Decimal(10 ** 20), Decimal(1 << 63), Decimal(1), Decimal(-1))
 
@@ -114,14 +116,27 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, D
     return written(owned.select("depth", "prefix", "key", "text_sha256", "keep_id", "group_size"), "dedup-buckets"), buckets
 
 
+def located(rows: DataFrame, directory: DataFrame) -> DataFrame:
+    """``rows`` (with a key) and the depth and prefix of the bucket that the directory
+    has for each: no two buckets overlap, so one prefix of a key is found."""
+    depths = sorted(r.depth for r in directory.select("depth").distinct().collect())  # MAX_DEPTH + 1 at most
+    if not depths:
+        return rows.withColumn("depth", F.lit(0)).withColumn("prefix", F.lit(0).cast("long")).limit(0)
+    tries = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(F.col("key"), d).alias("prefix")) for d in depths]))
+    known = directory.select("depth", "prefix")
+    if directory.count() <= SMALL_DIRECTORY:
+        known = F.broadcast(known)
+    return rows.withColumn("at", tries).select("*", "at.depth", "at.prefix").drop("at").join(known, ["depth", "prefix"])
+
+
 def mark(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs``.
 
     A row that shares doc_id and text with the row that stays is marked as kept
     as well: nothing tells such rows apart."""
-    index, _ = build_index(docs, capacity)
+    index, directory = build_index(docs, capacity)
     rows = _keyed(docs).select("doc_id", "key", F.sha2(F.encode("norm", "utf-8"), 256).alias("text_sha256"))
-    found = rows.join(index.select("key", "text_sha256", "keep_id", "group_size"), ["key", "text_sha256"])
+    found = located(rows, directory).join(index, ["depth", "prefix", "key", "text_sha256"])
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
@@ -132,10 +147,10 @@ def keep_exact(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     get, and that is written, before the index is built."""
     rows = written(docs.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "dedup-rows")
     numbered = rows.select("n", F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("row.text"), F.lit("")).alias("text"))
-    index, _ = build_index(numbered, capacity)
+    index, directory = build_index(numbered, capacity)
     norm = normalised(F.col("text"))
     keyed = numbered.select("n", "doc_id", F.char_length("text").alias("n_points"), F.xxhash64(norm).alias("key"),
                             F.sha2(F.encode(norm, "utf-8"), 256).alias("text_sha256"))
-    found = keyed.join(index.select("key", "text_sha256", "keep_id"), ["key", "text_sha256"]).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    found = located(keyed, directory).join(index, ["depth", "prefix", "key", "text_sha256"]).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     stays = found.groupBy("key", "text_sha256").agg(F.min_by("n", F.struct(-F.col("n_points"), "n")).alias("n")).select("n")
     return rows.join(stays, "n", "left_semi").select("row.*")
