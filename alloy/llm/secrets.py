@@ -4,9 +4,11 @@ Base rules find assigned secrets, access keys and hex strings. The strings they
 find are the labelled sample of random text; all other text is the sample of
 ordinary identifiers and words. Spark counts character transitions of both over
 all documents (two square tables of ``N_CLASSES`` classes are all that the
-driver sees), and a second pass scores every long token that no base span
-touches: it is reported as ``markov`` if its transitions are likelier under the
-random model by ``min_llr`` nats in all and ``min_per_char`` a character.
+driver sees), and a second pass scores every token of ``MIN_TOKEN`` characters (the
+shortest secret that the base rules know) that does not lie within a base span: it is
+reported as ``markov`` if its transitions are likelier under the random model by
+``min_llr`` nats in all and ``min_per_char`` a character. Where a base span lies within
+a longer token, both are reported.
 
 Defined cases: null or empty text has no spans; a null doc_id stays null; equal
 rows are scanned each for itself; with no base hit anywhere there is no random
@@ -32,8 +34,8 @@ N_CLASSES = 64  # a-z, A-Z, 0-9, other ASCII of tokens, all else
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a maximal run, so a shorter one would have been dropped
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-MIN_TOKEN = 20
+MIN_TOKEN = 12
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
 CUES = ("passw", "secret", "token", "key")
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
@@ -126,7 +128,7 @@ def find_secrets(docs: DataFrame, min_llr: float = 12.0, min_per_char: float = 0
                             s, e = m.span()
                             c = table[np.frombuffer(m[0].encode(), dtype=np.uint8)]
                             llr = float(model[c[:-1], c[1:]].sum())
-                            if llr >= min_llr and llr >= min_per_char * (e - s) and all(b <= s or a >= e for _, a, b in base):
+                            if llr >= min_llr and llr >= min_per_char * (e - s) and not any(a <= s and e <= b for _, a, b in base):
                                 spans.append(("markov", s, e))
                         spans.sort(key=lambda x: (x[1], KINDS.index(x[0])))
                     rows.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])

@@ -91,7 +91,13 @@ def test_markov_adds_random_strings_and_no_words(spark):
     bare = rnd()
     rows += [(900, f"{sentence(30, 77)} {bare} {sentence(30, 78)}", "", "", 0),
              (901, "".join(sentence(12, 79).split()), "", "", 0)]  # a long token of ordinary letters
+    short, around = "a7e3i9o1u5l2n8", "a7e3i9o1z" + "0123456789abcdef" + "zu5l2n8r4"
+    rows += [(902, f"{sentence(30, 80)} {short}", "", "", 0), (903, f"{sentence(30, 81)} {around}", "", "", 0)]
     found = by_id(secrets.find_secrets(odd_docs(spark, rows)))
+    at = len(rows[152][1]) - 14
+    assert [tuple(s) for s in found[902].spans] == [("markov", at, at + 14)]
+    at = len(rows[153][1]) - len(around)
+    assert [tuple(s) for s in found[903].spans] == [("markov", at, at + len(around)), ("hex", at + 9, at + 25)]
     start = rows[150][1].index(bare)
     assert [tuple(s) for s in found[900].spans] == [("markov", start, start + 40)]
     assert found[901].spans == []
