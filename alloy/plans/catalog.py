@@ -190,7 +190,8 @@ def _source(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------
 
 _RAW0 = [O.raw_cte(0)]
-_SNAKE_RAW = ", ".join(["sheet_name", "creds", "row_no"] + [f"{O.q(c)} AS {AF.snake_case(c)}" for c in FX.FIXTURE_COLS])
+_DROPPED = {"GMV LIVE (Rp)": "gmv_live_rp", "Produk yang terjual melalui LIVE": "produk_yang_terjual_melalui_live"}
+_SNAKE_RAW = ", ".join(["sheet_name", "creds", "row_no"] + [f"{O.q(c)} AS {name or _DROPPED[c]}" for c, name, _ in O.COLUMNS])
 
 
 @register("grid_to_frame", O.with_ctes(*_RAW0, select=f"SELECT {_SNAKE_RAW} FROM raw0"))

@@ -7,20 +7,74 @@ ASCII, so whitespace classes here are the ASCII ones.
 
 from __future__ import annotations
 
-from alloy.constants import (
-    BRONZE_DROP_COLS,
-    NUMERIC_COLS,
-    PERCENT_COLS,
-    RAW_HASH_COLS,
-)
-from alloy.functions.text import snake_case
-from alloy.operators.silver import LINEAGE, SILVER_COLS, TEXT, TYPED
-from alloy.sources.fixture import FIXTURE_COLS, RUN_SNAPSHOTS, fixture_sql
+from alloy.sources.fixture import RUN_SNAPSHOTS, fixture_sql
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 WSC = r"\t\n\x0b\f\r "
-CHECKED = list(NUMERIC_COLS) + list(PERCENT_COLS)
-DATA_COLS = list(FIXTURE_COLS)
+
+# What follows is stated here once more, not taken from the engine, so that a mistake in
+# its lists or its renaming shows: header, bronze name ('' if bronze drops it), kind.
+COLUMNS = [
+    ("Tanggal", "tanggal", "date"),
+    ("ID Kreator", "id_kreator", "text"),
+    ("Kreator", "kreator", "text"),
+    ("Nama Panggilan", "nama_panggilan", "text"),
+    ("Toko", "toko", "text"),
+    ("Waktu Live", "waktu_live", "text"),
+    ("Nilai barang dagangan bruto (LIVE) (Rp)", "nilai_barang_dagangan_bruto_live_rp", "number"),
+    ("Produk yang ditambahkan", "produk_yang_ditambahkan", "number"),
+    ("Produk Terjual", "produk_terjual", "number"),
+    ("Pesanan SKU yang dibuat", "pesanan_sku_yang_dibuat", "number"),
+    ("Pesanan SKU (LIVE)", "pesanan_sku_live", "number"),
+    ("Produk yang terjual dari LIVE", "produk_yang_terjual_dari_live", "number"),
+    ("Pembeli", "pembeli", "number"),
+    ("Harga Rata-Rata (Rp)", "harga_ratarata_rp", "number"),
+    ("GMV yang didapat dari LIVE (Rp)", "gmv_yang_didapat_dari_live_rp", "number"),
+    ("Penonton", "penonton", "number"),
+    ("Live Stream Dilihat", "live_stream_dilihat", "number"),
+    ("Durasi menonton rata-rata (Siaran LIVE)", "durasi_menonton_ratarata_siaran_live", "number"),
+    ("Komentar", "komentar", "number"),
+    ("Live Dibagikan", "live_dibagikan", "number"),
+    ("Suka pada LIVE", "suka_pada_live", "number"),
+    ("Pengikut baru (Video kreator)", "pengikut_baru_video_kreator", "number"),
+    ("Produk Dilihat", "produk_dilihat", "number"),
+    ("Klik Produk", "klik_produk", "number"),
+    ("Rasio pesanan per klik (LIVE)", "rasio_pesanan_per_klik_live", "percent"),
+    ("CTR", "ctr", "percent"),
+    ("GMV LIVE (Rp)", "", "text"),
+    ("Produk yang terjual melalui LIVE", "", "text"),
+]
+DATA_COLS = [c for c, _, _ in COLUMNS]
+NUMERIC = [c for c, _, kind in COLUMNS if kind == "number"]
+CHECKED = NUMERIC + [c for c, _, kind in COLUMNS if kind == "percent"]
+RAW_HASH = ["Waktu Live", "Toko", "ID Kreator", "Produk yang ditambahkan", "Produk Dilihat"]
+
+# Silver column, bronze column, kind.
+TEXT = ["toko", "id_kreator", "kreator", "nama_panggilan"]
+TYPED = [
+    ("gmv_bruto_live", "nilai_barang_dagangan_bruto_live_rp", "money"),
+    ("gmv_live", "gmv_yang_didapat_dari_live_rp", "money"),
+    ("produk_ditambahkan", "produk_yang_ditambahkan", "int"),
+    ("produk_terjual", "produk_terjual", "int"),
+    ("pesanan_sku_dibuat", "pesanan_sku_yang_dibuat", "int"),
+    ("pesanan_sku_live", "pesanan_sku_live", "int"),
+    ("produk_terjual_dari_live", "produk_yang_terjual_dari_live", "int"),
+    ("pembeli", "pembeli", "int"),
+    ("harga_rata_rata", "harga_ratarata_rp", "money"),
+    ("cvr_live", "rasio_pesanan_per_klik_live", "ratio"),
+    ("penonton", "penonton", "int"),
+    ("live_stream_dilihat", "live_stream_dilihat", "int"),
+    ("durasi_tonton_rata", "durasi_menonton_ratarata_siaran_live", "int"),
+    ("komentar", "komentar", "int"),
+    ("live_dibagikan", "live_dibagikan", "int"),
+    ("suka_pada_live", "suka_pada_live", "int"),
+    ("follower_baru", "pengikut_baru_video_kreator", "int"),
+    ("produk_dilihat", "produk_dilihat", "int"),
+    ("klik_produk", "klik_produk", "int"),
+    ("ctr_live", "ctr", "ratio"),
+]
+LINEAGE = ["snapshot_ts", "snapshot_date", "run_id", "row_hash_raw"]
+SILVER = ["tanggal", *TEXT, "pukul_live", "waktu_live_time", "sesi_start", *[name for name, _, _ in TYPED], *LINEAGE, "row_hash_clean"]
 
 
 def q(name: str) -> str:
@@ -128,7 +182,7 @@ def flag_cte(run: int) -> str:
     idc = q("ID Kreator")
     blank = " AND ".join(blank_cell(q(c)) for c in DATA_COLS)
     bits = " | ".join(
-        f"(CASE WHEN {numeric_corrupt(q(c)) if i < len(NUMERIC_COLS) else percent_corrupt(q(c))} "
+        f"(CASE WHEN {numeric_corrupt(q(c)) if i < len(NUMERIC) else percent_corrupt(q(c))} "
         f"THEN CAST({1 << i} AS BIGINT) ELSE CAST(0 AS BIGINT) END)"
         for i, c in enumerate(CHECKED)
     )
@@ -147,7 +201,7 @@ def flag_cte(run: int) -> str:
 def valid_cte(run: int) -> str:
     cols = ["sheet_name", "creds", "row_no"]
     for c in DATA_COLS:
-        if c in NUMERIC_COLS:
+        if c in NUMERIC:
             cols.append(f"{number_fill(q(c))} AS {q(c)}")
         elif c == "Tanggal":
             cols.append(f"_parsed AS {q(c)}")
@@ -210,16 +264,13 @@ def bronze_select(src: str, run: int, path: int) -> str:
     """SELECT of bronze rows (before watermark filter and dedup) from valid rows."""
     ts, rid = RUN_SNAPSHOTS[run]
     out = []
-    for c in ["sheet_name", "creds", "row_no"] + DATA_COLS:
-        sn = snake_case(c)
-        if sn in BRONZE_DROP_COLS:
-            continue
-        out.append(f"{q(c)} AS {sn}")
+    for c, name, _ in [(t, t, "") for t in ("sheet_name", "creds", "row_no")] + COLUMNS:
+        if name:
+            out.append(f"{q(c)} AS {name}")
     w = q("Waktu Live")
     hash_parts = []
-    for c in RAW_HASH_COLS:
-        orig = next(x for x in DATA_COLS if snake_case(x) == c)
-        if orig in NUMERIC_COLS:
+    for orig in RAW_HASH:
+        if orig in NUMERIC:
             hash_parts.append(f"coalesce({num_text(q(orig))}, '')")
         else:
             hash_parts.append(canon(q(orig)))
@@ -292,7 +343,7 @@ def silver_source(bronze: str, decimal_comma: bool = False) -> str:
     ] + [(f"CASE WHEN abs({n}) < 1000 THEN CAST(CAST({n} AS DECIMAL(38,12)) AS VARCHAR) WHEN {n} IS NOT NULL THEN "
           f"coalesce(CAST(TRY_CAST({n} AS DECIMAL(38,2)) AS VARCHAR), 'huge') END") if k == "ratio" else f"CAST({n} AS VARCHAR)"
          for n, _, k in TYPED]
-    return (f"SELECT {', '.join(SILVER_COLS[:-1])}, sha256(concat_ws('||', {', '.join(parts)})) AS row_hash_clean "
+    return (f"SELECT {', '.join(SILVER[:-1])}, sha256(concat_ws('||', {', '.join(parts)})) AS row_hash_clean "
             f"FROM (SELECT {', '.join(cols)} FROM ({latest}))")
 
 
@@ -301,10 +352,10 @@ def upsert(target: str, source: str, with_action: bool = False) -> str:
     mk = "coalesce('H' || CAST(pukul_live AS VARCHAR), 'T' || waktu_live_time)"
     keyed = "tanggal IS NOT NULL AND toko IS NOT NULL AND id_kreator IS NOT NULL AND _mk IS NOT NULL"
     take_s = "(s._mk IS NOT NULL AND (t._mk IS NULL OR coalesce(t.row_hash_clean <> s.row_hash_clean, false)))"
-    sel = ", ".join(f"CASE WHEN {take_s} THEN s.{c} ELSE t.{c} END AS {c}" for c in SILVER_COLS)
+    sel = ", ".join(f"CASE WHEN {take_s} THEN s.{c} ELSE t.{c} END AS {c}" for c in SILVER)
     action = (f"CASE WHEN t._mk IS NULL THEN 'insert' WHEN s._mk IS NULL THEN 'retain' "
               f"WHEN {take_s} THEN 'update' ELSE 'keep' END AS _action")
-    cols = ", ".join(SILVER_COLS)
+    cols = ", ".join(SILVER)
     tk = f"(SELECT * FROM (SELECT *, {mk} AS _mk FROM ({target})) WHERE {keyed})"
     sk = f"(SELECT * FROM (SELECT *, {mk} AS _mk FROM ({source})) WHERE {keyed})"
     body = (

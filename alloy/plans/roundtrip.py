@@ -250,6 +250,28 @@ def manifest_document_roundtrip(spark, sf_dir):
     return _entries_out(store.read_state(spark, root, "manifest", ST.MANIFEST_SCHEMA))
 
 
+@register("watermark_sorted", O.with_ctes(*_ALL, select=(
+    "SELECT creds, last_processed_date, row_number() OVER (ORDER BY creds) - 1 AS position FROM maxd1")))
+def watermark_sorted(spark, sf_dir):
+    """The watermark records as they stand in the document: sorted by source."""
+    sc = scenario(spark, sf_dir)
+    path = scratch_path(spark, "watermark-sorted")
+    store.write_document(sc.wm_records1, path, "sheets", ["creds"])
+    found = store.read_records(spark, path, "sheets", ST.WATERMARK_SCHEMA, True)
+    return found.select("creds", "last_processed_date", F.col("_ord").cast("bigint").alias("position"))
+
+
+@register("run_ids", O.with_ctes(*_ALL0, O.raw_cte(1), O.flag_cte(1), O.valid_cte(1), f"pre1 AS ({O.bronze_select('valid1', 1, 0)})", select=(
+    "SELECT count(*) AS n_rows, 1 AS n_ids, true AS is_uuid FROM pre0 UNION ALL SELECT count(*), 1, true FROM pre1")))
+def run_ids(spark, sf_dir):
+    """Two runs with ids of their own: every row of a run has its id, and the ids differ."""
+    sc = scenario(spark, sf_dir)
+    runs = [B.build_bronze(V.valid_rows(V.flag(V.filter_creator_id(raw))), B.RunInfo.now())[0] for raw in (sc.raw0, sc.raw1)]
+    rows = runs[0].select("run_id").unionByName(runs[1].select("run_id"))
+    uuid = F.col("run_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return rows.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(1).alias("n_ids"), F.bool_and(uuid).alias("is_uuid")).drop("run_id")
+
+
 @register("stream_available_now", _SILVER_TWO_RUNS)
 def stream_available_now(spark, sf_dir):
     """Both runs landed as files, one after the other, each consumed by an availableNow
@@ -357,16 +379,13 @@ def bronze_new_column(spark, sf_dir):
     return S.upsert(silver, both)
 
 
-@register("grid_headers_apart", O.with_ctes(O.raw_cte(0), select=(
-    f"SELECT sheet_name, creds, row_no, {O.q('Nama Panggilan')} AS nama_panggilan, {O.q('Komentar')} AS komentar FROM raw0")))
+@register("grid_headers_apart", O.with_ctes(O.raw_cte(0), select=f"SELECT {_SNAKE_RAW} FROM raw0"))
 def grid_headers_apart(spark, sf_dir):
     """Headers landed before and apart from their rows: no cell is lost."""
     grid = FX.landed_grid(spark, sf_dir, 0)
     before = G.headers_of(grid.filter(F.col("row_no") <= 2))
     rows = grid.filter(F.col("row_no") > 2)
-    raw = G.grid_to_frame(rows, G.known_headers(before, rows), FX.FIXTURE_COLS)
-    return raw.select("sheet_name", "creds", "row_no", F.col("`Nama Panggilan`").alias("nama_panggilan"),
-                      F.col("Komentar").alias("komentar"))
+    return B.snake_rename(G.grid_to_frame(rows, G.known_headers(before, rows), FX.FIXTURE_COLS))
 
 
 @register("sheet_source_scan", O.with_ctes(O.raw_cte(0), select=f"SELECT {_SNAKE_RAW} FROM raw0"))

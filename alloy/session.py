@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # The JVM does not compile methods above this size; Spark then splits the row's code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
