@@ -102,4 +102,4 @@ def canonical_number_text(col: Column | str) -> Column:
     whole column happened to be integral; a fixed canonical form replaces it.
     """
     s = _c(col).cast(MONEY).cast("string")
-    return F.when(s.contains("."), F.regexp_replace(s, r"\.?0+$", "")).otherwise(s)
+    return F.when(s.contains("."), F.rtrim(F.rtrim(s, F.lit("0")), F.lit("."))).otherwise(s)

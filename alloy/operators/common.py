@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from alloy.session import scratch_path
 
@@ -12,6 +12,13 @@ from alloy.session import scratch_path
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """A frame without rows that the optimizer knows to be empty: a join with it is
+    planned away, where an empty RDD would still shuffle the other side."""
+    fields = spark.createDataFrame([], schema).schema.fields
+    return spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (file sizes for scans, an upper bound
     carried through filters and aggregates); no job is run."""

@@ -25,6 +25,7 @@ from alloy.functions import (
     time_from_hour,
     upper_trim,
 )
+from alloy.operators.common import empty
 
 MONEY = "decimal(38,9)"
 
@@ -253,4 +254,4 @@ BRONZE_SCHEMA = (
 
 def empty_silver(spark) -> DataFrame:
     """Empty target with the fixed 33-column silver schema."""
-    return spark.createDataFrame([], SILVER_SCHEMA)
+    return empty(spark, SILVER_SCHEMA)

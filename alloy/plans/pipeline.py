@@ -20,7 +20,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alloy.constants import NUMERIC_COLS, PERCENT_COLS
 from alloy.operators import bronze as B
@@ -186,7 +186,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         store.write_bronze(bronze, root, run, bronze_mode)
         lap("bronze_write")
         if merge:
-            silver_version = merge_silver(spark, root, bronze, incremental_silver, decimal_comma, silver_layout, split_sessions_by_time, null_safe_keys)
+            silver_version = merge_silver(spark, root, bronze, incremental_silver, decimal_comma, silver_layout, split_sessions_by_time, null_safe_keys,
+                                          own=store.of_run(run))
             lap("silver_merge")
 
     # The manifest is written only when its content changed (ignoring the
@@ -220,14 +221,22 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
 
 
 def merge_silver(spark: SparkSession, root: str, new_rows: DataFrame, incremental_silver: bool = True, decimal_comma: bool = False,
-                 silver_layout: str = "snapshot", split_sessions_by_time: bool = False, null_safe_keys: bool = False, in_parts: bool = False) -> int:
+                 silver_layout: str = "snapshot", split_sessions_by_time: bool = False, null_safe_keys: bool = False, in_parts: bool = False,
+                 own: Column | None = None) -> int:
     """MERGE bronze into silver after ``new_rows`` were added to it; the options are
     those of ``run_pipeline``. ``in_parts``: runs came in several loads, each with
-    its own first rows per hash, of which the run's first is taken here."""
+    its own first rows per hash, of which the run's first is taken here. ``own``: a
+    condition on bronze's partition columns by which just ``new_rows`` are read; then
+    only the earlier rows of their days are looked up."""
     all_bronze = store.read_bronze(spark, root, S.BRONZE_SCHEMA)
     if incremental_silver:
         # A session lies on one day: no other day's bronze is read.
-        all_bronze = S.restrict_to_sessions(store.of_days(all_bronze, store.distinct_days(new_rows, "tanggal")), new_rows)
+        all_bronze = store.of_days(all_bronze, store.distinct_days(new_rows, "tanggal"))
+        if own is None:
+            all_bronze = S.restrict_to_sessions(all_bronze, new_rows)
+        else:
+            own = F.coalesce(own, F.lit(False))  # a partition without a name is looked up
+            all_bronze = all_bronze.filter(own).unionByName(S.restrict_to_sessions(all_bronze.filter(~own), new_rows))
     all_bronze = all_bronze.drop(*store.BRONZE_PARTITIONS)
     if in_parts:
         all_bronze = B.dedup_first(all_bronze, ("run_id", "row_hash_raw"))

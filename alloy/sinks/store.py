@@ -26,10 +26,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from alloy.constants import WHITESPACE
 from alloy.operators.bronze import RunInfo
+from alloy.operators.common import empty
 
 
 def _fs(spark: SparkSession, path: str):
@@ -124,6 +125,11 @@ def read_bronze(spark: SparkSession, root: str, schema: str | None = None) -> Da
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def of_run(run: RunInfo) -> Column:
+    """The condition on the partition columns of the rows that ``run`` wrote."""
+    return (F.col("date") == run.today_key) & (F.col("run_key") == run.run_key) & (F.col("load_id") == run.load_id)
+
+
 def of_days(table: DataFrame, days: list, column: str = "day") -> DataFrame:
     """``table`` on ``days`` (dates, or None for rows without one): a filter on the
     partition column, so that no other day's file is read."""
@@ -173,7 +179,7 @@ def silver_versions(spark: SparkSession, root: str) -> list[int]:
 def read_silver(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """Newest committed silver snapshot, or an empty table of ``schema``."""
     path = _newest(spark, f"{root}/silver")
-    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if path else empty(spark, schema)
 
 
 def write_silver(df: DataFrame, root: str, spark: SparkSession) -> int:
@@ -315,7 +321,7 @@ def read_silver_by_day(spark: SparkSession, root: str, schema: str, days: list |
     known = day_list(spark, root)
     folders = [_day_folder(root, d, v) for d, v in known.items() if days is None or d in days]
     if not folders:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     return spark.read.schema(f"{schema}, v string").option("basePath", f"{root}/silver_days").parquet(*sorted(folders)).drop("v")
 
 

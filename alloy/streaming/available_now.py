@@ -101,9 +101,10 @@ def finish_landing(spark: SparkSession, root: str, registry: DataFrame, watermar
     bronze = store.read_bronze(spark, root, S.BRONZE_SCHEMA) if loads else None
     if bronze is not None:
         known = {k: v for k, v in options.items() if k in MERGE_OPTIONS}
-        new_rows = bronze.filter(F.col("load_id").isin(loads))
+        own = F.col("load_id").isin(loads)
+        new_rows = bronze.filter(own)
         if not new_rows.isEmpty():
-            merge_silver(spark, root, new_rows, in_parts=True, **known)
+            merge_silver(spark, root, new_rows, in_parts=True, own=own, **known)
     if loads:
         store.write_state(spark.createDataFrame([], LOADS_SCHEMA), root, "unmerged")
     run = store.read_state(spark, root, "landing", LANDING_SCHEMA).first()
