@@ -17,7 +17,8 @@ import numpy as np
 DIMS = 1 << 18
 STEMS = (4, 5, 6)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-_CACHE_TOKENS = 400_000
+#: Tokens whose cells a worker keeps; the memory stays with the worker when it is idle.
+_CACHE_TOKENS = 100_000
 
 
 class Cells(dict):

@@ -61,7 +61,8 @@ SKETCH, MAX_SKETCH = 1024, 171
 #: Members of a bucket that one task holds against each other.
 BLOCK = 1024
 BITS = [f"bits_{i}" for i in range(LONGS)]
-_WORDS = 400_000
+#: Words whose hashes a worker keeps: what it took stays with the idle worker, beside the JVM.
+_WORDS = 100_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
