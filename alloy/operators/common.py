@@ -42,7 +42,7 @@ def measured(df: DataFrame, name: str) -> DataFrame:
     join that reads it is planned (an estimate of a derived table is that of
     its inputs, and the large side would be shuffled for nothing)."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -120,9 +120,17 @@ class Scenario:
     @cached_property
     def s1(self) -> Stages:
         empty_manifest = self.spark.createDataFrame([], ST.MANIFEST_SCHEMA)
-        st = plan_run(self.raw1, self.run1, None, empty_manifest, _qpath(self.run1), persist="checkpoint")
-        st.bronze = cut(st.bronze, "checkpoint")
-        return st
+        return plan_run(self.raw1, self.run1, None, empty_manifest, _qpath(self.run1), persist="checkpoint")
+
+    # Bronze is kept apart from its run: queries about rows, state or marks read none.
+
+    @cached_property
+    def bronze1(self) -> DataFrame:
+        return cut(self.s1.bronze, "checkpoint")
+
+    @cached_property
+    def bronze2(self) -> DataFrame:
+        return cut(self.s2.bronze, "checkpoint")
 
     @cached_property
     def wm_records1(self) -> DataFrame:
@@ -135,20 +143,18 @@ class Scenario:
 
     @cached_property
     def s2(self) -> Stages:
-        st = plan_run(self.raw2, self.run2, self.watermarks2, self.s1.remaining, _qpath(self.run2),
-                      persist="checkpoint")
-        st.bronze = cut(st.bronze, "checkpoint")
-        return st
+        return plan_run(self.raw2, self.run2, self.watermarks2, self.s1.remaining, _qpath(self.run2),
+                        persist="checkpoint")
 
     @cached_property
     def source1(self) -> DataFrame:
         """Merge source over run 1's bronze."""
-        return cut(_source(self.s1.bronze), "checkpoint")
+        return cut(_source(self.bronze1), "checkpoint")
 
     @cached_property
     def source12(self) -> DataFrame:
         """Merge source over the whole bronze table after run 2."""
-        return cut(_source(self.s1.bronze.unionByName(self.s2.bronze)), "checkpoint")
+        return cut(_source(self.bronze1.unionByName(self.bronze2)), "checkpoint")
 
     @cached_property
     def silver1(self) -> DataFrame:
@@ -546,7 +552,7 @@ def affected_dates_list(spark, sf_dir):
 
 @register("bronze_two_paths", O.with_ctes(*_ALL, select=f"SELECT {_BRONZE_COLS} FROM bronze2"))
 def bronze_two_paths(spark, sf_dir):
-    return scenario(spark, sf_dir).s2.bronze.select(*_BRONZE_COLS.split(", "))
+    return scenario(spark, sf_dir).bronze2.select(*_BRONZE_COLS.split(", "))
 
 
 @register("watermark_advance_run2", O.with_ctes(*_ALL, select="SELECT * FROM maxd2"))
@@ -651,7 +657,7 @@ _OLD_RECORDS_SQL = (
 
 
 def _old_records(sc: Scenario) -> DataFrame:
-    b = sc.s1.bronze
+    b = sc.bronze1
     g = b.groupBy("sheet_name", "creds").agg(F.max(F.col("tanggal").cast("date")).alias("d"))
     return g.select(
         F.when(F.col("sheet_name").isin("sheet_3", "sheet_4"), F.lit(None).cast("string"))
@@ -734,7 +740,7 @@ _SILVER = ", ".join(S.SILVER_COLS)
     "FROM (SELECT * FROM bronze1 UNION ALL SELECT * FROM bronze2)) WHERE _rn = 1")))
 def latest_session(spark, sf_dir):
     sc = scenario(spark, sf_dir)
-    both = sc.s1.bronze.unionByName(sc.s2.bronze)
+    both = sc.bronze1.unionByName(sc.bronze2)
     return S.latest_per_session(both).select("sheet_name", "row_no", "run_id", "row_hash_raw")
 
 
@@ -833,7 +839,7 @@ def merge_full_reload(spark, sf_dir):
     run 1's silver: changed values of older sessions become updates."""
     sc = scenario(spark, sf_dir)
     full2, _ = B.build_bronze(sc.s2.valid, sc.run2, None)
-    source = _source(sc.s1.bronze.unionByName(B.dedup_first(full2)))
+    source = _source(sc.bronze1.unionByName(B.dedup_first(full2)))
     return (S.upsert(sc.silver1, source, with_action=True)
             .groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n_rows")))
 

@@ -59,6 +59,7 @@ class Stages:
     counts: DataFrame
     recovered: DataFrame
     regular: DataFrame
+    loaded: DataFrame
     bronze: DataFrame
     max_dates: DataFrame
 
@@ -107,8 +108,7 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
         remaining = current
         resolved = flagged.sparkSession.createDataFrame([], ST.MANIFEST_SCHEMA)
         recovered, regular = valid.limit(0), valid
-        b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0, by_day=watermark_by_day)
-        bronze = B.dedup_first(b_reg)
+        loaded, max_dates = B.build_bronze(regular, run, watermarks, path=0, by_day=watermark_by_day)
     else:
         remaining, resolved = ST.reconcile(previous_manifest, current, counts)
         # Small (one row per failing key) and read by several actions.
@@ -116,9 +116,9 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
         recovered, regular = ST.split_recovered(valid, resolved, counts)
         b_reg, max_dates = B.build_bronze(regular, run, watermarks, path=0, by_day=watermark_by_day)
         b_rec, _ = B.build_bronze(recovered, run, None, path=1)
-        bronze = B.dedup_first(b_reg.unionByName(b_rec, allowMissingColumns=True))
+        loaded = b_reg.unionByName(b_rec, allowMissingColumns=True)
     return Stages(flagged, valid, errors, rep, affected, current, remaining, resolved, counts,
-                  recovered, regular, bronze, max_dates)
+                  recovered, regular, loaded, B.dedup_first(loaded), max_dates)
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo, registry: DataFrame,
@@ -178,14 +178,15 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
         store.write_quarantine(st.errors, root, run, check_empty=False)
     lap("quarantine")
 
-    bronze, counted = cut_with(st.bronze, keep, [F.count(F.lit(1)).alias("n")])
-    n_bronze = counted["n"]
-    lap("bronze_build")
+    # First rows are picked from rows, so there are some if there is a row to load; the
+    # picked ones go to the table at once and are read back from it.
+    n_bronze = 0
     silver_version = None
-    if n_bronze:
-        store.write_bronze(bronze, root, run, bronze_mode)
+    if not st.loaded.isEmpty():
+        n_bronze = store.write_bronze(st.bronze, root, run, bronze_mode)
         lap("bronze_write")
         if merge:
+            bronze = store.read_bronze(spark, root, S.BRONZE_SCHEMA).filter(store.of_run(run))
             silver_version = merge_silver(spark, root, bronze, incremental_silver, decimal_comma, silver_layout, split_sessions_by_time, null_safe_keys,
                                           own=store.of_run(run))
             lap("silver_merge")
@@ -215,7 +216,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo,
 
     result = RunResult(st.report_row, recovery, n_bronze, silver_version, manifest_written,
                      watermark_written, st.affected, V.sorted_dates(st.flagged).first()["affected_dates"], timings)
-    for df in (bronze, st.counts, st.flagged, st.remaining, st.resolved):
+    for df in (st.counts, st.flagged, st.remaining, st.resolved):
         df.unpersist()
     return result
 

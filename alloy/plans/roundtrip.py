@@ -335,11 +335,11 @@ def bronze_append_modes(spark, sf_dir):
     out = None
     for mode in store.MODES:
         root = scratch_path(spark, f"bronze-{mode}")
-        store.write_bronze(sc.s1.bronze, root, sc.run1, mode)
+        store.write_bronze(sc.bronze1, root, sc.run1, mode)
         if mode == "append":
-            store.write_bronze(sc.s1.bronze, root, sc.run1, mode)
+            store.write_bronze(sc.bronze1, root, sc.run1, mode)
         try:
-            store.write_bronze(sc.s2.bronze, root, sc.run2, mode)
+            store.write_bronze(sc.bronze2, root, sc.run2, mode)
         except AnalysisException:
             if mode != "fail":
                 raise
@@ -370,11 +370,11 @@ def bronze_new_column(spark, sf_dir):
     """A column that only the second run brings: silver has it."""
     sc = scenario(spark, sf_dir)
     root = scratch_path(spark, "new-column")
-    store.write_bronze(sc.s1.bronze.drop("nama_panggilan"), root, sc.run1)
+    store.write_bronze(sc.bronze1.drop("nama_panggilan"), root, sc.run1)
     first = _source(store.read_bronze(spark, root, S.BRONZE_SCHEMA).drop(*store.BRONZE_PARTITIONS))
     # Kept before the table grows: Spark takes two scans of one path for the same.
     silver = cut(S.upsert(S.empty_silver(spark), first), "checkpoint")
-    store.write_bronze(sc.s2.bronze, root, sc.run2)
+    store.write_bronze(sc.bronze2, root, sc.run2)
     both = _source(store.read_bronze(spark, root, S.BRONZE_SCHEMA).drop(*store.BRONZE_PARTITIONS))
     return S.upsert(silver, both)
 

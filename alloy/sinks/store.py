@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from alloy.constants import WHITESPACE
 from alloy.operators.bronze import RunInfo
@@ -91,20 +91,23 @@ def by_session_day(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("day", day).hint("rebalance", "day")
 
 
-def write_bronze(df: DataFrame, root: str, run: RunInfo, mode: str = "append") -> None:
+def write_bronze(df: DataFrame, root: str, run: RunInfo, mode: str = "append") -> int:
     """This run's bronze rows: ``append`` them (a retry of the run replaces what
-    it wrote before), ``replace`` the table by them, or ``fail`` if it exists."""
+    it wrote before), ``replace`` the table by them, or ``fail`` if it exists. Their
+    number, counted while they are written."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    df = by_session_day(df)
+    seen = Observation()
+    df = by_session_day(df).observe(seen, F.count(F.lit(1)).alias("n"))
     if mode == "append":
         # A retry may find fewer days than the run's first attempt, so the run's folder goes as a whole.
         _remove(df.sparkSession, f"{root}/bronze/date={run.today_key}/run_key={run.run_key}/load_id={run.load_id}")
         _write_by_run(df, f"{root}/bronze", run, BRONZE_PARTITIONS)
-        return
+        return seen.get["n"]
     (_with_run_keys(df, run).write.mode("overwrite" if mode == "replace" else "errorifexists")
      .option("partitionOverwriteMode", "static")
      .partitionBy(*BRONZE_PARTITIONS).parquet(f"{root}/bronze"))
+    return seen.get["n"]
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -312,13 +312,26 @@ def sheet_headers() -> dict[str, list[str]]:
 _JUNK = {"sheet_1": "dup", "sheet_2": "x"}
 
 
+#: Rows of a landed file, at most and (of small tables) at least.
+FILE_ROWS, LEAST_ROWS = 250_000, 5_000
+
+
+def dealt(events: DataFrame) -> DataFrame:
+    """The events in even ranges of their ids. Spark splits a Parquet file at its row
+    groups, of which a table of millions of rows may have one or two: the sheet's many
+    text columns would be made, and later be read, by as many tasks."""
+    n = events.count()
+    parts = max(2 * events.sparkSession.sparkContext.defaultParallelism, -(-n // FILE_ROWS))
+    return events.repartitionByRange(max(1, min(parts, n // LEAST_ROWS)), "event_id", "ts")
+
+
 def raw_grid(events: DataFrame, run: int = 1) -> DataFrame:
     """Landed grid form ``(sheet_name, creds, row_no, cells)`` of a run.
 
     Rows 0-1 are title rows, row 2 the header, data from row 3 (``row_no`` of a
     data row is ``event_id + 3``).
     """
-    flat = raw_sheet(events, run)
+    flat = raw_sheet(dealt(events), run)
     headers = sheet_headers()
     case = F.lit(None).cast("array<string>")
     branches = None
@@ -337,7 +350,7 @@ def raw_grid(events: DataFrame, run: int = 1) -> DataFrame:
         arr = F.array(*[F.lit(h) for h in hdr])
         cond = F.col("sheet_name") == F.lit(sheet)
         hdr_case = F.when(cond, arr) if hdr_case is None else hdr_case.when(cond, arr)
-    sheets = flat.select("sheet_name", "creds").distinct()
+    sheets = raw_sheet(events, run).select("sheet_name", "creds").distinct().coalesce(1)
     top = sheets.withColumn("row_no", F.explode(F.array(*[F.lit(i) for i in range(FIRST_DATA_ROW)]))).select(
         "sheet_name", "creds", F.col("row_no").cast("bigint").alias("row_no"),
         F.when(F.col("row_no") == HEADER_ROW, hdr_case)
@@ -376,11 +389,8 @@ def landed_grid(spark: SparkSession, sf_dir: str, run: int = 1) -> DataFrame:
     path = _LANDED.get(key)
     if path is None or not exists(spark, path):
         path = scratch_path(spark, f"landed-grid-run{run}")
-        # Land as several files (like many uploads), so reads are parallel.
-        n = max(2 * spark.sparkContext.defaultParallelism, 2)
-        (raw_grid(load_events(spark, sf_dir), run)
-         .coalesce(n)
-         .write.parquet(path))
+        # Lands as several files of one size (like many uploads), so reads are parallel.
+        raw_grid(load_events(spark, sf_dir), run).write.option("compression", "zstd").parquet(path)
         _LANDED[key] = path
     return spark.read.schema(GRID_SCHEMA).parquet(path)
 

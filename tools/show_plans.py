@@ -28,7 +28,7 @@ def main() -> None:
         "validation report over the flagged frame": V.report(V.flag(V.filter_creator_id(FX.landed_sheet(spark, sf, 1)))),
         "bronze build with watermark filter (run 2)": B.build_bronze(sc.s2.regular, sc.run2, sc.watermarks2)[0],
         "bronze dedup (first row per raw hash)": B.dedup_first(B.build_bronze(sc.s1.valid, sc.run1, None)[0]),
-        "latest per session over all bronze": S.latest_per_session(sc.s1.bronze.unionByName(sc.s2.bronze)),
+        "latest per session over all bronze": S.latest_per_session(sc.bronze1.unionByName(sc.bronze2)),
         "silver MERGE (run-1 silver + source of both runs)": S.upsert(sc.silver1, sc.source12),
     }
     for name, df in stages.items():
