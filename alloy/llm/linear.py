@@ -18,27 +18,39 @@ DIMS = 1 << 18
 STEMS = (4, 5, 6)
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 #: Tokens whose cells a worker keeps; the memory stays with the worker when it is idle.
-_CACHE_TOKENS = 100_000
+#: Of cells with a weight most tokens have none, so that more are kept.
+_CACHE_TOKENS, _CACHE_WEIGHED = 100_000, 300_000
+
+
+def _shape(c: str) -> str:
+    return "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+
+
+_SHAPES = {i: _shape(chr(i)) for i in range(128)}
 
 
 class Cells(dict):
-    """raw token -> cells of its word and, if asked for, of its shape. Memory is
+    """raw token -> cells of its word and, if asked for, of its shape; with ``weights``
+    only those whose weight is not zero, which are all that a margin needs. Memory is
     bounded: the cache starts again when it is full."""
 
-    def __init__(self, shapes: bool):
+    def __init__(self, shapes: bool, weights: np.ndarray | None = None):
         super().__init__()
         self.shapes = shapes
+        self.counts = None if weights is None else (weights[:DIMS] != 0).tobytes()
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        if len(self) >= _CACHE_TOKENS:
+        if len(self) >= (_CACHE_TOKENS if self.counts is None else _CACHE_WEIGHED):
             self.clear()
         word = _EDGE.sub("", token.lower())
         parts = [word] + [f"{n} {word[:n]}" for n in STEMS if len(word) > n] if word else []
         cells = tuple(zlib.crc32(x.encode()) % DIMS for x in parts)
         if self.shapes:
-            shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
+            shape = token.translate(_SHAPES) if token.isascii() else "".join(map(_shape, token))
             shape = re.sub(r"(.)\1+", r"\1\1", shape)
             cells += (zlib.crc32(("shape " + shape).encode()) % DIMS,)
+        if self.counts is not None:
+            cells = tuple([c for c in cells if self.counts[c]])
         self[token] = cells
         return cells
 

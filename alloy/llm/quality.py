@@ -149,7 +149,7 @@ def score_quality(docs: DataFrame, threshold: float = 0.5, max_sample: int = MAX
     posterior, w = fit_quality(docs, max_sample)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds, known = _byte_kinds(), linear.Cells(True)
+        kinds, known = _byte_kinds(), linear.Cells(True, w)
         for batch in batches:
             for part in slices(batch):
                 texts = part.column(1).to_pylist()

@@ -4,6 +4,7 @@ import os
 import sys
 
 import numpy as np
+import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 from helpers import no_docs, odd_docs, odd_rows, sentence  # noqa: E402
@@ -107,3 +108,19 @@ def test_a_shape_is_of_the_whole_token():
     start = "aB3-" * 16
     assert cells[start + "xxxx"][-1] != cells[start + "7777"][-1]
     assert cells[start + "xxxx"][-1] == cells[start + "yyyyyyy"][-1]
+
+
+def test_scorer_keeps_only_cells_with_a_weight():
+    """The margin is that of all cells; a token without any keeps no cell, so that more tokens fit."""
+    w = np.zeros(linear.DIMS + 1)
+    every = linear.Cells(True)
+    text = "The Quick brown fox-trot 12,5% naïve ÉCOLE !!! running runner " * 2
+    w[every.of("Quick running")] = np.arange(1, 1 + len(every.of("Quick running"))) / 8
+    known = linear.Cells(True, w)
+    assert linear.margin(w, known.of(text)) == pytest.approx(linear.margin(w, every.of(text)), abs=1e-12)
+    assert len(known.of(text)) == np.count_nonzero(w[every.of(text)]) < len(every.of(text))
+    assert known["zzz,"] == () and every["zzz,"] != ()
+    tokens = [f"w{i}" for i in range(150_000)]
+    for t in tokens:
+        known[t]
+    assert len(known) > 150_000
