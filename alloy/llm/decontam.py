@@ -45,8 +45,9 @@ from alloy.llm.common import id_text, slices, written
 
 MAX_EDIT = 0.2
 BLOCK_BYTES = 4 << 20
-#: Characters of a seed at most; of text, and hits, that are looked at at a time.
-_SEED, _CHARS, _HITS = 8, 1 << 20, 1 << 18
+#: Characters of a seed at most; of text, and hits, that are looked at at a time: their
+#: arrays stay within a core's cache.
+_SEED, _CHARS, _HITS = 8, 1 << 17, 1 << 17
 _STEP = 32
 _NODE = 64  # characters of a node whose distance is taken before the item's
 _PAD = 2 * _NODE
@@ -155,38 +156,39 @@ class Items:
             bits = np.uint32(min(20, max(12, len(which).bit_length() + 5)))
             slots = _slots(mixed, bits)
             order = np.argsort(slots, kind="stable")
-            count = np.bincount(slots, minlength=1 << int(bits)).astype(np.int32)
-            out[place] = bits, count > 0, np.cumsum(count, dtype=np.int32) - count, count, which[order]
+            count = np.bincount(slots, minlength=1 << int(bits))
+            out[place] = bits, count > 0, np.concatenate(([0], np.cumsum(count))).astype(np.int32), which[order]
         return out
 
     def classes_of(self, text: str) -> np.ndarray:
         codes = _codes(text)
         return np.concatenate([self.classes[codes[i:i + _CHARS]] for i in range(0, max(1, len(codes)), _CHARS)])
 
-    def hits(self, padded: np.ndarray, two: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(places, leaves) of the leaves found in a text (``padded`` classes, their
-        pairs), in runs; those whose other half is out of reach by every pair that it
-        could show are left out here, before they are counted out one by one."""
+    def hits(self, here: np.ndarray, two: np.ndarray, left: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, leaves) of the leaves found in a piece of text (``here``: its classes
+        between pads, their pairs; ``left``: characters from its start to the text's end);
+        those whose other half is out of reach by every pair that it could show are left
+        out here, before they are counted out one by one."""
         spread = _spread(two)
-        length = len(padded) - 3 * _PAD
         for size, tables in self.tables.items():
-            for low in range(0, length - size + 1, _CHARS):
-                n = min(_CHARS, length - size + 1 - low)
-                at = _PAD + low
-                seeds = _seeds(padded[at:at + n + size - 1], size)
-                mixed, at_slot = np.empty(n, dtype=np.uint32), np.empty(n, dtype=np.intp)
-                for beside, (bits, taken, first, count, ids) in tables.items():
-                    np.copyto(mixed, seeds) if beside is None else np.bitwise_xor(seeds, spread[at + beside:at + beside + n], out=mixed)
-                    np.copyto(at_slot, _slots(mixed, bits, mixed))
-                    places = np.flatnonzero(taken.take(at_slot, mode="clip"))
-                    slots = at_slot[places]
-                    many = count[slots]
-                    ends = np.cumsum(many)
-                    cuts = np.unique(np.searchsorted(ends, np.arange(_HITS, ends[-1], _HITS))) if len(ends) else []
-                    for here in np.split(np.arange(len(places)), cuts) if len(cuts) else [slice(None)]:
-                        n_here = many[here]
-                        entry = np.repeat(first[slots[here]] - np.cumsum(n_here) + n_here, n_here) + np.arange(n_here.sum())
-                        yield np.repeat(places[here] + low, n_here), ids[entry]
+            n = min(_CHARS, left - size + 1)
+            if n <= 0:
+                continue
+            seeds = _seeds(here[_PAD:_PAD + n + size - 1], size)
+            mixed, at_slot = np.empty(n, dtype=np.uint32), np.empty(n, dtype=np.intp)
+            for beside, (bits, taken, first, ids) in tables.items():
+                np.copyto(mixed, seeds) if beside is None else np.bitwise_xor(seeds, spread[_PAD + beside:_PAD + beside + n], out=mixed)
+                np.copyto(at_slot, _slots(mixed, bits, mixed))
+                places = np.flatnonzero(taken.take(at_slot, mode="clip"))
+                slots = at_slot[places]
+                start = first[slots]
+                many = first[slots + 1] - start
+                ends = np.cumsum(many)
+                cuts = np.unique(np.searchsorted(ends, np.arange(_HITS, ends[-1], _HITS))) if len(ends) else []
+                for part in np.split(np.arange(len(places)), cuts) if len(cuts) else [slice(None)]:
+                    n_here = many[part]
+                    entry = np.repeat(start[part] - np.cumsum(n_here) + n_here, n_here) + np.arange(n_here.sum())
+                    yield np.repeat(places[part], n_here), ids[entry]
 
     def beside(self) -> tuple[np.ndarray, ...]:
         """Of each leaf, its other half as read away from the leaf: direction, place of
@@ -197,10 +199,11 @@ class Items:
         right = at == node
         side = np.where(right, 1, -1)
         first = np.where(right, stop - start, -1)
-        short = (size == 0) | (np.where(right, node + size - at - first, at - node) < 4)
+        short = (size == 0) | (stop - start > _NODE) | (np.where(right, node + size - at - first, at - node) < 4)
         read = [self.text[np.clip(at + first + side * x, 0, len(self.text) - 1)] for x in range(4)]
         wide = [x.astype(np.uint16) for x in read]
         near, far = (np.where(right, x << 6 | y, y << 6 | x).astype(np.uint16) for x, y in (wide[:2], wide[2:]))
+        first[short] = 0
         outer = first - (side < 0)  # on the left, a pair's first place is its outer one
         return side, first, outer, near, outer + 2 * side, far, read, short, bool(short.any())
 
@@ -236,7 +239,7 @@ class Items:
         for j in range(_WINDOW - 6):
             c = self.text[np.minimum(begin + j, len(self.text) - 1)]
             sets |= np.where(able & (j < n), np.uint64(1) << c.astype(np.uint64), np.uint64(0))
-        return begin - self.starts[item] - start, sets
+        return np.where(able, begin - self.starts[item] - start, 0), sets
 
     def partner_near(self, windows: np.ndarray, place: np.ndarray, leaf: np.ndarray) -> np.ndarray:
         """Whether no more than three classes of the other half of a leaf's node of three
@@ -289,21 +292,25 @@ class Items:
         """Rows (place of a hit, item, place where it would start) of the leaves whose
         nodes are near; starts are rounded down to ``_STEP`` and given once a run."""
         padded = np.concatenate((np.zeros(_PAD, dtype=np.uint8), text, np.zeros(2 * _PAD, dtype=np.uint8)))
-        two = padded[:-1].astype(np.uint16) << 6 | padded[1:]
-        windows = np.uint64(1) << padded.astype(np.uint64)  # the classes of the next _WINDOW characters
-        width = 1
-        while width < _WINDOW:
-            windows[:-width] |= windows[width:].copy()
-            width *= 2
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for place, leaf in self.hits(padded, two):
-            keep = self.half_near(padded, two, place + _PAD, leaf)
-            place, leaf = place[keep], leaf[keep]
-            keep = self.partner_near(windows, place + _PAD, leaf)
-            held.append((place[keep], leaf[keep]))
-            if sum(len(p) for p, _ in held) >= _HITS // 2:
-                yield from self.checked(padded, held)
-                held = []
+        n_held = 0
+        for low in range(0, len(text), _CHARS):
+            here = padded[low:low + _CHARS + 3 * _PAD]
+            two = here[:-1].astype(np.uint16) << 6 | here[1:]
+            windows = np.uint64(1) << here.astype(np.uint64)  # the classes of the next _WINDOW characters
+            width = 1
+            while width < _WINDOW:
+                windows[:-width] |= windows[width:]
+                width *= 2
+            for place, leaf in joined(self.hits(here, two, len(text) - low)):
+                keep = self.half_near(here, two, place + _PAD, leaf)
+                place, leaf = place[keep], leaf[keep]
+                keep = self.partner_near(windows, place + _PAD, leaf)
+                held.append((place[keep] + low, leaf[keep]))
+                n_held += len(held[-1][0])
+                if n_held >= _HITS:
+                    yield from self.checked(padded, held)
+                    held, n_held = [], 0
         yield from self.checked(padded, held)
 
     def checked(self, padded: np.ndarray, held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
@@ -364,6 +371,19 @@ class Items:
         return best
 
 
+def joined(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The hits in runs of about ``_HITS``."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n >= _HITS:
+            yield np.concatenate([p for p, _ in held]), np.concatenate([x for _, x in held])
+            held, n = [], 0
+    if held:
+        yield np.concatenate([p for p, _ in held]), np.concatenate([x for _, x in held])
+
+
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 

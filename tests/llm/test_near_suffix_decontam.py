@@ -304,3 +304,19 @@ def test_leaks_that_share_no_run_of_words():
     found = {x[:2]: x[2] for x in decontam.Items(items, 0.2).leaks(texts)}
     assert {(0, 1), (1, 1), (1, 4), (2, 2), (3, 3)} <= set(found)
     assert found[1, 4] == found[3, 3] == 0 and found[2, 2] == 1
+
+
+def test_a_short_text_meets_an_item_behind_long_ones():
+    items = [(1, sentence(200, 3)), (2, "qwertyui")]
+    assert decontam.Items(items, 0.2).leaks(["a qwertyui b"]) == [(0, 2, 0, 2, 10)]
+
+
+def test_pieces_of_a_text_lose_no_leak(monkeypatch):
+    items, docs, _ = _leak_case(20)
+    texts = [text for _, text in docs]
+    whole = decontam.Items(items, 0.2).leaks(texts)
+    for chars in (64, 501):
+        monkeypatch.setattr(decontam, "_CHARS", chars)
+        monkeypatch.setattr(decontam, "_HITS", 100)
+        assert decontam.Items(items, 0.2).leaks(texts) == whole
+    assert whole
