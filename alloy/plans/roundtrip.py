@@ -447,7 +447,7 @@ def session_split_by_time(spark, sf_dir):
     sc = scenario(spark, sf_dir)
     times = F.when(F.col("row_no") % 2 == 0, F.lit("9:30")).otherwise(F.lit("09:30"))
     bronze = sc.bronze0.withColumn("waktu_live", times).withColumn("pukul_live", F.lit(None).cast("int"))
-    source = S.silver_source(bronze.drop("path"), split_by_time=True)
+    source = cut(S.silver_source(bronze.drop("path"), split_by_time=True), "checkpoint")  # read six times
     S.require_unique(source)
     once = S.upsert(S.empty_silver(spark), source)
     twice = S.upsert(once, source).filter(F.col("tanggal").isNotNull() & F.col("toko").isNotNull() & F.col("id_kreator").isNotNull())
