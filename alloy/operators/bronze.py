@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from alloy.constants import BRONZE_DROP_COLS, RAW_HASH_COLS
 from alloy.functions import not_blank_or_null, raw_row_hash, session_hour, snake_case_columns
-from alloy.operators.common import measured, small
+from alloy.operators.common import measured, one_per_key, small
 
 TAGS = ("sheet_name", "creds", "row_no")
 
@@ -134,3 +134,8 @@ def dedup_first(df: DataFrame, key=("row_hash_raw",), order=("path", "sheet_name
         F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]),
                  F.struct(*[F.col(f"`{c}`") for c in order_cols])).alias("_r"))
     return picked.select(*[F.col(f"_r.`{c}`").alias(c) if c not in key else F.col(c) for c in df.columns])
+
+
+def first_rows(table: DataFrame, key=("row_hash_raw",)) -> DataFrame:
+    """``dedup_first`` of a table: only rows that share their key are sorted and moved."""
+    return one_per_key(table, [F.col(k) for k in key], lambda rows: dedup_first(rows, key))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -10,6 +11,8 @@ from alloy.session import scratch_path
 
 # Largest estimated size of a side that is broadcast explicitly.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Largest file size of the keys (8 bytes each) that ``one_per_key`` broadcasts.
+SEVERAL_MAX_BYTES = 32 * 1024 * 1024
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -46,6 +49,21 @@ def measured(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_per_key(table: DataFrame, keys: list[Column], pick: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``pick(table)``, which leaves one row per key, of a table that is cheap to scan
+    again. Only rows that share their key go through ``pick``; the others, alone with
+    theirs, are neither sorted nor shuffled. Keys are compared by a 64-bit hash: rows
+    whose hashes meet by chance go through ``pick`` as well. All rows do if too many
+    keys have several rows to be broadcast."""
+    key = F.xxhash64(*keys).alias("_key")
+    several = measured(table.select(key).groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key"), "several")
+    if estimated_bytes(several) > SEVERAL_MAX_BYTES:
+        return pick(table)
+    keyed, several = table.select("*", key), F.broadcast(several)
+    shared = keyed.join(several, "_key", "left_semi").drop("_key")
+    return keyed.join(several, "_key", "left_anti").drop("_key").unionByName(pick(shared))
+
+
 _DATE_LIKE = ("timestamp_ntz", "timestamp", "date")
 
 

@@ -25,7 +25,7 @@ from alloy.functions import (
     time_from_hour,
     upper_trim,
 )
-from alloy.operators.common import empty
+from alloy.operators.common import empty, one_per_key
 
 MONEY = "decimal(38,9)"
 
@@ -91,15 +91,18 @@ def session_keys(df: DataFrame, split_by_time: bool = False) -> list[Column]:
 LATEST_ORDER = ("snapshot_ts", "run_id", "row_hash_raw", "sheet_name", "row_no")
 
 
-def latest_per_session(bronze: DataFrame, order=LATEST_ORDER, split_by_time: bool = False) -> DataFrame:
+def latest_per_session(bronze: DataFrame, order=LATEST_ORDER, split_by_time: bool = False, table: bool = False) -> DataFrame:
     """ROW_NUMBER() = 1 per session ordered by snapshot_ts DESC, run_id DESC.
 
     Rows of one build share snapshot_ts and run_id, so ties are broken by
     row_hash_raw DESC (unique within a run after dedup) and then the source
     position, which makes the pick deterministic. Written as a ``max_by``
     aggregate: partial aggregation keeps a hot session key (e.g. blank shop
-    and creator) from arriving whole at one task.
+    and creator) from arriving whole at one task. Of a ``table``, sessions of one
+    row are taken as they are (``one_per_key``).
     """
+    if table:
+        return one_per_key(bronze, session_keys(bronze, split_by_time), lambda rows: latest_per_session(rows, order, split_by_time))
     cols = bronze.columns
     order_cols = [c for c in order if c in cols]
     keyed = bronze.select("*", *session_keys(bronze, split_by_time))
@@ -157,9 +160,10 @@ def with_clean_hash(t: DataFrame) -> DataFrame:
     return t.withColumn("row_hash_clean", clean_row_hash(parts))
 
 
-def silver_source(bronze: DataFrame, decimal_comma: bool = False, split_by_time: bool = False) -> DataFrame:
-    """Bronze -> merge source S (latest, typed, hashed), in silver column order."""
-    latest = latest_per_session(bronze, split_by_time=split_by_time)
+def silver_source(bronze: DataFrame, decimal_comma: bool = False, split_by_time: bool = False, table: bool = False) -> DataFrame:
+    """Bronze -> merge source S (latest, typed, hashed), in silver column order.
+    ``table``: bronze is one (or several), cheap to scan more than once."""
+    latest = latest_per_session(bronze, split_by_time=split_by_time, table=table)
     return with_clean_hash(typed(latest, decimal_comma)).select(*SILVER_COLS)
 
 

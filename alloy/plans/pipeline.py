@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -46,7 +47,7 @@ class RunResult:
 
 @dataclass
 class Stages:
-    """Lazily planned stages of a run (nothing written)."""
+    """Lazily planned stages of a run (nothing written but what is kept)."""
 
     flagged: DataFrame
     valid: DataFrame
@@ -60,8 +61,14 @@ class Stages:
     recovered: DataFrame
     regular: DataFrame
     loaded: DataFrame
-    bronze: DataFrame
     max_dates: DataFrame
+    how: str | None = None
+
+    @cached_property
+    def bronze(self) -> DataFrame:
+        """First row per raw hash. Queries that read none do not work it out: the rows
+        are kept as a table before, of which only those with copies are moved."""
+        return B.first_rows(cut(self.loaded, self.how)) if self.how == "checkpoint" else B.dedup_first(self.loaded)
 
 
 def affected_list(mask: int, columns: list[str]) -> list[str]:
@@ -118,7 +125,7 @@ def plan_run(raw: DataFrame, run: B.RunInfo, watermarks: DataFrame | None, previ
         b_rec, _ = B.build_bronze(recovered, run, None, path=1)
         loaded = b_reg.unionByName(b_rec, allowMissingColumns=True)
     return Stages(flagged, valid, errors, rep, affected, current, remaining, resolved, counts,
-                  recovered, regular, loaded, B.dedup_first(loaded), max_dates)
+                  recovered, regular, loaded, max_dates, how)
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, run: B.RunInfo, registry: DataFrame,
@@ -237,12 +244,15 @@ def merge_silver(spark: SparkSession, root: str, new_rows: DataFrame, incrementa
             all_bronze = S.restrict_to_sessions(all_bronze, new_rows)
         else:
             own = F.coalesce(own, F.lit(False))  # a partition without a name is looked up
-            all_bronze = all_bronze.filter(own).unionByName(S.restrict_to_sessions(all_bronze.filter(~own), new_rows))
+            earlier = cut(S.restrict_to_sessions(all_bronze.filter(~own), new_rows), "checkpoint")
+            all_bronze = all_bronze.filter(own).unionByName(earlier)
     all_bronze = all_bronze.drop(*store.BRONZE_PARTITIONS)
     if in_parts:
-        all_bronze = B.dedup_first(all_bronze, ("run_id", "row_hash_raw"))
+        first = B.dedup_first if incremental_silver else B.first_rows
+        all_bronze = cut(first(all_bronze, ("run_id", "row_hash_raw")), "checkpoint")
     # Read by several branches of the merge, so it is worked out once.
-    source = cut(S.silver_source(all_bronze, decimal_comma, split_sessions_by_time), "checkpoint")
+    table = in_parts or own is not None or not incremental_silver
+    source = cut(S.silver_source(all_bronze, decimal_comma, split_sessions_by_time, table), "checkpoint")
     S.require_unique(source)
     if silver_layout == "bucketed":
         return buckets.upsert_bucketed(spark, root, source, null_safe_keys)
