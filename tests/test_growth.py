@@ -93,7 +93,5 @@ def test_scratch_tables_are_zstd(spark):
 @pytest.mark.parametrize("name", ["session_split_by_time", "bronze_new_column"])
 def test_a_source_that_is_read_again_is_kept(spark, folder, name):
     """The merge reads its source in several branches: none works it out once more."""
-    from alloy.plans import catalog
-
     plan = catalog.all_queries()[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert "max_by" not in plan and "min_by" not in plan
