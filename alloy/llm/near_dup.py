@@ -21,8 +21,10 @@ From keys to components:
    all: a set shares no more than the shingles that some other open member has
    too, which rules out most outliers of a large group of near copies, and a
    sketch of ``SKETCH`` bits, made for open members only, is within ``MAX_SKETCH``.
-   What is left out beside are pairs within one component, which cannot change
-   the result.
+   A member is read once for all its partners in two blocks, so rows and joins
+   grow with members, not with pairs, and two blocks give no more links than tie
+   their members. What is left out beside are pairs within one component, which
+   cannot change the result.
 
 No bucket is held by one task: stars are joins with partial minima, and a bucket
 of more than ``BLOCK`` members is dealt as pairs of blocks. There is no cap on a
@@ -58,8 +60,11 @@ PERCENT = 75
 #: One bit of each of so many MinHash values. Of 1024 bits 128 are expected to
 #: differ at 0.75, the standard deviation is 10.6: four of them are allowed.
 SKETCH, MAX_SKETCH = 1024, 171
-#: Members of a bucket that one task holds against each other.
-BLOCK = 1024
+#: Members of a bucket that one task holds against each other, and the shingles of
+#: those whose full sets it holds (of two such parts at once).
+BLOCK, PARCEL = 1024, 2_000_000
+#: The rows by which members of a bucket meet on their full sets.
+MEETING = ["key", "p", "q", "parcel", "node", "set_id", "component", "at", "others"]
 BITS = [f"bits_{i}" for i in range(LONGS)]
 #: Words whose hashes a worker keeps: what it took stays with the idle worker, beside the JVM.
 _WORDS = 100_000
@@ -184,11 +189,13 @@ def _first_common(keys: np.ndarray, sig: np.ndarray, i: int, others: np.ndarray)
 
 
 def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From members of buckets by (key, p, q), p and q being the blocks that meet:
-    pairs (a, b) of different components that may be similar enough."""
+    """From members of buckets by (key, p, q), p and q being the blocks that meet: the
+    members that have a partner in another component that may be similar enough, a row
+    each with the places of its partners (``others``; a pair stands with one of the
+    two). Members of more than ``PARCEL`` shingles are dealt as pairs of parts."""
     held: list[pa.RecordBatch] = []
 
-    def meet(rows: pa.Table) -> pa.RecordBatch | None:
+    def meet(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         node, component, n, shared, block = (rows[c].to_numpy() for c in ("node", "component", "n_shingles", "n_shared", "block"))
         key, p, q = (rows[c][0].as_py() for c in ("key", "p", "q"))
         sig = _signatures(rows["signature"])
@@ -206,9 +213,21 @@ def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 other = other[np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1) <= MAX_SKETCH]
             if len(other):
                 other = other[_first_common(keys, sig, i, other) == key]
-                a += [min(node[i], x) for x in node[other]]
-                b += [max(node[i], x) for x in node[other]]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]) if a else None
+                a.append(np.full(len(other), i))
+                b.append(other)
+        if not a or not len(a := np.concatenate(a)):
+            return
+        b = np.concatenate(b)
+        part = (np.cumsum(n) - n) // PARCEL
+        parcel = np.minimum(part[a], part[b]) * (part[-1] + 1) + np.maximum(part[a], part[b])
+        for here in np.unique(parcel):
+            x, y = a[parcel == here], b[parcel == here]  # x in order
+            members = np.union1d(x, y)
+            first = np.searchsorted(x, [*members, len(node)])
+            others = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(y, pa.int32()))
+            group = [pa.array(np.full(len(members), v), pa.int64()) for v in (key, p, q, here)]
+            yield pa.RecordBatch.from_arrays([*group, *[rows[c].combine_chunks().take(pa.array(members)) for c in ("node", "set_id", "component")],
+                                              pa.array(members, pa.int32()), others], names=MEETING)
 
     last = None
     for batch in batches:
@@ -219,13 +238,61 @@ def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, e in zip(cuts, cuts[1:]):
             here = tuple(group[:, s].tolist())
             if held and here != last:
-                if (out := meet(pa.Table.from_batches(held))) is not None:
-                    yield out
+                yield from meet(pa.Table.from_batches(held))
                 held = []
             last = here
             held.append(batch.slice(s, e - s))
-    if held and (out := meet(pa.Table.from_batches(held))) is not None:
-        yield out
+    if held:
+        yield from meet(pa.Table.from_batches(held))
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets are similar enough."""
+    short, long = min(len(x), len(y)), max(len(x), len(y))
+    both = len(np.intersect1d(x, y, assume_unique=True)) if 100 * short >= PERCENT * long else 0
+    return both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
+def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the rows of ``candidates`` by (key, p, q, parcel), with texts: the pairs
+    (a, b) whose full sets are similar enough, but for those between nodes that
+    other pairs of their group have tied already."""
+    known = WordHashes()
+    last, rows = None, {}  # place -> (node, component, set, others)
+
+    def links() -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = root.get(up, up)
+                x = up
+            return x
+
+        a, b = [], []
+        for node, component, found, others in rows.values():
+            for other in others:
+                if other in rows:
+                    with_node, with_component, with_found, _ = rows[other]
+                    u, v = find(component), find(with_component)
+                    if u != v and similar(found, with_found):
+                        root[u] = v
+                        a.append(min(node, with_node))
+                        b.append(max(node, with_node))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    for batch in batches:
+        for part in slices(batch):
+            for *here, node, expected, component, at, others, text in zip(*(c.to_pylist() for c in part.select([*MEETING, "text"]).columns)):
+                if here != last:
+                    yield from links()
+                    last, rows = here, {}
+                if at not in rows:
+                    found = shingles(text, known)
+                    if len(found) and set_id(found) == expected:  # not another text of the doc_id
+                        rows[at] = node, component, found, others
+    yield from links()
 
 
 def sketched(nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -273,10 +340,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             good = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = of(0, a), of(1, b)
-                short, long = min(len(x), len(y)), max(len(x), len(y))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if 100 * short >= PERCENT * long else 0
-                good.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
+                good.append(similar(of(0, a), of(1, b)))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     # The joins leave rows of one b together; its set is worked out once.
@@ -334,7 +398,7 @@ def classes(docs: DataFrame) -> DataFrame:
     own = unshared(some.select("node", "set_id"), texts).join(several, "node", "left_anti")
     able = some.join(own, "node", "left").withColumn("n_shared", F.col("n_shingles") - F.coalesce("n_own", F.lit(0)))
     able = able.filter(100 * F.col("n_shared") >= PERCENT * F.col("n_shingles")).drop("n_own", *BITS)
-    able = written(able.join(sketched(able.select("node", "set_id"), texts), ["node", "set_id"]).drop("set_id"), "near-able")
+    able = written(able.join(sketched(able.select("node", "set_id"), texts), ["node", "set_id"]), "near-able")
     sides = written(open_.join(able.select("node"), "node", "left_semi"), "near-sides")
     sizes = sides.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     sizes = sizes.filter("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
@@ -342,8 +406,10 @@ def classes(docs: DataFrame) -> DataFrame:
     dealt = sides.join(sizes, "key").withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("key", "node", "component", "block", F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"))
     dealt = dealt.join(able, "node").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    rest = dealt.mapInArrow(candidates, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
-    more = confirmed(written(rest, "near-rest"), texts)
+    rest = dealt.mapInArrow(candidates, "key long, p long, q long, parcel long, node long, set_id binary, component long, at int, others array<int>")
+    group = ("key", "p", "q", "parcel")
+    full = written(rest, "near-rest").join(texts, "node").select(*MEETING, "text").repartition(*group).sortWithinPartitions(*group)
+    more = full.mapInArrow(met, "a long, b long")
     final = components(links.unionByName(more).unionByName(ties))
 
     found = rows.join(member.groupBy("doc_id").agg(F.min("node").alias("node")), "doc_id", "left").join(final, "node", "left")

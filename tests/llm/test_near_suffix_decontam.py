@@ -73,6 +73,41 @@ def test_near_dup_equals_brute_force(spark):
     assert all(r.n_shingles == n[r.doc_id] for r in found)
 
 
+@pytest.mark.parametrize("parcel", [2_000_000, 400])
+def test_members_meet_in_rows_not_pairs(monkeypatch, parcel):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(near_dup, "PARCEL", parcel)
+    base = sentence(150, 9100)
+    texts = [edited(base, 0.02, k) for k in range(60)]  # all of one bucket, similarities around the bound
+    sets = [near_dup.shingles(t, near_dup.WordHashes()) for t in texts]
+    signature = near_dup.signature(sets[0], *near_dup._functions()).tobytes()  # one for all: they share every key
+    key = int(near_dup.chunk_keys(np.frombuffer(signature, dtype=np.uint16)).reshape(-1)[0])
+    sketch = [np.packbits(near_dup.signature(f, *near_dup._functions(near_dup.SKETCH, 7)) & np.uint16(1)).tobytes() for f in sets]
+    n = len(texts)
+    rows = pa.RecordBatch.from_pydict({
+        "key": [key] * n, "node": list(range(n)), "component": list(range(n)), "block": [0] * n, "p": [0] * n, "q": [0] * n,
+        "n_shingles": [len(f) for f in sets], "n_shared": [len(f) for f in sets], "set_id": [near_dup.set_id(f) for f in sets],
+        "signature": [signature] * n, "sketch": sketch})
+    found = list(near_dup.candidates(iter([rows.slice(0, 7), rows.slice(7)])))
+    at = [row for batch in found for row in batch.to_pylist()]
+    pairs = [(r["at"], o) for r in at for o in r["others"]]
+    assert len(pairs) == len(set(pairs)) > 10 * n
+    parts = -(-sum(map(len, sets)) // parcel)
+    assert sum(b.num_rows for b in found) <= n * parts
+    full = [b.append_column("text", pa.array([texts[i] for i in b["node"].to_pylist()])) for b in found]
+    links = [row for batch in near_dup.met(iter(full)) for row in batch.to_pylist()]
+    expected = components(list(enumerate(texts)))
+    assert parts > 1 or len(links) == n - len(set(expected.values()))
+    assert all(near_dup.similar(sets[r["a"]], sets[r["b"]]) for r in links)
+    root = list(range(n))
+    for _ in range(n):
+        for r in links:
+            root[r["a"]] = root[r["b"]] = min(root[r["a"]], root[r["b"]])
+    assert dict(enumerate(root)) == expected
+
+
 def test_near_dup_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMOKE}/documents.parquet").collect()]
     expected = components(docs)
