@@ -23,7 +23,7 @@ from alloy.operators import validate as V
 from alloy.operators.common import observed
 from alloy.plans import oracle as O
 from alloy.plans.pipeline import Stages, affected_list, cut, plan_run
-from alloy.session import scratch_path
+from alloy.session import compiled_methods, scratch_path
 from alloy.sources import fixture as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,7 +168,7 @@ _SCENARIOS: dict[tuple, Scenario] = {}
 def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _SCENARIOS:
-        _SCENARIOS[key] = Scenario(spark, sf_dir)
+        _SCENARIOS[key] = Scenario(compiled_methods(spark), sf_dir)
     return _SCENARIOS[key]
 
 
@@ -676,7 +676,7 @@ def _old_records(sc: Scenario) -> DataFrame:
 def watermark_load(spark, sf_dir):
     """Old- and new-format records, written as one JSON document, read back
     and turned into the per-source map (shared keys keep the greatest date)."""
-    from alloy.session import scratch_path
+    from alloy.session import compiled_methods, scratch_path
     from alloy.sinks import store
 
     sc = scenario(spark, sf_dir)

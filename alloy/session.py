@@ -44,6 +44,16 @@ def get_spark(master: str | None = None, app: str = "alloy", shuffle_partitions:
     return spark
 
 
+def compiled_methods(spark: SparkSession) -> SparkSession:
+    """Let a session that was made elsewhere split its rows' code, too, before a method
+    is too large for the JVM to compile: such a method is interpreted for every row. A
+    limit that the deployment has set is kept."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, DEFAULT_CONF[name])
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

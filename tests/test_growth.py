@@ -95,3 +95,19 @@ def test_a_source_that_is_read_again_is_kept(spark, folder, name):
     """The merge reads its source in several branches: none works it out once more."""
     plan = catalog.all_queries()[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert "max_by" not in plan and "min_by" not in plan
+
+
+def test_a_session_made_elsewhere_compiles_its_methods(spark, folder, monkeypatch):
+    other = spark.newSession()
+    name = "spark.sql.codegen.hugeMethodLimit"
+    other.conf.set(name, "65535")  # Spark's own
+    monkeypatch.setattr(catalog, "_SCENARIOS", {})
+    own = other.sparkContext.getConf()
+    monkeypatch.setattr(type(own), "contains", lambda self, key: False)  # no deployment has set it
+    catalog.scenario(other, folder)
+    assert other.conf.get(name) == "8000"
+    monkeypatch.setattr(type(own), "contains", lambda self, key: True)
+    other.conf.set(name, "65535")
+    catalog.forget_scenarios()
+    catalog.scenario(other, folder)
+    assert other.conf.get(name) == "65535"
